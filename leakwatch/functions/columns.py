@@ -42,11 +42,15 @@ def total(cols) -> Column:
     return reduce(lambda a, b: a + b, cols)
 
 
+def variance(n: Column, s: Column, sq: Column) -> Column:
+    """Population variance from count, sum and sum of squares; 0 below two values."""
+    n, s = n.cast("double"), s.cast("double")
+    return F.when(n > 1, F.greatest((sq - s * s / n) / n, F.lit(0.0))).otherwise(F.lit(0.0))
+
+
 def spread(n: Column, s: Column, sq: Column) -> Column:
     """Population standard deviation from count, sum and sum of squares."""
-    n, s = n.cast("double"), s.cast("double")
-    variance = F.greatest((sq - s * s / n) / n, F.lit(0.0))
-    return F.when(n > 1, F.sqrt(variance)).otherwise(F.lit(0.0))
+    return F.sqrt(variance(n, s, sq))
 
 
 def decode_flags(flags: Column) -> Column:
@@ -86,9 +90,28 @@ def severity(score: Column) -> Column:
     return ladder
 
 
+def round_exact(c: Column, digits: int) -> Column:
+    """Rounded by the exact binary value, true ties to even, as C's printf does.
+
+    Scaling by a power of ten rounds, so 0.5255 (a little less than that in
+    binary) would look like a tie. `lost` is what the scaling rounded away.
+    """
+    scale = float(10**digits)
+    x = c.cast("double")
+    scaled = x * scale
+    big = x * 134217729.0
+    high = big - (big - x)
+    lost = (high * scale - scaled) + (x - high) * scale
+    whole = F.floor(scaled)
+    rest = scaled - whole
+    tie_up = (lost > 0) | ((lost == 0) & (F.pmod(whole, F.lit(2)) == 1))
+    up = (rest > 0.5) | ((rest == 0.5) & tie_up)
+    return (whole + up.cast("int")) / scale
+
+
 def fixed_text(c: Column, digits: int) -> Column:
-    """Text with a fixed number of decimals, halves to even; null stays null."""
-    text = F.format_string(f"%.{digits}f", F.bround(c.cast("double"), digits))
+    """Text with a fixed number of decimals; null stays null."""
+    text = F.format_string(f"%.{digits}f", round_exact(c, digits))
     return F.when(c.isNotNull(), text)
 
 

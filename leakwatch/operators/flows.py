@@ -243,7 +243,7 @@ def _finish(measured, extra):
     seconds = duration / 1e6
     all_len = F.col("fwd_len") + F.col("bwd_len")
     all_sq = F.col("fwd_len_sq") + F.col("bwd_len_sq")
-    all_std = C.spread(n, all_len, all_sq)
+    all_var = C.variance(n, all_len, all_sq)
     low = F.coalesce(F.least("fwd_len_min", "bwd_len_min"), zero)
     high = F.coalesce(F.greatest("fwd_len_max", "bwd_len_max"), zero)
 
@@ -299,8 +299,8 @@ def _finish(measured, extra):
         "Min Packet Length": low,
         "Max Packet Length": high,
         "Packet Length Mean": all_len / n,
-        "Packet Length Std": all_std,
-        "Packet Length Variance": all_std * all_std,
+        "Packet Length Std": F.sqrt(all_var),
+        "Packet Length Variance": all_var,
         "Down/Up Ratio": F.col("bwd_len") / F.greatest("fwd_len", F.lit(1)),
         "Average Packet Size": all_len / n,
         "Avg Fwd Segment Size": mean("pay", "fwd"),

@@ -189,7 +189,7 @@ SELECT {extra} c_ip || ':' || c_port || '→' || s_ip || ':' || s_port AS "Flow
   round(count(*) FILTER (NOT is_fwd) / (greatest(max(ts_us) - min(ts_us), 1) / 1e6), 3) AS "Bwd Packets/s",
   min(pkt_len) AS "Min Packet Length", max(pkt_len) AS "Max Packet Length",
   round(avg(pkt_len), 3) AS "Packet Length Mean", round(stddev_pop(pkt_len), 3) AS "Packet Length Std",
-  round(var_pop(pkt_len), 3) AS "Packet Length Variance",
+  round(var_pop(pkt_len), 5) AS "Packet Length Variance",
   round(coalesce(sum(pkt_len) FILTER (NOT is_fwd), 0) / greatest(coalesce(sum(pkt_len) FILTER (is_fwd), 0), 1), 3) AS "Down/Up Ratio",
   round(avg(pkt_len), 3) AS "Average Packet Size",
   round(coalesce(avg(payload_len) FILTER (is_fwd), 0), 3) AS "Avg Fwd Segment Size",
@@ -238,7 +238,10 @@ def flow_select(extra=""):
 
 @query("flow_features", sql(views.duck("flow_packets"), *flow_ctes(), flow_select()))
 def flow_features(spark, sf):
-    return rounded(flows.flow_features(flow_packets(spark, sf)), 3)
+    out = flows.flow_features(flow_packets(spark, sf))
+    spread_of = F.round("`Packet Length Variance`", 5)
+    plain = rounded(out.withColumn("_variance", spread_of.cast("string")), 3)
+    return plain.withColumn("Packet Length Variance", F.col("_variance").cast("double")).drop("_variance")
 
 
 @query("flow_iat_by_direction", sql(views.duck("flow_packets"), *flow_ctes(), """

@@ -257,8 +257,11 @@ def contamination_cutoff(spark, sf):
 
 
 @query("contamination_cutoff_observed", sql(SCORES, """
-SELECT round(quantile_cont(score, (SELECT 1 - avg(label) FROM scores WHERE model = 'anomaly')), 6) AS cutoff
-FROM scores WHERE model = 'anomaly' AND label = 0"""))
+placed AS (SELECT score, row_number() OVER (ORDER BY score) - 1 AS place, count(*) OVER () AS n
+           FROM scores WHERE model = 'anomaly' AND label = 0)""", """
+spot AS (SELECT (1 - (SELECT greatest(avg(label), 1e-4) FROM scores WHERE model = 'anomaly')) * (max(n) - 1) AS pos_at FROM placed)""", """
+SELECT round(lo + (hi - lo) * (pos_at - floor(pos_at)), 6) AS cutoff FROM (
+  SELECT pos_at, (SELECT score FROM placed WHERE place = floor(pos_at)) AS lo, (SELECT score FROM placed WHERE place = ceil(pos_at)) AS hi FROM spot) t"""))
 def contamination_cutoff_observed(spark, sf):
     """The observed positive rate as contamination."""
     rows = only(score_rows(spark, sf), "anomaly")

@@ -135,19 +135,26 @@ MIX_DOMAIN = 2_147_483_647
 
 
 def mix(id_col, seed=0) -> Column:
-    """Map an id to 0..MIX_DOMAIN-1, evenly spread (two multiplicative steps)."""
+    """Map an id to 0..MIX_DOMAIN-1, evenly spread.
+
+    Two quadratic steps modulo a prime: draws of different seeds are independent
+    enough to be paired (linear steps are not), and whole numbers keep it the same
+    in every engine.
+    """
     c = (F.col(id_col) if isinstance(id_col, str) else id_col).cast("bigint")
-    s = seed if isinstance(seed, Column) else F.lit(seed).cast("bigint")
-    first = F.pmod((F.pmod(c, F.lit(MIX_DOMAIN)) + s * 7919 + 1) * 48271, F.lit(MIX_DOMAIN))
-    swapped = (first % 65536) * 32768 + F.floor(first / 65536).cast("bigint")
-    return F.pmod(swapped * 69621, F.lit(MIX_DOMAIN))
+    s = seed if isinstance(seed, Column) else F.lit(seed)
+    s, m = s.cast("bigint"), F.lit(MIX_DOMAIN)
+    x = F.pmod(F.pmod(c, m) * 48271 + s * 7919 + 1, m)
+    x = F.pmod(F.pmod(x * (x + 69621), m) + s * 104729, m)
+    return F.pmod(x * (x + 69621), m)
 
 
-def mix_sql(c: str, seed, div: str = "//") -> str:
+def mix_sql(c: str, seed) -> str:
     """The same mapping as SQL text, for checks in another engine."""
     m = MIX_DOMAIN
-    first = f"(((({c}) % {m}) + ({seed}) * 7919 + 1) * 48271 % {m})"
-    return f"(((({first}) % 65536) * 32768 + ({first}) {div} 65536) * 69621 % {m})"
+    x = f"((({c}) % {m} * 48271 + {seed} * 7919 + 1) % {m})"
+    x = f"(({x} * ({x} + 69621) % {m} + {seed} * 104729) % {m})"
+    return f"({x} * ({x} + 69621) % {m})"
 
 
 def unit(id_col, seed=0) -> Column:
@@ -156,6 +163,6 @@ def unit(id_col, seed=0) -> Column:
 
 
 def normal(id_col, seed) -> Column:
-    """Standard normal (Box-Muller), fixed by id and seed."""
+    """Standard normal (Box-Muller), fixed by id and seed; seeds must be whole numbers."""
     radius = F.sqrt(-2.0 * F.log(unit(id_col, seed * 2 + 1)))
     return radius * F.cos(2.0 * F.pi() * unit(id_col, seed * 2 + 2))

@@ -59,7 +59,7 @@ def write_captures(rows, folder):
     return folder
 
 
-def captured(spark, sf, view, chunk_bytes=256 * 1024):
+def captured(spark, sf, view, chunk_bytes=2 * 1024 * 1024):
     """The view through capture files and back."""
     rows = views.load(spark, sf, view)
     names = F.array(*[F.lit(n) for n in SCENARIO_NAMES])

@@ -67,27 +67,35 @@ class _Capture:
         size = max(0, min(size, self.length - at))
         return self.handle.read_at(size, at) if size else b""
 
-    def plausible(self, data, at):
-        seconds, part, held, whole = struct.unpack_from(self.order + "IIII", data, at)
-        return (
-            held <= LONGEST_RECORD
-            and held <= whole
-            and part < 1_000_000 * self.per_us
-            and abs(seconds - self.epoch) < 20 * 366 * 86400
-        )
+    def starts(self, data, limit):
+        """Offsets below the limit whose bytes could be a record header."""
+        cells = np.frombuffer(data, dtype=np.uint8)
+        count = min(limit, len(cells) - RECORD_HEADER + 1)
+        if count <= 0:
+            return np.zeros(0, dtype=np.int64)
+
+        def word(shift):
+            view = np.lib.stride_tricks.sliding_window_view(cells[shift : shift + count + 3], 4)
+            return np.ascontiguousarray(view).view(self.order + "u4")[:, 0].astype(np.int64)
+
+        seconds, part, held, whole = (word(i) for i in (0, 4, 8, 12))
+        fits = (held >= 14) & (held <= LONGEST_RECORD) & (held <= whole) & (whole <= 65_600)
+        fits &= (part < 1_000_000 * self.per_us) & (np.abs(seconds - self.epoch) < 20 * 366 * 86400)
+        return np.flatnonzero(fits)
 
     def guess_first(self, begin, end):
         """First offset in the chunk that starts a plausible chain; None if there is none."""
         data = self.read(begin, min(end - begin, LONGEST_RECORD) + (CHAIN_CHECK + 1) * 65_552)
-        limit = min(end - begin, LONGEST_RECORD + RECORD_HEADER)
-        for start in range(min(limit, max(0, len(data) - RECORD_HEADER + 1))):
+        likely = set(self.starts(data, len(data)).tolist())
+        for start in sorted(likely):
+            if begin + start >= end:
+                return None
             at, seen = start, 0
-            while seen < CHAIN_CHECK and at + RECORD_HEADER <= len(data) and self.plausible(data, at):
+            while seen < CHAIN_CHECK and at in likely:
                 at += RECORD_HEADER + struct.unpack_from(self.order + "I", data, at + 8)[0]
                 seen += 1
-                if begin + at == self.length:
-                    return begin + start
-            if seen == CHAIN_CHECK or (seen and at + RECORD_HEADER > len(data) and begin + at < self.length):
+            reached_end = begin + at == self.length or at + RECORD_HEADER > len(data)
+            if seen == CHAIN_CHECK or (seen and reached_end):
                 return begin + start
         return None
 
@@ -124,6 +132,12 @@ def _index(frames):
         yield pd.DataFrame(rows, columns=INDEX.names).astype({"first": "Int64", "next": "Int64"})
 
 
+def _one_task_each(chunks):
+    """Spread chunks by an explicit number of tasks: the rows are tiny but each stands
+    for a file read, so they must not be packed together by size."""
+    return chunks.repartition(max(1, min(chunks.count(), 20_000)), "path", "chunk")
+
+
 def capture_index(spark, path, chunk_bytes=CHUNK_BYTES, pattern="*.pcap"):
     """One row per chunk with the proved offsets of its first record and the one after."""
     files = (
@@ -141,7 +155,7 @@ def capture_index(spark, path, chunk_bytes=CHUNK_BYTES, pattern="*.pcap"):
         .withColumn("next", F.lit(None).cast("bigint"))
         .select(*INDEX.names)
     )
-    index = cut_lineage(chunks.repartition("path", "chunk").mapInPandas(_index, INDEX))
+    index = cut_lineage(_one_task_each(chunks).mapInPandas(_index, INDEX))
     proved = Window.partitionBy("path").orderBy("chunk")
     while True:
         wanted = index.withColumn("want", F.coalesce(F.lag("next").over(proved), F.col("first")))
@@ -149,9 +163,9 @@ def capture_index(spark, path, chunk_bytes=CHUNK_BYTES, pattern="*.pcap"):
             (F.col("chunk") > 0) & F.col("want").isNotNull() & ~F.col("first").eqNullSafe(F.col("want"))
         )
         redo = wrong.withColumn("first", F.col("want")).select(*INDEX.names)
-        fixed_rows = cut_lineage(redo.repartition("path", "chunk").mapInPandas(_index, INDEX))
-        if fixed_rows.isEmpty():
+        if redo.isEmpty():
             return index
+        fixed_rows = cut_lineage(_one_task_each(redo).mapInPandas(_index, INDEX))
         kept = index.join(fixed_rows.select("path", "chunk"), ["path", "chunk"], "left_anti")
         index = cut_lineage(kept.select(*INDEX.names).unionByName(fixed_rows))
 
@@ -244,7 +258,7 @@ def read_captures(spark, path, chunk_bytes=CHUNK_BYTES, pattern="*.pcap"):
     has none, so that unparsed packets can be counted. Ids follow file and offset.
     """
     index = capture_index(spark, path, chunk_bytes, pattern)
-    return index.repartition("path", "chunk").mapInPandas(_parse, CAPTURED)
+    return _one_task_each(index).mapInPandas(_parse, CAPTURED)
 
 
 def capture_summary(raw):

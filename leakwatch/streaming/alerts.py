@@ -8,7 +8,8 @@ from leakwatch.operators import rules
 
 def _write_batch(alert_path, info_path, threshold):
     def write(frame, batch_id):
-        fused = rules.fuse(rules.rule_score(frame), threshold)
+        # Written twice below, so the batch is computed once.
+        fused = rules.fuse(rules.rule_score(frame), threshold).persist()
         # Overwriting the folder of the batch makes a repeated batch harmless.
         alerts = fused.filter("alert")
         alerts.write.mode("overwrite").parquet(f"{alert_path}/batch={batch_id}")
@@ -17,6 +18,7 @@ def _write_batch(alert_path, info_path, threshold):
                 "src_ip", "window_start", "request_count", "total_bytes", "rule_score"
             )
             infos.write.mode("overwrite").parquet(f"{info_path}/batch={batch_id}")
+        fused.unpersist()
 
     return write
 

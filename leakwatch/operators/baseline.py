@@ -179,7 +179,8 @@ def top_deviations(z_frame, k=3, names=None):
             for i, n in enumerate(names)
         ]
     )
-    high = F.filter(cells, lambda c: c["z"] > fixed.Z_THRESHOLD)
+    # Rounded, so that a deviation of exactly the threshold is not decided by noise.
+    high = F.filter(cells, lambda c: F.round(c["z"], 9) > fixed.Z_THRESHOLD)
     top = F.slice(F.sort_array(high, asc=False), 1, k)
     codes = F.transform(
         top, lambda c: F.format_string("HIGH_Z: %s=%.1fσ", c["name"], c["z"])

@@ -57,16 +57,15 @@ def curve(scores, by=MODEL, limits=fixed.SCAN_RANGE, **tuning):
     running = spread.running_totals(
         scores, by, "score", {"pos": pos, "neg": neg, "inside": inside}, descending=True, **tuning
     )
-    totals = scores.groupBy(*by).agg(pos.alias("_p"), neg.alias("_n"))
-    return running.join(totals, list(by)).select(
+    return running.select(
         *by,
         F.col("score").alias("threshold"),
         F.col("pos"),
         F.col("neg"),
         F.col("cum_pos").alias("tp"),
         F.col("cum_neg").alias("fp"),
-        (F.col("_n") - F.col("cum_neg")).alias("tn"),
-        (F.col("_p") - F.col("cum_pos")).alias("fn"),
+        (F.col("total_neg") - F.col("cum_neg")).alias("tn"),
+        (F.col("total_pos") - F.col("cum_pos")).alias("fn"),
         F.col("cum_inside").alias("position"),
     )
 
@@ -134,7 +133,7 @@ def improve_threshold(scores, by=MODEL, max_fpr=fixed.MAX_FPR, start=0.5, **tuni
     current = with_rates(confusion(scores, start, by)).withColumn("threshold", F.lit(start))
     current = current.select(*by, F.struct(*_POINT).alias("now"))
     scan = threshold_scan(scores, by, fixed.IMPROVE_RANGE, **tuning)
-    better = scan.join(current, list(by)).filter(
+    better = spread.join_small(scan, current, by).filter(
         (F.col("fpr") <= max_fpr) & (F.col("recall") > F.col("now.recall"))
     )
     best = better.groupBy(*by).agg(
@@ -172,8 +171,8 @@ def validation_threshold_on_test(scores, by=MODEL, max_fpr=fixed.MAX_FPR, **tuni
         scores.filter(F.col("split") == "test")
         .groupBy(*by, "score")
         .agg(F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg"))
-        .join(chosen, list(by))
     )
+    scan_counts = spread.join_small(scan_counts, chosen, by)
     above = F.col("score") >= F.col("threshold")
     counts = scan_counts.groupBy(*by, "threshold").agg(
         F.sum(F.when(above, F.col("pos")).otherwise(0)).alias("tp"),

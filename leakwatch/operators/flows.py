@@ -40,13 +40,16 @@ def with_endpoints(packets):
     )
 
 
-def assemble(packets, with_key=None):
+def assemble(packets, within=None):
     """One row per flow: endpoints as the first packet saw them, and packet counts.
 
     All parts are mergeable, so packets are combined before the shuffle.
     """
-    first_is_a = F.min_by("from_a", F.struct(*ORDER))
-    grouped = with_endpoints(packets).groupBy(*(with_key or []), *KEYS)
+    # One number orders by time, then id; unlike a struct it can be kept in a hash
+    # aggregate, so packets are combined without a sort.
+    place = F.col("ts_us").cast("decimal(38,0)") * F.lit(str(2**63)).cast("decimal(19,0)") + F.col("packet_id")
+    first_is_a = F.min_by("from_a", place)
+    grouped = with_endpoints(packets).groupBy(*(within or []), *KEYS)
     flows = grouped.agg(
         first_is_a.alias("opened_by_a"),
         F.count_if("from_a").alias("a_n"),
@@ -54,8 +57,8 @@ def assemble(packets, with_key=None):
         F.min("ts_us").alias("first_us"),
         F.max("ts_us").alias("last_us"),
     )
-    return _oriented_keys(flows, with_key or []).select(
-        *(with_key or []),
+    return _oriented_keys(flows).select(
+        *(within or []),
         "src_ip",
         "src_port",
         "dst_ip",
@@ -73,7 +76,7 @@ def _pick(name, side):
     return F.when(F.col("opened_by_a"), F.col(f"{own}_{name}")).otherwise(F.col(f"{other}_{name}"))
 
 
-def _oriented_keys(frame, extra):
+def _oriented_keys(frame):
     a_first = F.col("opened_by_a")
     return frame.withColumns(
         {
@@ -121,7 +124,7 @@ def _side(side):
         f"{side}_data": F.count_if(mine & (F.col("payload_len") > 0)),
         f"{side}_psh": F.count_if(mine & F.col("tcp_flags.PSH")),
         f"{side}_urg": F.count_if(mine & F.col("tcp_flags.URG")),
-        f"{side}_head": F.min(only(F.struct(*ORDER, length.alias("len")))),
+        f"{side}_head": F.max(only(F.when(F.col(f"{side}_gap").isNull(), length))),
         f"{side}_first": F.min(only(F.col("ts_us"))),
         f"{side}_last": F.max(only(F.col("ts_us"))),
     }
@@ -130,7 +133,7 @@ def _side(side):
 def _unordered():
     flags = {name.lower(): F.count_if(F.col(f"tcp_flags.{name}")) for name in fixed.TCP_FLAG_BITS}
     return {
-        "opening": F.min(F.struct(*ORDER, "from_a")),
+        "opened_by_a": F.max(F.when(F.col("all_gap").isNull(), F.col("from_a"))),
         "first_us": F.min("ts_us"),
         "last_us": F.max("ts_us"),
         **flags,
@@ -165,7 +168,10 @@ def _measure(packets, keys):
 
 
 def _merge(name):
-    if name.endswith(("_min", "_first", "_head")) or name in ("opening", "first_us"):
+    if name.endswith("_head") or name == "opened_by_a":
+        # Each slice names its own first packet; the earliest slice that has one counts.
+        return F.min_by(name, F.when(F.col(name).isNotNull(), F.col("_slice")))
+    if name.endswith(("_min", "_first")) or name == "first_us":
         return F.min(name)
     if name.endswith(("_max", "_last")) or name == "last_us":
         return F.max(name)
@@ -231,11 +237,10 @@ def _gap_columns(label, n, span, sq, low, high, with_total=True):
 
 
 def _finish(measured, extra):
-    f = measured.withColumn("opened_by_a", F.col("opening.from_a"))
     names = ["n", "len", "len_sq", "len_min", "len_max", "pay", "data", "psh", "urg", "head",
              "first", "last", "gap_sq", "gap_min", "gap_max"]
     sides = {f"{side}_{n}": _pick(n, side) for side in ("fwd", "bwd") for n in names}
-    f = _oriented_keys(f, extra).withColumns(sides)
+    f = _oriented_keys(measured).withColumns(sides)
 
     n = F.col("fwd_n") + F.col("bwd_n")
     zero = F.lit(0)
@@ -313,8 +318,8 @@ def _finish(measured, extra):
         "Subflow Fwd Bytes": F.col("fwd_len"),
         "Subflow Bwd Packets": F.col("bwd_n"),
         "Subflow Bwd Bytes": F.col("bwd_len"),
-        "Init_Win_bytes_forward": F.coalesce(F.col("fwd_head.len"), zero),
-        "Init_Win_bytes_backward": F.coalesce(F.col("bwd_head.len"), zero),
+        "Init_Win_bytes_forward": F.coalesce("fwd_head", zero),
+        "Init_Win_bytes_backward": F.coalesce("bwd_head", zero),
         **side_gaps("Active", "fwd", with_total=False),
         **side_gaps("Idle", "bwd", with_total=False),
         "upload_download_ratio": F.col("fwd_len") / F.greatest("bwd_len", F.lit(1)),

@@ -97,7 +97,7 @@ def raw_score_prediction(c, threshold=None):
 def median_prediction(scores, by=("model",)):
     """Scores below the model's median are flagged."""
     medians = spread.exact_quantiles(scores, by, "score", {"median_score": 0.5})
-    joined = scores.join(medians, list(by)) if by else scores.withColumn("median_score", medians.scalar())
+    joined = spread.join_small(scores, medians, by) if by else scores.withColumn("median_score", medians.scalar())
     return joined.withColumn("prediction", (F.col("score") < F.col("median_score")).cast("int"))
 
 

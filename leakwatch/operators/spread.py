@@ -11,6 +11,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 ROWS_PER_TASK = 4_000_000
+SMALL_ROWS = 10_000
 
 
 def has_hot_group(df, keys, rows_per_task=ROWS_PER_TASK, sampled_rows=2000):
@@ -47,7 +48,8 @@ def _interval_number(c, cuts, base=0):
 
 
 def running_totals(rows, by, key, values, descending=False, rows_per_task=ROWS_PER_TASK):
-    """Distinct keys of each group with `values` (name -> aggregate) and `cum_<name>`.
+    """Distinct keys of each group with `values` (name -> aggregate), `cum_<name>` and
+    `total_<name>`, the sum over the group.
 
     Rows are first reduced to one per distinct key. When the keys of all groups
     together fit one task, a plain running sum follows. Otherwise the key range
@@ -58,21 +60,23 @@ def running_totals(rows, by, key, values, descending=False, rows_per_task=ROWS_P
     counts = rows.groupBy(*by, key).agg(*[c.alias(n) for n, c in values.items()])
     distinct = rows.agg(F.approx_count_distinct(F.struct(*by, key))).first()[0]
     order = F.col(key).desc() if descending else F.col(key).asc()
-
-    def running(partition, offset):
-        w = Window.partitionBy(*partition).orderBy(order)
-        return {f"cum_{n}": offset(n) + F.sum(n).over(w) for n in values}
+    group = Window.partitionBy(*by)
 
     pieces = math.ceil(distinct / rows_per_task)
     if pieces <= 1:
-        return counts.withColumns(running(by, lambda n: F.lit(0)))
+        return counts.withColumns(
+            {
+                **{f"cum_{n}": F.sum(n).over(group.orderBy(order)) for n in values},
+                **{f"total_{n}": F.sum(n).over(group) for n in values},
+            }
+        )
 
     pieces = min(pieces, 1024)
     shares = [i / pieces for i in range(1, pieces)]
     cuts = sorted(set(counts.approxQuantile(key, shares, 0.1 / pieces)))
     placed = counts.withColumn("_piece", _interval_number(F.col(key), cuts))
     piece_order = F.col("_piece").desc() if descending else F.col("_piece").asc()
-    before = Window.partitionBy(*by).orderBy(piece_order).rowsBetween(Window.unboundedPreceding, -1)
+    before = group.orderBy(piece_order).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         placed.groupBy(*by, "_piece")
         .agg(*[F.sum(n).alias(n) for n in values])
@@ -80,13 +84,29 @@ def running_totals(rows, by, key, values, descending=False, rows_per_task=ROWS_P
             *by,
             "_piece",
             *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"_before_{n}") for n in values],
+            *[F.sum(n).over(group).alias(f"total_{n}") for n in values],
         )
     )
+    inside = Window.partitionBy(*by, "_piece").orderBy(order)
     joined = placed.join(offsets, [*by, "_piece"])
-    out = joined.withColumns(running([*by, "_piece"], lambda n: F.col(f"_before_{n}")))
+    out = joined.withColumns({f"cum_{n}": F.col(f"_before_{n}") + F.sum(n).over(inside) for n in values})
     return out.drop("_piece", *[f"_before_{n}" for n in values])
 
 
+def join_small(rows, table, on, how="inner", limit=SMALL_ROWS):
+    """Join with a table that is expected to be small, such as one row per model.
+
+    The table is computed now. Up to `limit` rows it is broadcast, so that the
+    long side is not shuffled by a key with few values; beyond that the join is
+    left to the optimizer.
+    """
+    held = table.limit(limit + 1).collect()
+    if len(held) > limit:
+        return rows.join(table, list(on), how)
+    small = rows.sparkSession.createDataFrame(held, table.schema)
+    return rows.join(F.broadcast(small), list(on), how)
+
+
 def global_rank(df, by, number, domain, tie, pieces=4096, name="_rank"):
     """Exact position (from 1) of each row in its group, and `<name>_of`, its size.
 
@@ -125,21 +145,14 @@ def exact_quantiles(df, by, value, shares, rows_per_task=ROWS_PER_TASK):
     """
     by = list(by)
     keyed = df.filter(F.col(value).isNotNull())
-    totals = running_totals(
+    sized = running_totals(
         keyed, by, value, {"n": F.count(F.lit(1))}, rows_per_task=rows_per_task
     )
-    sizes = keyed.groupBy(*by).agg(F.count(F.lit(1)).alias("_of"))
-    if by:
-        sized = totals.join(sizes, by)
-        groups = sized.groupBy(*by)
-    else:
-        sized = totals.withColumn("_of", sizes.scalar())
-        groups = sized.groupBy()
     picks = []
     for name, share in shares.items():
-        spot = F.lit(float(share)) * (F.col("_of") - 1)
+        spot = F.lit(float(share)) * (F.col("total_n") - 1)
         low = F.min(F.when(F.col("cum_n") > F.floor(spot), F.col(value)))
         high = F.min(F.when(F.col("cum_n") > F.ceil(spot), F.col(value)))
         weight = F.max(spot - F.floor(spot))
         picks.append((low + (high - low) * weight).alias(name))
-    return groups.agg(*picks)
+    return sized.groupBy(*by).agg(*picks)

@@ -104,7 +104,8 @@ def _measure_sliced(packets):
     order = Window.partitionBy(*KEYS, "_slice").orderBy("ts_us", "packet_id")
     gapped = sliced.withColumn("gap_us", F.lead("ts_us").over(order) - F.col("ts_us"))
     unordered, gaps = _unordered(), _gaps()
-    tail = F.max_by("is_fwd", F.struct("ts_us", "packet_id"))
+    # The last packet of a slice is the one without a following packet.
+    tail = F.max(F.when(F.col("gap_us").isNull(), F.col("is_fwd")))
     pieces = gapped.groupBy(*KEYS, "_slice").agg(
         *_aliased(unordered), *_aliased(gaps), tail.alias("tail_fwd")
     )

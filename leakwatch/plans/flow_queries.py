@@ -189,7 +189,7 @@ SELECT {extra} c_ip || ':' || c_port || '→' || s_ip || ':' || s_port AS "Flow
   round(count(*) FILTER (NOT is_fwd) / (greatest(max(ts_us) - min(ts_us), 1) / 1e6), 3) AS "Bwd Packets/s",
   min(pkt_len) AS "Min Packet Length", max(pkt_len) AS "Max Packet Length",
   round(avg(pkt_len), 3) AS "Packet Length Mean", round(stddev_pop(pkt_len), 3) AS "Packet Length Std",
-  round(var_pop(pkt_len), 5) AS "Packet Length Variance",
+  round((count(*) * sum(pkt_len * pkt_len) - sum(pkt_len) * sum(pkt_len)) / (count(*) * count(*)), 5) AS "Packet Length Variance",
   round(coalesce(sum(pkt_len) FILTER (NOT is_fwd), 0) / greatest(coalesce(sum(pkt_len) FILTER (is_fwd), 0), 1), 3) AS "Down/Up Ratio",
   round(avg(pkt_len), 3) AS "Average Packet Size",
   round(coalesce(avg(payload_len) FILTER (is_fwd), 0), 3) AS "Avg Fwd Segment Size",
@@ -520,11 +520,11 @@ made AS (SELECT c.flow_id, c.fwd_packets AS p1, c.bwd_packets AS p2, c.fwd_bytes
     q.fwd_packets AS q1, q.bwd_packets AS q2, q.fwd_bytes AS q3, q.psh_count AS q4, {_unit_sql('draw', 43)} AS u
   FROM copies c JOIN knn k ON k.id = c.flow_id AND k.rank = floor({_unit_sql('draw', 42)} * 5) + 1
   JOIN minority q ON q.flow_id = k.neighbour)""", """
-SELECT flow_id, round(p1 + u * (q1 - p1), 6) AS fwd_packets, round(p2 + u * (q2 - p2), 6) AS bwd_packets,
-       round(p3 + u * (q3 - p3), 6) AS fwd_bytes, round(p4 + u * (q4 - p4), 6) AS psh_count FROM made"""))
+SELECT flow_id, round(p1 + u * (q1 - p1), 4) AS fwd_packets, round(p2 + u * (q2 - p2), 4) AS bwd_packets,
+       round(p3 + u * (q3 - p3), 4) AS fwd_bytes, round(p4 + u * (q4 - p4), 4) AS psh_count FROM made"""))
 def smote_rows(spark, sf):
     out = oversample.interpolate_minority(labelled(spark, sf), POINT, 0.3, "flow_id", "exfil_label")
-    return rounded(out.filter("synthetic").select("flow_id", *POINT))
+    return rounded(out.filter("synthetic").select("flow_id", *POINT), 4)
 
 
 @query("smote_counts", sql(FLOWS, LABELLED, """

@@ -673,7 +673,7 @@ def weighted_anomaly_score(spark, sf):
 @query("top3_deviations", sql(*WF, EXPANDING, "SELECT src_ip, window_start, array_to_string("
        "[printf('HIGH_Z: %s=%.1fσ', t.name, t.z) for t in list_sort(list_filter(["
        + ", ".join(f"{{'z': z_{n}, 'place': -{i}, 'name': '{n}'}}" for i, n in enumerate(fixed.RUNTIME_FEATURES))
-       + "], lambda c: c.z > 2), 'DESC')[1:3]], ', ') AS top FROM expanding"))
+       + "], lambda c: round(c.z, 9) > 2), 'DESC')[1:3]], ', ') AS top FROM expanding"))
 def top3_deviations(spark, sf):
     top = baseline.top_deviations(expanding(spark, sf))
     return top.select("src_ip", "window_start", F.array_join("top_deviations", ", ").alias("top"))

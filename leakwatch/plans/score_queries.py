@@ -308,7 +308,8 @@ def isolation_forest_scores(spark, sf):
     names = ["fwd_packets", "bwd_packets", "fwd_bytes", "bwd_bytes", "duration_us", "psh_count"]
     nodes, take = iforest.fit(labels.normal_only(rows), names, "flow_id", trees=100)
     scored = iforest.score(rows, cut_lineage(nodes), names, take)
-    scored = scored.select("flow_id", "label", "anomaly_score")
+    # The cutoff reads the scores several times; they are computed once.
+    scored = cut_lineage(scored.select("flow_id", "label", "anomaly_score"))
     cutoff = iforest.contamination_cutoff(labels.normal_only(scored)).scalar()
     return scored.withColumn("prediction", (F.col("anomaly_score") > cutoff).cast("int"))
 

@@ -87,6 +87,16 @@ def standardize(rows, names, scaler):
     return rows.withColumns(scaled)
 
 
+def save_scaler(scaler, path):
+    """The fitted row, one column per feature."""
+    scaler.select("scaler.*").write.mode("overwrite").parquet(path)
+
+
+def load_scaler(spark, path):
+    held = spark.read.parquet(path)
+    return held.select(F.struct(*[F.col(f"`{n}`") for n in held.columns]).alias("scaler"))
+
+
 def class_weights(rows, label="label"):
     """Balanced weight of each class: total / (2 * class size)."""
     pos, neg = F.count_if(F.col(label) == 1), F.count_if(F.col(label) == 0)

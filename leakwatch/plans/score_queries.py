@@ -12,12 +12,15 @@ from leakwatch.session import cut_lineage
 from leakwatch.sources import views
 
 SCORES = views.duck("scores")
-RATES = """
-  round(coalesce(tp / nullif(tp + fp, 0), 0), 6) AS precision, round(coalesce(tp / nullif(tp + fn, 0), 0), 6) AS recall,
-  round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), 6) AS f1, round(coalesce(fp / nullif(fp + tn, 0), 0), 6) AS fpr"""
-RAW_RATES = """
-  coalesce(tp / nullif(tp + fp, 0), 0) AS precision, coalesce(tp / nullif(tp + fn, 0), 0) AS recall,
-  coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0) AS f1, coalesce(fp / nullif(fp + tn, 0), 0) AS fpr"""
+_P, _R = "coalesce(tp / nullif(tp + fp, 0), 0)", "coalesce(tp / nullif(tp + fn, 0), 0)"
+_CELLS = {
+    "precision": _P,
+    "recall": _R,
+    "f1": f"coalesce(2 * {_P} * {_R} / nullif({_P} + {_R}, 0), 0)",
+    "fpr": "coalesce(fp / nullif(fp + tn, 0), 0)",
+}
+RATES = ", ".join(f"round({c}, 6) AS {n}" for n, c in _CELLS.items())
+RAW_RATES = ", ".join(f"{c} AS {n}" for n, c in _CELLS.items())
 
 
 def counts_sql(threshold, rows="scores", by="model"):

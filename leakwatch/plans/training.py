@@ -48,6 +48,21 @@ def report(scores):
     return tuned.join(areas, "model").withColumn("kind", evaluate.family())
 
 
+def write_report(rows, scan, path, every=20):
+    """The report, each model's optimal threshold and every n-th scanned threshold, as JSON."""
+    rows.write.mode("overwrite").json(f"{path}/report")
+    evaluate.optimal_threshold(scan).write.mode("overwrite").json(f"{path}/optimal")
+    evaluate.every_nth(scan, every).write.mode("overwrite").json(f"{path}/threshold_samples")
+
+
+def write_dataset_summary(split_rows, names, path):
+    """Rows and positives by split and in total, with the feature list, as JSON."""
+    summary = prep.split_summary(split_rows).withColumns(
+        {"n_features": F.lit(len(names)), "feature_names": F.array(*[F.lit(n) for n in names])}
+    )
+    summary.write.mode("overwrite").json(path)
+
+
 def window_training_rows(window_rows, attack_sources_windows, target=None):
     """Window rows with a label: 1 where the (source, window start) is a known attack."""
     known = attack_sources_windows.select("src_ip", "window_start").distinct().withColumn("hit", F.lit(1))

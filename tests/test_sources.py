@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from helpers import random_packets, raw_frame
 from leakwatch.functions import fixed
-from leakwatch.operators import labels, prep
+from leakwatch.operators import evaluate, labels, prep
 from leakwatch.plans import capture_queries, detection, training
 from leakwatch.session import fresh_dir, shared_root
 from leakwatch.sources import captures, flows, uploads
@@ -178,9 +178,20 @@ def test_training_job(spark, sf):
     assert len(names) == 6
     mine, _ = training.anomaly_scores(scaled, names, trees=20)
     dense, _ = training.supervised_scores(scaled, names, iterations=5)
-    out = training.report(mine.unionByName(dense)).collect()
+    both = mine.unionByName(dense).cache()
+    out = training.report(both).collect()
     assert {r["kind"] for r in out} == {"anomaly", "supervised"} and all(0 <= r["auc"] <= 1 for r in out)
     path = fresh_dir(spark, "splits")
+    training.write_report(training.report(both), evaluate.threshold_scan(both), path)
+    training.write_dataset_summary(scaled, names, f"{path}/summary")
+    assert spark.read.json(f"{path}/report").count() == 2
+    samples = spark.read.json(f"{path}/threshold_samples").groupBy("model").count().collect()
+    assert {r["model"] for r in samples} == {"anomaly", "supervised"}
+    totals = spark.read.json(f"{path}/summary").filter("split = 'total'").first()
+    assert totals["n_rows"] == scaled.count() and totals["n_features"] == 6
+    scaler = prep.fit_scaler(scaled, names)
+    prep.save_scaler(scaler, f"{path}/scaler")
+    assert prep.load_scaler(spark, f"{path}/scaler").first() == scaler.first()
     prep.save_splits(scaled, path, names)
     assert spark.read.parquet(f"{path}/rows").count() == scaled.count()
 

@@ -4,21 +4,29 @@ from contextlib import contextmanager
 
 from leakwatch.session import ROCKSDB
 
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-
-
 @contextmanager
-def rocksdb_state(spark):
-    """Keep state in RocksDB for queries started inside the block."""
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, ROCKSDB)
+def rocksdb_state(spark, partitions=None):
+    """Settings for stateful queries started inside the block.
+
+    State is kept in RocksDB. Its partition count is fixed for the life of a
+    checkpoint and each partition is committed on every trigger, so it follows
+    the cores of the cluster rather than the batch default; name it to plan ahead.
+    """
+    wanted = {
+        "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+        "spark.sql.shuffle.partitions": str(partitions or spark.sparkContext.defaultParallelism),
+    }
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(_PROVIDER)
-        else:
-            spark.conf.set(_PROVIDER, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def to_table(stream, path, checkpoint, mode="append", **trigger):

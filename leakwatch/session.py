@@ -22,6 +22,8 @@ def build_session(name="leakwatch", master=None, shuffle_partitions=None, extra=
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+        # Recording the Python line of every column costs more than planning does here.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)

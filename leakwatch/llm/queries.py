@@ -1,6 +1,6 @@
 """One query per operator over its whole table, with its SQL check where SQL can state it."""
 
-from leakwatch.llm import mixing, quality
+from leakwatch.llm import decontaminate, mixing, quality, simhash
 
 QUERIES = {}
 CHECKS = {}
@@ -64,13 +64,13 @@ WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
          coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
 grams AS (
-  SELECT r, unnest(range(1, len(w) - 1)) AS at, w FROM d WHERE len(w) > 2),
-keyed AS (SELECT r, at, w[at:at + 2] AS g FROM grams),
-twice AS (SELECT r, at, count(*) OVER (PARTITION BY r, g) AS n FROM keyed),
+  SELECT r, unnest(range(1, len(w) - 1)) AS pos, w FROM d WHERE len(w) > 2),
+keyed AS (SELECT r, pos, w[pos:pos + 2] AS g FROM grams),
+twice AS (SELECT r, pos, count(*) OVER (PARTITION BY r, g) AS n FROM keyed),
 covered AS (
-  SELECT r, count(DISTINCT at + k) AS n
-  FROM (SELECT r, at, unnest([0, 1, 2]) AS k FROM twice WHERE n > 1) GROUP BY r),
-lines AS (SELECT r, list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
+  SELECT r, count(DISTINCT pos + k) AS n
+  FROM (SELECT r, pos, unnest([0, 1, 2]) AS k FROM twice WHERE n > 1) GROUP BY r),
+lines AS (SELECT r, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
 counted AS (
   SELECT d.r, doc_id, len(w)::BIGINT AS n_words,
          length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
@@ -92,3 +92,43 @@ FROM counted
 def op3_quality_rules(spark, sf_dir):
     """Base counts and the cascade's verdict for every document."""
     return quality.measure(read(spark, sf_dir, "documents"))
+
+
+CONTAMINATION_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         coalesce(regexp_extract_all(regexp_replace(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'), '[^ ]+'), []) AS w FROM documents),
+b AS (
+  SELECT item_id,
+         regexp_extract_all(regexp_replace(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'), '[^ ]+') AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, k, array_to_string(w[pos:pos + k - 1], ' ') AS g
+  FROM (SELECT item_id, w, k, unnest(range(1, len(w) - k + 2)) AS pos
+        FROM (SELECT item_id, w, least(13, len(w)) AS k FROM b WHERE len(w) > 0))),
+places AS (
+  SELECT r, k, pos, array_to_string(w[pos:pos + k - 1], ' ') AS g
+  FROM (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS pos FROM d, (SELECT DISTINCT k FROM win) WHERE len(w) >= k)),
+found AS (SELECT r, p.k, pos, item_id FROM places p JOIN win USING (k, g)),
+hit AS (SELECT r, count(DISTINCT pos + j) AS n FROM (SELECT r, pos, unnest(range(0, k)) AS j FROM found) GROUP BY r),
+names AS (
+  SELECT r, count(*) AS n, string_agg(i, ',' ORDER BY encode(i)) AS ids
+  FROM (SELECT DISTINCT r, coalesce(item_id::VARCHAR, '') AS i FROM found) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(hit.n, 0)::BIGINT AS n_hit, coalesce(names.n, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AND 20 * coalesce(hit.n, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN names USING (r)
+"""
+
+
+@query(CONTAMINATION_SQL)
+def op4_decontamination(spark, sf_dir):
+    """Words of every document that lie in benchmark windows."""
+    found = decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.drop("matches")
+
+
+@query()
+def op6_simhash_dedup(spark, sf_dir):
+    """Fingerprint and near-duplicate class of every document."""
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"))

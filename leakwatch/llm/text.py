@@ -1,6 +1,9 @@
 """Words, splits and staged tables shared by the operators of this package."""
 
+import pyarrow as pa
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from leakwatch.session import fresh_dir
 
@@ -62,3 +65,27 @@ def few_rows(df, rows, total=None):
     """
     total = df.count() if total is None else total
     return df if total <= rows else df.sample(fraction=rows / total, seed=7)
+
+
+def map_texts(df, keep, ddl, setup):
+    """Columns `keep` of a table as they are, and the columns `ddl` made from its texts.
+
+    `setup()` runs once in a task and returns a function from a list of texts (None for
+    null) to one list or array per new column. Rows go through in Arrow batches, so kept
+    values of any type come back unchanged, nulls included.
+    """
+    made = StructType.fromDDL(ddl)
+    kept = df.select(*[F.col(f"`{c}`") for c in keep]).schema
+    kinds = [(f.name, f.type) for f in to_arrow_schema(made)]
+
+    def run(batches):
+        make = setup()
+        for batch in batches:
+            columns = make(batch.column(batch.num_columns - 1).to_pylist())
+            arrays = [pa.array(c, t) for c, (_, t) in zip(columns, kinds)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(i) for i in range(len(keep))] + arrays, [*keep, *[n for n, _ in kinds]]
+            )
+
+    source = df.select(*[F.col(f"`{c}`") for c in keep], F.col("text").alias("_text_in"))
+    return source.mapInArrow(run, StructType([*kept.fields, *made.fields]))

@@ -1,6 +1,6 @@
 """One query per operator over its whole table, with its SQL check where SQL can state it."""
 
-from leakwatch.llm import decontaminate, mixing, quality, simhash
+from leakwatch.llm import decontaminate, lines, mixing, packing, quality, simhash
 
 QUERIES = {}
 CHECKS = {}
@@ -132,3 +132,15 @@ def op4_decontamination(spark, sf_dir):
 def op6_simhash_dedup(spark, sf_dir):
     """Fingerprint and near-duplicate class of every document."""
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+@query()
+def op2_token_packing(spark, sf_dir):
+    """Packed rows of token ids of every document."""
+    return packing.packed_rows(read(spark, sf_dir, "documents"))
+
+
+@query()
+def op7_line_dedup(spark, sf_dir):
+    """Repeated lines and sentences to remove, with their places."""
+    return lines.removals(read(spark, sf_dir, "documents"))

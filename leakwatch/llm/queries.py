@@ -1,6 +1,6 @@
 """One query per operator over its whole table, with its SQL check where SQL can state it."""
 
-from leakwatch.llm import decontaminate, lines, mixing, packing, quality, simhash
+from leakwatch.llm import decontaminate, langid, lines, mixing, packing, quality, simhash, toxicity
 
 QUERIES = {}
 CHECKS = {}
@@ -144,3 +144,16 @@ def op2_token_packing(spark, sf_dir):
 def op7_line_dedup(spark, sf_dir):
     """Repeated lines and sentences to remove, with their places."""
     return lines.removals(read(spark, sf_dir, "documents"))
+
+
+@query()
+def op5_language_id(spark, sf_dir):
+    """Language of every document."""
+    return langid.identify(read(spark, sf_dir, "documents"))
+
+
+@query()
+def op9_toxicity(spark, sf_dir):
+    """Toxicity score of every document."""
+    found = toxicity.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return found.drop("passages")

@@ -1,6 +1,6 @@
 """One query per operator over its whole table, with its SQL check where SQL can state it."""
 
-from leakwatch.llm import decontaminate, langid, lines, mixing, packing, quality, simhash, toxicity
+from leakwatch.llm import decontaminate, langid, lines, mixing, packing, quality, simhash, toxicity, urls
 
 QUERIES = {}
 CHECKS = {}
@@ -157,3 +157,9 @@ def op9_toxicity(spark, sf_dir):
     """Toxicity score of every document."""
     found = toxicity.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
     return found.drop("passages")
+
+
+@query()
+def op8_url_filter(spark, sf_dir):
+    """Verdict on the URL of every page."""
+    return urls.judge(read(spark, sf_dir, "pages"))

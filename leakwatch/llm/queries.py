@@ -1,6 +1,6 @@
 """One query per operator over its whole table, with its SQL check where SQL can state it."""
 
-from leakwatch.llm import decontaminate, langid, lines, mixing, packing, quality, simhash, toxicity, urls
+from leakwatch.llm import decontaminate, langid, lines, mixing, packing, quality, rnnlm, simhash, toxicity, urls
 
 QUERIES = {}
 CHECKS = {}
@@ -163,3 +163,9 @@ def op9_toxicity(spark, sf_dir):
 def op8_url_filter(spark, sf_dir):
     """Verdict on the URL of every page."""
     return urls.judge(read(spark, sf_dir, "pages"))
+
+
+@query()
+def op10_rnn_scoring(spark, sf_dir):
+    """Base and network log10 probability of every document."""
+    return rnnlm.language_scores(read(spark, sf_dir, "documents"))

@@ -71,7 +71,7 @@ def map_texts(df, keep, ddl, setup):
     """Columns `keep` of a table as they are, and the columns `ddl` made from its texts.
 
     `setup()` runs once in a task and returns a function from a list of texts (None for
-    null) to one list or array per new column. Rows go through in Arrow batches, so kept
+    null) to one list or array (Arrow's or numpy's) per new column. Rows go through in Arrow batches, so kept
     values of any type come back unchanged, nulls included.
     """
     made = StructType.fromDDL(ddl)
@@ -82,7 +82,7 @@ def map_texts(df, keep, ddl, setup):
         make = setup()
         for batch in batches:
             columns = make(batch.column(batch.num_columns - 1).to_pylist())
-            arrays = [pa.array(c, t) for c, (_, t) in zip(columns, kinds)]
+            arrays = [c if isinstance(c, pa.Array) else pa.array(c, t) for c, (_, t) in zip(columns, kinds)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(i) for i in range(len(keep))] + arrays, [*keep, *[n for n, _ in kinds]]
             )

@@ -53,6 +53,30 @@ def spread(n: Column, s: Column, sq: Column) -> Column:
     return F.sqrt(variance(n, s, sq))
 
 
+def moment_names(name):
+    return (f"{name}_n", f"{name}_mean", f"{name}_m2")
+
+
+def moments(name, x: Column) -> dict:
+    """Aggregates `<name>_n`, `_mean` and `_m2` (summed squared deviation), taken around the mean."""
+    return {
+        f"{name}_n": F.count(x),
+        f"{name}_mean": F.avg(x),
+        f"{name}_m2": F.coalesce(F.var_pop(x) * F.count(x), F.lit(0.0)),
+    }
+
+
+def stitched_m2(name, seam, center) -> Column:
+    """Summed squared deviation from `center`, over parts with moments and single seam values.
+
+    Parts are moved to the common mean by their distance from it, never by squares of the
+    values, so equal values far from 0 give 0.
+    """
+    moved = F.col(f"{name}_m2") + F.col(f"{name}_n") * F.pow(F.col(f"{name}_mean") - F.col(center), F.lit(2.0))
+    single = F.pow(F.col(seam) - F.col(center), F.lit(2.0))
+    return F.coalesce(F.sum(F.when(F.col(f"{name}_n") > 0, moved)), F.lit(0.0)) + F.coalesce(F.sum(single), F.lit(0.0))
+
+
 def decode_flags(flags: Column) -> Column:
     """TCP flag byte to a struct of six booleans; null (UDP) gives all false."""
     byte = F.coalesce(flags.cast("int"), F.lit(0))

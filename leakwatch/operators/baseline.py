@@ -38,7 +38,8 @@ def monitor(windows, threshold=fixed.ONLINE_THRESHOLD, warmup=fixed.WARMUP_WINDO
     decision before it and no window frame can express it. Sources are spread
     over tasks and sorted by time; a task then streams Arrow batches and keeps
     the fixed-size state of the current source only. A source has one row per
-    window however many packets it sent, so packet skew does not reach here.
+    window however many packets it sent, so packet skew does not reach here. With a
+    column `epoch` (see `with_resets`) a source starts afresh in each epoch.
     """
     if not enabled:
         return windows.withColumns(
@@ -55,7 +56,10 @@ def monitor(windows, threshold=fixed.ONLINE_THRESHOLD, warmup=fixed.WARMUP_WINDO
         for batch in batches:
             rows = _matrix(batch, NAMES)
             results = []
-            for owner, x in zip(batch.column("src_ip").to_pylist(), rows):
+            owners = batch.column("src_ip").to_pylist()
+            if "epoch" in batch.schema.names:
+                owners = zip(owners, batch.column("epoch").to_pylist())
+            for owner, x in zip(owners, rows):
                 if state is None or owner != source:
                     source, state = owner, Baseline()
                 results.append(state.observe(x, threshold, warmup))
@@ -92,8 +96,26 @@ def source_stats(monitored):
     )
 
 
+def with_resets(windows, resets):
+    """Adds `epoch`: how many resets of its source a window has seen, for `monitor`.
+
+    resets: (src_ip, at in seconds); a null source resets all. A window that starts at a
+    reset or later belongs to the new epoch and is scored against that epoch's past only.
+    """
+    times = F.sort_array(F.collect_list("at"))
+    own = resets.filter(F.col("src_ip").isNotNull()).groupBy("src_ip").agg(times.alias("_own"))
+    every = resets.filter(F.col("src_ip").isNull()).agg(times.alias("_every")).scalar()
+    joined = windows.join(own, "src_ip", "left").withColumn("_every", every)
+
+    def passed(c):
+        return F.coalesce(F.size(F.filter(c, lambda t: t <= F.col("window_start"))), F.lit(0))
+
+    mine = F.when(F.col("_own").isNull(), F.lit(0)).otherwise(passed(F.col("_own")))
+    return joined.withColumn("epoch", mine + passed(F.col("_every"))).drop("_own", "_every")
+
+
 def without_sources(windows, sources=None):
-    """Reset in batch: history of the given sources (all if None) is left out."""
+    """Windows of the given sources (all if None) left out."""
     if sources is None:
         return windows.limit(0)
     return windows.filter(~F.col("src_ip").isin(*sources))
@@ -122,14 +144,20 @@ def running_moments(windows, by, feature):
 
 
 def merge_moments(parts, by):
-    """Combine partial (n, mean, m2) rows into one row per group."""
+    """Combine partial (n, mean, m2) rows into one row per group.
+
+    The common mean comes first; parts are then moved to it by their distance, so large
+    means do not cancel. A group has few parts; their means are combined before the join.
+    """
+    some = parts.filter(F.col("n") > 0).select(*by, "n", "mean", "m2", F.lit(1).alias("_one"))
+    keys = [*by, "_one"]
+    near = some.join(some.groupBy(*keys).agg(F.min("mean").alias("_anchor")), keys)
+    off = F.col("mean") - F.col("_anchor")
     n = F.sum("n")
-    mean = F.sum(F.col("n") * F.col("mean")) / n
-    square = F.sum(F.col("m2") + F.col("n") * F.col("mean") * F.col("mean"))
-    return (
-        parts.filter(F.col("n") > 0)
-        .groupBy(*by)
-        .agg(n.alias("n"), mean.alias("mean"), F.greatest(square - n * mean * mean, F.lit(0.0)).alias("m2"))
+    shift = F.sum(F.col("n") * off) / n
+    moved = F.sum(F.col("m2") + F.col("n") * off * off) - n * shift * shift
+    return near.groupBy(*by).agg(
+        n.alias("n"), (F.first("_anchor") + shift).alias("mean"), F.greatest(moved, F.lit(0.0)).alias("m2")
     )
 
 

@@ -133,7 +133,7 @@ def improve_threshold(scores, by=MODEL, max_fpr=fixed.MAX_FPR, start=0.5, **tuni
     current = with_rates(confusion(scores, start, by)).withColumn("threshold", F.lit(start))
     current = current.select(*by, F.struct(*_POINT).alias("now"))
     scan = threshold_scan(scores, by, fixed.IMPROVE_RANGE, **tuning)
-    better = spread.join_small(scan, current, by).filter(
+    better = scan.join(current, list(by)).filter(
         (F.col("fpr") <= max_fpr) & (F.col("recall") > F.col("now.recall"))
     )
     best = better.groupBy(*by).agg(
@@ -172,7 +172,7 @@ def validation_threshold_on_test(scores, by=MODEL, max_fpr=fixed.MAX_FPR, **tuni
         .groupBy(*by, "score")
         .agg(F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg"))
     )
-    scan_counts = spread.join_small(scan_counts, chosen, by)
+    scan_counts = scan_counts.join(chosen, list(by))
     above = F.col("score") >= F.col("threshold")
     counts = scan_counts.groupBy(*by, "threshold").agg(
         F.sum(F.when(above, F.col("pos")).otherwise(0)).alias("tp"),

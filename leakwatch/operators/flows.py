@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 
 from leakwatch.functions import columns as C
 from leakwatch.functions import fixed
-from leakwatch.operators import spread
 
 KEYS = ["a_ip", "a_port", "b_ip", "b_port"]
 ORDER = ["ts_us", "packet_id"]
 MIN_PACKETS = 2
 HEADER_BYTES = 40
+SLICE_US = 60_000_000
 
 
 def with_endpoints(packets):
@@ -89,9 +89,8 @@ def _oriented_keys(frame):
 
 
 def _gap_measures(prefix, gap):
-    wide = gap.cast("double")
     return {
-        f"{prefix}_gap_sq": F.sum(wide * wide),
+        **C.moments(f"{prefix}_gap", gap),
         f"{prefix}_gap_min": F.min(gap),
         f"{prefix}_gap_max": F.max(gap),
     }
@@ -161,12 +160,6 @@ def _aliased(measures):
     return [c.alias(n) for n, c in measures.items()]
 
 
-def _measure(packets, keys):
-    gapped = _with_gaps(packets, keys)
-    gaps = _gaps(F.col("all_gap"), F.col("a_gap"), F.col("b_gap"))
-    return gapped.groupBy(*keys).agg(*_aliased(_unordered()), *_aliased(gaps))
-
-
 def _merge(name):
     if name.endswith("_head") or name == "opened_by_a":
         # Each slice names its own first packet; the earliest slice that has one counts.
@@ -178,9 +171,9 @@ def _merge(name):
     return F.sum(name)
 
 
-def _measure_sliced(packets, keys):
-    """The same measures with long flows cut into range slices and stitched."""
-    sliced = spread.range_slices(packets, keys, ORDER)
+def _measure(packets, keys):
+    """All measures of a flow, cut into slices of time that are stitched."""
+    sliced = packets.withColumn("_slice", F.expr(f"ts_us div {SLICE_US}L"))
     unordered = _unordered()
     gaps = _gaps(F.col("all_gap"), F.col("a_gap"), F.col("b_gap"))
     pieces = (
@@ -188,24 +181,34 @@ def _measure_sliced(packets, keys):
         .groupBy(*keys, "_slice")
         .agg(*_aliased(unordered), *_aliased(gaps))
     )
-    earlier = (
-        Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    )
+    flow = Window.partitionBy(*keys)
+    earlier = flow.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
 
     def seam(first, last):
         return F.col(first) - F.last(last, ignorenulls=True).over(earlier)
 
+    def center(first, last, n):
+        gaps = F.sum(n).over(flow) - 1
+        return F.when(gaps > 0, (F.max(last).over(flow) - F.min(first).over(flow)) / gaps)
+
     seamed = pieces.withColumns(
         {
+            "all_center": center("first_us", "last_us", F.col("a_n") + F.col("b_n")),
+            "a_center": center("a_first", "a_last", F.col("a_n")),
+            "b_center": center("b_first", "b_last", F.col("b_n")),
             "all_seam": seam("first_us", "last_us"),
             "a_seam": seam("a_first", "a_last"),
             "b_seam": seam("b_first", "b_last"),
         }
     )
+    sides = ("all", "a", "b")
+    around = {n for side in sides for n in C.moment_names(f"{side}_gap")}
     seams = _gaps(F.col("all_seam"), F.col("a_seam"), F.col("b_seam"))
+    seams = {n: c for n, c in seams.items() if n not in around}
     merged = seamed.groupBy(*keys).agg(
-        *[_merge(n).alias(n) for n in [*unordered, *gaps]],
+        *[_merge(n).alias(n) for n in [*unordered, *gaps] if n not in around],
         *[c.alias(f"seam_{n}") for n, c in seams.items()],
+        *[C.stitched_m2(f"{s}_gap", f"{s}_seam", f"{s}_center").alias(f"{s}_gap_m2") for s in sides],
     )
     stitched = {}
     for n in seams:
@@ -213,21 +216,18 @@ def _measure_sliced(packets, keys):
             stitched[n] = F.least(n, f"seam_{n}")
         elif n.endswith("_max"):
             stitched[n] = F.greatest(n, f"seam_{n}")
-        elif n == "bursts":
-            stitched[n] = F.col(n) + F.col(f"seam_{n}")
         else:
-            both = F.coalesce(n, F.lit(0.0)) + F.coalesce(f"seam_{n}", F.lit(0.0))
-            stitched[n] = F.when(F.col(n).isNull() & F.col(f"seam_{n}").isNull(), F.lit(None)).otherwise(both)
+            stitched[n] = F.col(n) + F.col(f"seam_{n}")
     return merged.withColumns(stitched).drop(*[f"seam_{n}" for n in seams])
 
 
-def _gap_columns(label, n, span, sq, low, high, with_total=True):
+def _gap_columns(label, n, span, m2, low, high, with_total=True):
     """Total, mean, deviation and extremes of one kind of gap, in microseconds."""
     zero = F.lit(0.0)
     columns = {
         f"{label} Total": F.coalesce(span.cast("double"), zero),
         f"{label} Mean": F.when(n > 0, span / n).otherwise(zero),
-        f"{label} Std": F.when(n > 1, C.spread(n, span, sq)).otherwise(zero),
+        f"{label} Std": F.when(n > 1, F.sqrt(m2 / n)).otherwise(zero),
         f"{label} Max": F.coalesce(high.cast("double"), zero),
         f"{label} Min": F.coalesce(low.cast("double"), zero),
     }
@@ -238,7 +238,7 @@ def _gap_columns(label, n, span, sq, low, high, with_total=True):
 
 def _finish(measured, extra):
     names = ["n", "len", "len_sq", "len_min", "len_max", "pay", "data", "psh", "urg", "head",
-             "first", "last", "gap_sq", "gap_min", "gap_max"]
+             "first", "last", "gap_m2", "gap_min", "gap_max"]
     sides = {f"{side}_{n}": _pick(n, side) for side in ("fwd", "bwd") for n in names}
     f = _oriented_keys(measured).withColumns(sides)
 
@@ -270,14 +270,14 @@ def _finish(measured, extra):
         span = F.when(gaps > 0, F.col(f"{side}_last") - F.col(f"{side}_first"))
         return _gap_columns(
             label, F.greatest(gaps, F.lit(1)), F.coalesce(span, zero),
-            F.coalesce(f"{side}_gap_sq", F.lit(0.0)),
+            F.col(f"{side}_gap_m2"),
             F.col(f"{side}_gap_min"), F.col(f"{side}_gap_max"), with_total,
         )
 
     gaps = n - 1
     flow_gaps = _gap_columns(
         "Flow IAT", F.greatest(gaps, F.lit(1)), F.col("last_us") - F.col("first_us"),
-        F.coalesce("all_gap_sq", F.lit(0.0)), F.col("all_gap_min"), F.col("all_gap_max"), False,
+        F.col("all_gap_m2"), F.col("all_gap_min"), F.col("all_gap_max"), False,
     )
     out = {
         "Flow Duration": duration,
@@ -342,7 +342,7 @@ def _finish(measured, extra):
     return kept.select(*extra, *[c.alias(name) for name, c in out.items()])
 
 
-def flow_features(packets, within=None, rows_per_task=spread.ROWS_PER_TASK):
+def flow_features(packets, within=None):
     """Features of every TCP flow with at least two packets.
 
     `within` names columns that keep flows apart (such as the capture file and
@@ -351,11 +351,7 @@ def flow_features(packets, within=None, rows_per_task=spread.ROWS_PER_TASK):
     within = list(within or [])
     keys = [*within, *KEYS]
     tcp = with_endpoints(packets.filter(F.col("protocol") == "TCP"))
-    if spread.has_hot_group(tcp, keys, rows_per_task):
-        measured = _measure_sliced(tcp, keys)
-    else:
-        measured = _measure(tcp, keys)
-    return _finish(measured, within)
+    return _finish(_measure(tcp, keys), within)
 
 
 def window_features_of_flows(flows):

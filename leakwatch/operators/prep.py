@@ -8,25 +8,39 @@ from leakwatch.operators import spread
 
 
 def stratified_split(rows, id_col="id", label="label", shares=None, seed=fixed.SEED):
-    """Adds `split`: each class is cut at exact shares of its size, in hashed order."""
+    """Adds `split`: each class is cut at exact shares of its size, in hashed order.
+
+    The cuts are found first; rows are then assigned where they lie, without a shuffle.
+    """
     shares = shares or fixed.SPLIT_SHARES
-    ranked = spread.global_rank(rows, [label], C.mix(id_col, seed), C.MIX_DOMAIN, id_col)
     names = list(shares)
-    choice, reached = F.lit(names[-1]), 0.0
-    limits = []
+    number = C.mix(id_col, seed)
+    ranks, reached = {}, 0.0
     for name in names[:-1]:
         reached += shares[name]
-        limits.append((name, F.floor(F.col("_rank_of") * F.lit(round(reached, 9)) + F.lit(0.5))))
-    for name, limit in reversed(limits):
-        choice = F.when(F.col("_rank") <= limit, F.lit(name)).otherwise(choice)
-    return ranked.withColumn("split", choice).drop("_rank", "_rank_of")
+        ranks[name] = lambda n, share=round(reached, 9): F.floor(n * F.lit(share) + F.lit(0.5))
+    cuts = spread.hash_cuts(rows, [label], number, C.MIX_DOMAIN, id_col, ranks)
+    choice = F.lit(names[-1])
+    for (value,), at in cuts.items():
+        own = F.lit(names[-1])
+        for name in reversed(names[:-1]):
+            own = F.when(spread.within_cut(number, id_col, at[name]), F.lit(name)).otherwise(own)
+        choice = F.when(F.col(label).eqNullSafe(F.lit(value)), own).otherwise(choice)
+    return rows.withColumn("split", choice)
 
 
 def class_subsample(rows, quotas, id_col="id", label="label", seed=fixed.SEED):
-    """At most `quotas[class]` rows of each class, drawn without replacement."""
-    ranked = spread.global_rank(rows, [label], C.mix(id_col, seed), C.MIX_DOMAIN, id_col)
+    """At most `quotas[class]` rows of each class, drawn without replacement, by a filter on the hash."""
+    number = C.mix(id_col, seed)
     limit = F.create_map(*[F.lit(x) for kv in quotas.items() for x in kv])
-    return ranked.filter(F.col("_rank") <= F.element_at(limit, F.col(label))).drop("_rank", "_rank_of")
+    cuts = spread.hash_cuts(
+        rows.filter(F.col(label).isin(list(quotas))), [label], number, C.MIX_DOMAIN, id_col,
+        {"quota": lambda n: F.element_at(limit, F.col(label))},
+    )
+    kept = F.lit(False)
+    for (value,), at in cuts.items():
+        kept = kept | ((F.col(label) == value) & spread.within_cut(number, id_col, at["quota"]))
+    return rows.filter(kept)
 
 
 def _class_sizes(rows, label):
@@ -59,10 +73,10 @@ def subsample_realistic(rows, target=100_000, **names):
 
 
 def uniform_subsample(rows, size=50_000, id_col="id", seed=fixed.SEED):
-    """Exactly `size` rows (all if fewer), drawn without replacement."""
-    one = rows.withColumn("_all", F.lit(1))
-    ranked = spread.global_rank(one, ["_all"], C.mix(id_col, seed), C.MIX_DOMAIN, id_col)
-    return ranked.filter(F.col("_rank") <= size).drop("_all", "_rank", "_rank_of")
+    """Exactly `size` rows (all if fewer), drawn without replacement, by a filter on the hash."""
+    number = C.mix(id_col, seed)
+    cuts = spread.hash_cuts(rows, [], number, C.MIX_DOMAIN, id_col, {"size": lambda n: F.lit(size)})
+    return rows.filter(spread.within_cut(number, id_col, cuts[()]["size"])) if cuts else rows
 
 
 def fit_scaler(rows, names):

@@ -1,8 +1,8 @@
 """Keeping ordered work balanced when one group holds much of the data.
 
-Three exact tools: splitting a hot group by range so that neighbouring rows can
-still be compared, ranking all rows of a group without sorting it in one task,
-and running totals over a long ordered list.
+Exact tools, each with one plan for every size: running totals over a long ordered list,
+quantiles, ranking all rows of a group without sorting it in one task, and the cut points
+of a hashed order.
 """
 
 import math
@@ -10,111 +10,110 @@ import math
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-ROWS_PER_TASK = 4_000_000
-SMALL_ROWS = 10_000
+from leakwatch.session import staged
 
+BINS = 1 << 16
 
-def has_hot_group(df, keys, rows_per_task=ROWS_PER_TASK, sampled_rows=2000):
-    """Whether some group is too long to be ordered by one task.
 
-    Runs one light job over the key columns. Only the choice of plan rests on
-    the sample; both plans give the same rows.
-    """
-    fraction = min(1.0, sampled_rows / rows_per_task)
-    probe = df.select(*keys)
-    if fraction < 1.0:
-        probe = probe.sample(fraction=fraction, seed=11)
-    longest = probe.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    return longest / fraction > rows_per_task
-
-
-def range_slices(df, keys, order, name="_slice"):
-    """Cut the sorted order of (keys, order) into consecutive slices of like size.
-
-    Slices are numbered in order, so a group that spans several can be stitched
-    together from one summary row per slice.
-    """
-    return df.repartitionByRange(*keys, *order).withColumn(name, F.spark_partition_id())
-
-
-def _interval_number(c, cuts, base=0):
-    """How many cuts lie below the value, as a balanced tree of comparisons."""
-    if not cuts:
-        return F.lit(base)
-    mid = len(cuts) // 2
-    low = _interval_number(c, cuts[:mid], base)
-    high = _interval_number(c, cuts[mid + 1 :], base + mid + 1)
-    return F.when(c <= cuts[mid], low).otherwise(high)
-
-
-def running_totals(rows, by, key, values, descending=False, rows_per_task=ROWS_PER_TASK):
+def running_totals(rows, by, key, values, descending=False):
     """Distinct keys of each group with `values` (name -> aggregate), `cum_<name>` and
     `total_<name>`, the sum over the group.
 
-    Rows are first reduced to one per distinct key. When the keys of all groups
-    together fit one task, a plain running sum follows. Otherwise the key range
-    is cut at approximate quantiles (any cuts give the same totals), and each
-    piece starts from the totals of the pieces before it.
+    Rows are first reduced to one per distinct key, and those are range-partitioned by
+    (group, key) and written, so that a piece is what one task sorted; there are as many as
+    the session has shuffle partitions. One row per piece gives each its start.
     """
     by = list(by)
     counts = rows.groupBy(*by, key).agg(*[c.alias(n) for n, c in values.items()])
-    distinct = rows.agg(F.approx_count_distinct(F.struct(*by, key))).first()[0]
+    ranged = counts.repartitionByRange(*[F.col(c) for c in by], F.col(key))
+    placed = staged(ranged.withColumn("_piece", F.spark_partition_id()), "running-totals")
     order = F.col(key).desc() if descending else F.col(key).asc()
     group = Window.partitionBy(*by)
-
-    pieces = math.ceil(distinct / rows_per_task)
-    if pieces <= 1:
-        return counts.withColumns(
-            {
-                **{f"cum_{n}": F.sum(n).over(group.orderBy(order)) for n in values},
-                **{f"total_{n}": F.sum(n).over(group) for n in values},
-            }
-        )
-
-    pieces = min(pieces, 1024)
-    shares = [i / pieces for i in range(1, pieces)]
-    cuts = sorted(set(counts.approxQuantile(key, shares, 0.1 / pieces)))
-    placed = counts.withColumn("_piece", _interval_number(F.col(key), cuts))
     piece_order = F.col("_piece").desc() if descending else F.col("_piece").asc()
     before = group.orderBy(piece_order).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         placed.groupBy(*by, "_piece")
         .agg(*[F.sum(n).alias(n) for n in values])
         .select(
-            *by,
-            "_piece",
+            *[F.col(c).alias(f"_of_{i}") for i, c in enumerate(by)],
+            F.col("_piece").alias("_at"),
             *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"_before_{n}") for n in values],
             *[F.sum(n).over(group).alias(f"total_{n}") for n in values],
         )
     )
+    same = F.col("_piece") == F.col("_at")
+    for i, c in enumerate(by):
+        same = same & F.col(c).eqNullSafe(F.col(f"_of_{i}"))
     inside = Window.partitionBy(*by, "_piece").orderBy(order)
-    joined = placed.join(offsets, [*by, "_piece"])
-    out = joined.withColumns({f"cum_{n}": F.col(f"_before_{n}") + F.sum(n).over(inside) for n in values})
-    return out.drop("_piece", *[f"_before_{n}" for n in values])
+    summed = placed.withColumns({f"cum_{n}": F.sum(n).over(inside) for n in values})
+    joined = summed.join(offsets, same)
+    out = joined.withColumns({f"cum_{n}": F.col(f"_before_{n}") + F.col(f"cum_{n}") for n in values})
+    return out.drop("_piece", "_at", *[f"_of_{i}" for i in range(len(by))], *[f"_before_{n}" for n in values])
 
 
-def join_small(rows, table, on, how="inner", limit=SMALL_ROWS):
-    """Join with a table that is expected to be small, such as one row per model.
+def hash_cuts(rows, by, number, domain, tie, ranks):
+    """Where the hashed order of each group reaches given ranks: {(group values): {name: (number, tie)}}.
 
-    The table is computed now. Up to `limit` rows it is broadcast, so that the
-    long side is not shuffled by a key with few values; beyond that the join is
-    left to the optimizer.
+    `number` is an evenly spread whole number in 0..domain-1; ties are broken by `tie`.
+    `ranks` maps a name to a function from a group's size to a rank from 1. A rank of 0 or
+    less has no cut (None); one beyond the size gets the last row. Only bin counts and the
+    few bins that hold a cut are looked at, so nothing long is sorted or shuffled.
     """
-    held = table.limit(limit + 1).collect()
-    if len(held) > limit:
-        return rows.join(table, list(on), how)
-    small = rows.sparkSession.createDataFrame(held, table.schema)
-    return rows.join(F.broadcast(small), list(on), how)
-
-
-def global_rank(df, by, number, domain, tie, pieces=4096, name="_rank"):
+    by = list(by)
+    binned = rows.select(*by, number.alias("_number"), F.col(tie).alias("_tie")).withColumn(
+        "_bin", F.floor(F.col("_number") * F.lit(float(BINS)) / F.lit(float(domain))).cast("int")
+    )
+    sizes = staged(binned.groupBy(*by, "_bin").count(), "hash-bins")
+    group = Window.partitionBy(*by)
+    running = sizes.select(
+        *by,
+        "_bin",
+        F.sum("count").over(group).alias("_size"),
+        F.sum("count").over(group.orderBy("_bin")).alias("_upto"),
+        "count",
+    )
+    wanted = F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.least(rank(F.col("_size")), F.col("_size")).cast("long").alias("rank")) for n, rank in ranks.items()]))
+    hits = (
+        running.withColumn("_w", wanted)
+        .filter((F.col("_w.rank") <= F.col("_upto")) & (F.col("_w.rank") > F.col("_upto") - F.col("count")))
+        .select(*by, "_bin", "_w.name", (F.col("_w.rank") - F.col("_upto") + F.col("count")).alias("place"))
+        .collect()
+    )
+    cuts = {tuple(r[c] for c in by): dict.fromkeys(ranks) for r in sizes.select(*by).distinct().collect()}
+    if not hits:
+        return cuts
+    held = F.lit(False)
+    for r in {tuple(r[c] for c in [*by, "_bin"]) for r in hits}:
+        one = F.col("_bin") == r[-1]
+        for c, v in zip(by, r):
+            one = one & F.col(c).eqNullSafe(F.lit(v))
+        held = held | one
+    inside = Window.partitionBy(*by, "_bin").orderBy("_number", "_tie")
+    places = sorted({r["place"] for r in hits})
+    found = binned.filter(held).withColumn("_place", F.row_number().over(inside)).filter(F.col("_place").isin(places))
+    at = {(*[r[c] for c in by], r["_bin"], r["_place"]): (r["_number"], r["_tie"]) for r in found.collect()}
+    for r in hits:
+        key = tuple(r[c] for c in by)
+        cuts[key][r["name"]] = at[(*key, r["_bin"], r["place"])]
+    return cuts
+
+
+def within_cut(number, tie, cut):
+    """Whether a row is at or before a cut of the hashed order."""
+    if cut is None:
+        return F.lit(False)
+    return (number < cut[0]) | ((number == cut[0]) & (F.col(tie) <= F.lit(cut[1])))
+
+
+def global_rank(df, by, number, domain, tie, name="_rank"):
     """Exact position (from 1) of each row in its group, and `<name>_of`, its size.
 
     `number` is an evenly spread whole number in 0..domain-1 (a hash of the id),
     so equal pieces of its domain hold like numbers of rows and no task has to
-    sort a whole group.
+    sort a whole group. There are about as many pieces as rows in a piece.
     """
     by = list(by)
+    pieces = max(1, math.isqrt(df.count()))
     placed = df.withColumn("_number", number).withColumn(
         "_piece", F.floor(F.col("_number") / F.lit(math.ceil(domain / pieces))).cast("int")
     )
@@ -137,7 +136,7 @@ def global_rank(df, by, number, domain, tie, pieces=4096, name="_rank"):
     return ranked.drop("_number", "_piece", "_before")
 
 
-def exact_quantiles(df, by, value, shares, rows_per_task=ROWS_PER_TASK):
+def exact_quantiles(df, by, value, shares):
     """Exact quantiles with linear interpolation; `shares` maps name -> share.
 
     Works on distinct values with running counts, so no task ever holds all
@@ -145,9 +144,7 @@ def exact_quantiles(df, by, value, shares, rows_per_task=ROWS_PER_TASK):
     """
     by = list(by)
     keyed = df.filter(F.col(value).isNotNull())
-    sized = running_totals(
-        keyed, by, value, {"n": F.count(F.lit(1))}, rows_per_task=rows_per_task
-    )
+    sized = running_totals(keyed, by, value, {"n": F.count(F.lit(1))})
     picks = []
     for name, share in shares.items():
         spot = F.lit(float(share)) * (F.col("total_n") - 1)

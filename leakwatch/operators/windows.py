@@ -1,9 +1,9 @@
 """Per-source tumbling windows and their features.
 
 Packets are grouped by source and event-time bucket. Most measures are plain
-mergeable aggregates; the gaps between consecutive packets need an order. If a
-group is too long to be ordered by one task, the order is cut into range slices
-and the slice summaries are stitched.
+mergeable aggregates; the gaps between consecutive packets need an order. Every
+bucket is cut into short slices of time, so that a busy source is ordered by
+many tasks, and the slice summaries are stitched.
 """
 
 from pyspark.sql import Window
@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from leakwatch.functions import columns as C
 from leakwatch.functions import fixed
-from leakwatch.operators import spread
 
 KEYS = ["src_ip", "bucket_us"]
+SLICES = 12  # of a window
 
 
 def with_bucket(packets, seconds=fixed.WINDOW_SECONDS):
@@ -61,9 +61,8 @@ def _unordered():
 def _gaps(gap="gap_us", leader="is_fwd"):
     """Measures of the gaps; `leader` tells the direction of the earlier packet."""
     g = F.col(gap)
-    wide = g.cast("double")
     return {
-        "gap_sq": F.sum(wide * wide),
+        **C.moments("gap", g),
         "gap_min": F.min(g),
         "gap_max": F.max(g),
         "fwd_gaps": F.count_if(F.col(leader) & g.isNotNull()),
@@ -76,7 +75,7 @@ def _aliased(measures):
 
 
 def _measure(packets):
-    """One shuffle on (source, bucket); everything else happens in place."""
+    """One shuffle on (source, bucket); columns nobody reads drop out of the plan."""
     order = Window.partitionBy(*KEYS).orderBy("ts_us", "packet_id")
     gapped = packets.withColumn("gap_us", F.lead("ts_us").over(order) - F.col("ts_us"))
     return gapped.groupBy(*KEYS).agg(
@@ -98,9 +97,9 @@ def _merge(name):
     return F.sum(name)
 
 
-def _measure_sliced(packets):
-    """The same measures when a group may be too long for one task."""
-    sliced = spread.range_slices(packets, KEYS, ["ts_us", "packet_id"])
+def _measure_sliced(packets, slice_us):
+    """The same measures, each bucket cut into slices of time."""
+    sliced = packets.withColumn("_slice", F.expr(f"(ts_us - bucket_us) div {slice_us}L"))
     order = Window.partitionBy(*KEYS, "_slice").orderBy("ts_us", "packet_id")
     gapped = sliced.withColumn("gap_us", F.lead("ts_us").over(order) - F.col("ts_us"))
     unordered, gaps = _unordered(), _gaps()
@@ -109,18 +108,19 @@ def _measure_sliced(packets):
     pieces = gapped.groupBy(*KEYS, "_slice").agg(
         *_aliased(unordered), *_aliased(gaps), tail.alias("tail_fwd")
     )
-    # One row per slice is left: the gap to the next slice joins its summary.
-    following = Window.partitionBy(*KEYS).orderBy("_slice")
-    seam = F.lead("first_us").over(following) - F.col("last_us")
-    seamed = pieces.withColumn("seam_us", seam)
-    seams = _gaps("seam_us", "tail_fwd")
+    # A few rows per bucket are left: the gap to the next slice joins its summary.
+    bucket = Window.partitionBy(*KEYS)
+    seam = F.lead("first_us").over(bucket.orderBy("_slice")) - F.col("last_us")
+    center = (F.max("last_us").over(bucket) - F.min("first_us").over(bucket)) / (F.sum("n").over(bucket) - 1)
+    seamed = pieces.withColumns({"seam_us": seam, "_center": F.when(F.sum("n").over(bucket) > 1, center)})
+    seams = {k: v for k, v in _gaps("seam_us", "tail_fwd").items() if k not in C.moment_names("gap")}
     merged = seamed.groupBy(*KEYS).agg(
-        *[_merge(n).alias(n) for n in [*unordered, *gaps]],
+        *[_merge(n).alias(n) for n in [*unordered, *gaps] if n not in C.moment_names("gap")],
         *[c.alias(f"seam_{n}") for n, c in seams.items()],
+        C.stitched_m2("gap", "seam_us", "_center").alias("gap_m2"),
     )
     joined = merged.withColumns(
         {
-            "gap_sq": F.coalesce("gap_sq", F.lit(0.0)) + F.coalesce("seam_gap_sq", F.lit(0.0)),
             "gap_min": F.least("gap_min", "seam_gap_min"),
             "gap_max": F.greatest("gap_max", "seam_gap_max"),
             "fwd_gaps": F.col("fwd_gaps") + F.col("seam_fwd_gaps"),
@@ -158,7 +158,7 @@ def finish(measured, seconds=fixed.WINDOW_SECONDS, start="bucket", min_packets=f
         "unusual_port_ratio": F.col("unusual") / n,
         "request_rate": n / F.greatest(span / 1e6, F.lit(0.001)),
         "inter_request_time_mean": F.when(gaps > 0, span / gaps / 1e6).otherwise(F.lit(0.0)),
-        "inter_request_time_std": C.spread(gaps, span, F.col("gap_sq")) / 1e6,
+        "inter_request_time_std": F.when(gaps > 1, F.sqrt(F.col("gap_m2") / gaps)).otherwise(0.0) / 1e6,
         "inter_request_time_min": F.coalesce(F.col("gap_min") / 1e6, F.lit(0.0)),
         "inter_request_time_max": F.coalesce(F.col("gap_max") / 1e6, F.lit(0.0)),
         "window_duration": length,
@@ -189,7 +189,6 @@ def window_features(
     seconds=fixed.WINDOW_SECONDS,
     start="bucket",
     min_packets=fixed.MIN_PACKETS,
-    rows_per_task=spread.ROWS_PER_TASK,
     ordered=True,
 ):
     """All features of every source and window.
@@ -199,10 +198,7 @@ def window_features(
     columns are selected, so that packets are combined before the shuffle.
     """
     prepared = with_direction(with_bucket(packets, seconds))
-    if ordered and spread.has_hot_group(prepared, KEYS, rows_per_task):
-        measured = _measure_sliced(prepared)
-    else:
-        measured = _measure(prepared)
+    measured = _measure_sliced(prepared, max(1, int(seconds * 1_000_000) // SLICES)) if ordered else _measure(prepared)
     return finish(measured, seconds, start, min_packets)
 
 

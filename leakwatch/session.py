@@ -34,13 +34,20 @@ def build_session(name="leakwatch", master=None, shuffle_partitions=None, extra=
     return builder.getOrCreate()
 
 
+def is_one_machine(master):
+    """Whether driver and executors are one process (local-cluster is not)."""
+    return master == "local" or master.startswith("local[")
+
+
 def shared_root(spark):
     """The folder all executors see: the one the cluster names in
-    `spark.checkpoint.dir`. Only where that is unset (tests on one machine) is a
-    temporary folder made, once per session."""
+    `spark.checkpoint.dir`. Only where that is unset on a single machine is a
+    temporary folder made, once per session; elsewhere it would not be shared."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not is_one_machine(spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     made = spark.conf.get("leakwatch.work.dir", None)
     if not made:
         made = tempfile.mkdtemp(prefix="leakwatch-")
@@ -60,3 +67,10 @@ def cut_lineage(df):
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(f"{shared_root(spark)}/leakwatch/checkpoints")
     return df.checkpoint(eager=True)
+
+
+def staged(df, purpose):
+    """Write a table to the shared folder and read it back: later steps prune its columns."""
+    path = fresh_dir(df.sparkSession, purpose)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -23,11 +23,7 @@ def _pairs(rows):
 def _gap_summary(gaps):
     """The gap measures of an array of (gap_us, led) structs."""
     lengths = F.transform(gaps, lambda g: g["gap_us"])
-    square = F.aggregate(
-        lengths, F.lit(0.0), lambda total, g: total + g.cast("double") * g.cast("double")
-    )
     return {
-        "gap_sq": square,
         "gap_min": F.array_min(lengths),
         "gap_max": F.array_max(lengths),
         "fwd_gaps": F.size(F.filter(gaps, lambda g: g["led"])).cast("bigint"),
@@ -37,6 +33,11 @@ def _gap_summary(gaps):
     }
 
 
+def _around(values, center):
+    """Summed squared distance of an array of numbers from a value."""
+    return F.aggregate(values, F.lit(0.0), lambda total, g: total + F.pow(g - center, F.lit(2.0)))
+
+
 def window_features(
     packets,
     seconds=fixed.WINDOW_SECONDS,
@@ -70,7 +71,17 @@ def window_features(
         ),
     )
     summary = _gap_summary(gaps)
-    edge = F.struct("first_us", "last_us", F.element_at("seen", -1)["is_fwd"].alias("tail_fwd"))
+    lengths = F.transform(gaps, lambda g: g["gap_us"])
+    count = F.size("seen") - 1
+    mean = (F.col("last_us") - F.col("first_us")) / F.greatest(count, F.lit(1))
+    edge = F.struct(
+        "first_us",
+        "last_us",
+        F.element_at("seen", -1)["is_fwd"].alias("tail_fwd"),
+        count.alias("gap_n"),
+        mean.alias("gap_mean"),
+        _around(lengths, mean).alias("gap_m2"),
+    )
     closed = slices.select(
         F.window_time("slice").alias("slice_time"),
         "src_ip",
@@ -84,18 +95,21 @@ def window_features(
         F.array_sort(F.collect_list("edge")).alias("edges"),
         F.size(F.array_distinct(F.flatten(F.collect_list("destinations")))).cast("bigint").alias("destinations"),
     )
-    seams = _gap_summary(
-        F.transform(
-            _pairs(F.col("edges")),
-            lambda p: F.struct(
-                (p["b"]["first_us"] - p["a"]["last_us"]).alias("gap_us"), p["a"]["tail_fwd"].alias("led")
-            ),
-        )
+    between = F.transform(
+        _pairs(F.col("edges")),
+        lambda p: F.struct((p["b"]["first_us"] - p["a"]["last_us"]).alias("gap_us"), p["a"]["tail_fwd"].alias("led")),
+    )
+    seams = _gap_summary(between)
+    center = (F.col("last_us") - F.col("first_us")) / F.greatest(F.col("n") - 1, F.lit(1))
+    inside = F.aggregate(
+        "edges",
+        F.lit(0.0),
+        lambda total, e: total + e["gap_m2"] + e["gap_n"] * F.pow(e["gap_mean"] - center, F.lit(2.0)),
     )
     stitched = merged.withColumns(
         {
             "bucket_us": F.unix_micros("window.start"),
-            "gap_sq": F.col("gap_sq") + seams["gap_sq"],
+            "gap_m2": inside + _around(F.transform(between, lambda g: g["gap_us"]), center),
             "gap_min": F.least(F.col("gap_min"), seams["gap_min"]),
             "gap_max": F.greatest(F.col("gap_max"), seams["gap_max"]),
             "fwd_gaps": F.col("fwd_gaps") + seams["fwd_gaps"],

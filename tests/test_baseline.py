@@ -43,6 +43,15 @@ def test_merge_moments(spark):
     assert merged["m2"] / 6 == pytest.approx(np.var([1, 2, 3, 7, 8, 9]))
 
 
+def test_merge_keeps_precision_far_from_zero(spark):
+    rng = np.random.default_rng(3)
+    values = rng.normal(3e9, 1.0, 2000)
+    rows = spark.createDataFrame([(int(i % 2), float(v)) for i, v in enumerate(values)], "p int, v double")
+    merged = baseline.merge_moments(baseline.moments(rows, ["p"], "v"), []).first()
+    assert merged["mean"] == pytest.approx(values.mean(), rel=1e-12)
+    assert merged["m2"] == pytest.approx(((values - values.mean()) ** 2).sum(), rel=1e-4)
+
+
 def test_merge_ignores_empty_parts(spark):
     parts = spark.createDataFrame([("x", 0, None, None), ("x", 2, 5.0, 50.0)], "k string, n bigint, mean double, m2 double")
     assert tuple(baseline.merge_moments(parts, ["k"]).first()) == ("x", 2, 5.0, 50.0)
@@ -131,6 +140,18 @@ def test_stats_and_reset(spark):
     assert baseline.monitor_stats(baseline.monitor(baseline.without_sources(windows))).first()["baselines_created"] == 0
 
 
+def test_reset_clears_the_past_and_goes_on(spark):
+    changes = [{"total_bytes": 1000.0 + i} for i in range(30)] + [{"src_ip": "10.0.0.2"} for _ in range(5)]
+    windows = window_frame(spark, changes)
+    resets = spark.createDataFrame([("10.0.0.1", 60.0 * 20), (None, 60.0 * 32)], "src_ip string, at double")
+    out = baseline.monitor(baseline.with_resets(windows, resets)).orderBy("window_start").collect()
+    assert len(out) == 35 and [r["epoch"] for r in out] == [0] * 20 + [1] * 10 + [0] * 2 + [1] * 3
+    fresh = baseline.monitor(window_frame(spark, changes).filter("src_ip = '10.0.0.1' and window_start >= 1200"))
+    again = [r["online_score"] for r in fresh.orderBy("window_start").collect()]
+    assert [r["online_score"] for r in out[20:30]] == again
+    assert out[20]["baseline_count"] < out[19]["baseline_count"]
+
+
 def test_nulls_count_as_zero(spark):
     frame = window_frame(spark, [{} for _ in range(3)]).withColumn("request_rate", F.lit(None).cast("double"))
     assert len(results(frame, warmup=2)) == 3

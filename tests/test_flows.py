@@ -48,19 +48,25 @@ def test_features_equal_brute_force(spark):
     check(flows.flow_features(packet_frame(spark, ROWS)), brute(ROWS))
 
 
-def test_long_flows_are_sliced_and_stitched(spark):
+def test_slices_of_any_length_give_the_same_rows(spark, monkeypatch):
     packets = packet_frame(spark, ROWS)
-    sliced = flows.flow_features(packets, rows_per_task=20)
-    check(sliced, brute(ROWS))
-    assert sliced.count() == flows.flow_features(packets).count()
+    for slice_us in (100_000, 7_000_000, 10**12):
+        monkeypatch.setattr(flows, "SLICE_US", slice_us)
+        check(flows.flow_features(packets), brute(ROWS))
+
+
+def test_regular_beacons_have_no_spread(spark):
+    """Gaps of an hour, where squares of microseconds no longer fit a double."""
+    rows = [(i, i * 3_600_000_003, "a", "b", 5000, 80, 1, 55, 6, 16) for i in range(25)]
+    out = flows.flow_features(packet_frame(spark, rows)).first()
+    assert out["Flow IAT Std"] == 0.0 and out["Fwd IAT Std"] == 0.0 and out["Flow IAT Mean"] == 3_600_000_003.0
 
 
 def test_one_sided_and_single_packet_flows(spark):
     rows = [(1, 0, "a", "b", 5000, 80, 1, 55, 6, 16), (2, 9, "a", "b", 5000, 80, 1, 55, 6, 16), (3, 5, "c", "b", 5000, 80, 1, 55, 6, 16)]
-    for limit in (1, 1000):
-        out = flows.flow_features(packet_frame(spark, rows), rows_per_task=limit).collect()
-        assert len(out) == 1 and out[0]["Bwd IAT Mean"] == 0.0 and out[0]["Bwd Packet Length Max"] == 0
-        assert out[0]["Flow Duration"] == 9.0
+    out = flows.flow_features(packet_frame(spark, rows)).collect()
+    assert len(out) == 1 and out[0]["Bwd IAT Mean"] == 0.0 and out[0]["Bwd Packet Length Max"] == 0
+    assert out[0]["Flow Duration"] == 9.0
 
 
 def test_orientation_is_that_of_the_first_packet(spark):

@@ -18,16 +18,19 @@ def scores(spark):
 
 
 @pytest.mark.parametrize("descending", [True, False])
-def test_pieces_give_the_same_running_totals(scores, descending):
+def test_running_totals(scores, descending):
     values = {"n": F.count(F.lit(1)), "pos": F.sum("label")}
-    plain = spread.running_totals(scores, ["model"], "score", values, descending)
-    pieces = spread.running_totals(scores, ["model"], "score", values, descending, rows_per_task=40)
-    assert rows_of(pieces.select(plain.columns), "model", "score") == rows_of(plain, "model", "score")
+    got = spread.running_totals(scores, ["model"], "score", values, descending).collect()
+    for model, part in scores.toPandas().groupby("model"):
+        sums = part.groupby("score")["label"].agg(["count", "sum"]).sort_index(ascending=not descending)
+        mine = {r["score"]: r for r in got if r["model"] == model}
+        assert len(mine) == len(sums) and {r["total_n"] for r in mine.values()} == {len(part)}
+        for score, n, pos in zip(sums.index, sums["count"].cumsum(), sums["sum"].cumsum()):
+            assert (mine[score]["cum_n"], mine[score]["cum_pos"]) == (n, pos)
 
 
-@pytest.mark.parametrize("limit", [50, 10**6])
-def test_exact_quantiles(scores, limit):
-    out = {r["model"]: r for r in spread.exact_quantiles(scores, ["model"], "score", {"med": 0.5, "high": 0.95}, limit).collect()}
+def test_exact_quantiles(scores):
+    out = {r["model"]: r for r in spread.exact_quantiles(scores, ["model"], "score", {"med": 0.5, "high": 0.95}).collect()}
     held = scores.toPandas()
     for model, part in held.groupby("model"):
         assert out[model]["med"] == pytest.approx(np.quantile(part["score"], 0.5))
@@ -35,23 +38,31 @@ def test_exact_quantiles(scores, limit):
 
 
 def test_quantiles_of_a_whole_table(scores):
-    got = spread.exact_quantiles(scores, [], "score", {"med": 0.5}, 50).first()["med"]
+    got = spread.exact_quantiles(scores, [], "score", {"med": 0.5}).first()["med"]
     assert got == pytest.approx(np.quantile(scores.toPandas()["score"], 0.5))
 
 
 def test_global_rank_is_a_permutation(scores):
-    ranked = spread.global_rank(scores, ["model"], C.mix("id", 1), C.MIX_DOMAIN, "id", pieces=16).collect()
+    ranked = spread.global_rank(scores, ["model"], C.mix("id", 1), C.MIX_DOMAIN, "id").collect()
     for model, size in Counter(r["model"] for r in ranked).items():
         mine = [r for r in ranked if r["model"] == model]
         assert sorted(r["_rank"] for r in mine) == list(range(1, size + 1))
         assert {r["_rank_of"] for r in mine} == {size}
 
 
-def test_hot_group_detection(spark):
-    rows = spark.range(20_000).withColumn("k", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")))
-    assert spread.has_hot_group(rows, ["k"], rows_per_task=1000)
-    assert not spread.has_hot_group(rows, ["k"], rows_per_task=1_000_000)
-    assert not spread.has_hot_group(rows.limit(0), ["k"])
+def test_cuts_lie_at_their_ranks(scores):
+    ranks = {"tenth": lambda n: F.floor(n / 10), "all": lambda n: n + 5, "none": lambda n: F.lit(0)}
+    cuts = spread.hash_cuts(scores, ["model"], C.mix("id", 1), C.MIX_DOMAIN, "id", ranks)
+    rows = scores.withColumn("h", C.mix("id", 1)).collect()
+    for (model,), at in cuts.items():
+        order = sorted((r["h"], r["id"]) for r in rows if r["model"] == model)
+        assert at == {"tenth": order[len(order) // 10 - 1], "all": order[-1], "none": None}
+    assert spread.hash_cuts(scores.limit(0), ["model"], C.mix("id", 1), C.MIX_DOMAIN, "id", ranks) == {}
+
+
+def test_subsample_needs_no_shuffle(scores):
+    plan = prep.uniform_subsample(scores, 100)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
 
 
 def test_split_shares_and_repeatability(spark):

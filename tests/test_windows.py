@@ -63,19 +63,24 @@ def test_features_equal_brute_force(spark):
     check(windows.window_features(packet_frame(spark, ROWS)), brute(ROWS))
 
 
-def test_hot_groups_are_sliced_and_stitched(spark):
-    """A tiny task limit forces the sliced plan; one host holds most rows."""
+def test_slices_of_any_length_give_the_same_rows(spark, monkeypatch):
+    """One host holds most rows; a bucket is cut into one, a few or very many slices."""
     packets = packet_frame(spark, ROWS)
-    sliced = windows.window_features(packets, rows_per_task=25)
-    assert "REPARTITION_BY_COL" in sliced._jdf.queryExecution().toString() or "rangepartitioning" in sliced._jdf.queryExecution().toString()
-    check(sliced, brute(ROWS))
-    plain = windows.window_features(packets)
-    assert rows_of(sliced, "src_ip", "window_start") == rows_of(plain, "src_ip", "window_start")
+    for slices in (1, 7, 600):
+        monkeypatch.setattr(windows, "SLICES", slices)
+        check(windows.window_features(packets), brute(ROWS))
+    check(windows.window_features(packets, ordered=False), brute(ROWS))
+
+
+def test_regular_gaps_have_no_spread(spark):
+    rows = [(i, i * 2_500_003, "10.0.0.9", "1.1.1.1", 50000, 80, 10, 64, 6, 16) for i in range(24)]
+    out = windows.window_features(packet_frame(spark, rows)).collect()
+    assert [r["inter_request_time_std"] for r in out] == [0.0]
 
 
 def test_one_instant_may_hold_many_packets(spark):
     rows = [(i, 5_000_000 if i < 200 else 5_000_000 + i, *r[2:]) for i, r in enumerate(ROWS[:260])]
-    check(windows.window_features(packet_frame(spark, rows), rows_per_task=10), brute(rows))
+    check(windows.window_features(packet_frame(spark, rows)), brute(rows))
 
 
 def test_small_windows_are_dropped(spark):

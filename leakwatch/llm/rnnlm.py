@@ -18,7 +18,7 @@ from leakwatch.llm import text as T
 
 END = b"\n"  # cannot be a word
 SMOOTH = 0.1
-FREQUENT = 500_000
+FREQUENT = 300_000
 WORDS = 1024
 CLASSES = 32
 UNITS = 24
@@ -35,7 +35,7 @@ def tokens(text):
     return [*T.lower_words(text), END]
 
 
-def token_counts(docs, flush=300_000):
+def token_counts(docs, flush=100_000):
     """word (bytes), c: of all tokens of all rows. Tasks send sums, a bounded number at once."""
 
     def run(batches):

@@ -67,11 +67,24 @@ def few_rows(df, rows, total=None):
     return df if total <= rows else df.sample(fraction=rows / total, seed=7)
 
 
+class Texts:
+    """The texts of an Arrow column, decoded one at a time: a batch is not held twice."""
+
+    def __init__(self, column):
+        self.column = column
+
+    def __len__(self):
+        return len(self.column)
+
+    def __iter__(self):
+        return (value.as_py() for value in self.column)
+
+
 def map_texts(df, keep, ddl, setup):
     """Columns `keep` of a table as they are, and the columns `ddl` made from its texts.
 
-    `setup()` runs once in a task and returns a function from a list of texts (None for
-    null) to one list or array (Arrow's or numpy's) per new column. Rows go through in Arrow batches, so kept
+    `setup()` runs once in a task and returns a function from the texts of a batch
+    (None for null) to one list or array (Arrow's or numpy's) per new column. Rows go through in Arrow batches, so kept
     values of any type come back unchanged, nulls included.
     """
     made = StructType.fromDDL(ddl)
@@ -81,7 +94,7 @@ def map_texts(df, keep, ddl, setup):
     def run(batches):
         make = setup()
         for batch in batches:
-            columns = make(batch.column(batch.num_columns - 1).to_pylist())
+            columns = make(Texts(batch.column(batch.num_columns - 1)))
             arrays = [c if isinstance(c, pa.Array) else pa.array(c, t) for c, (_, t) in zip(columns, kinds)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(i) for i in range(len(keep))] + arrays, [*keep, *[n for n, _ in kinds]]

@@ -69,7 +69,7 @@ def with_units(docs, keep, sentences=True, min_words=MIN_WORDS):
     return T.map_texts(docs, keep, f"_units {UNIT}", setup)
 
 
-def removals(docs, sentences=True, min_words=MIN_WORDS):
+def removals(docs, sentences=True, min_words=MIN_WORDS, row_id=None):
     """Units to remove: doc_id, unit, start, end, n_words, digest, first_doc_id, first_start, copies.
 
     `unit` counts the hashed units of a text from 0; start and end are code point offsets in
@@ -77,14 +77,15 @@ def removals(docs, sentences=True, min_words=MIN_WORDS):
     place of a digest stays, so a repeat inside one text is removed as well. Texts that are
     null, empty or without a unit of `min_words` words give no row. Repeated rows are
     different rows: all but one lose their units. `copies` is the number of places in all.
-    `_row` is returned too if docs has it. Other columns are not read.
+    Column `row_id` of docs, if one is named, tells rows apart and is returned too. Other
+    columns are not read.
 
     Scale: the text is read once, and 40 bytes per unit are written to the shared folder.
     Digests are counted with partial sums before their shuffle; only those found twice go
     on, joined as two written tables, so that Spark can split a line found everywhere.
     """
-    own = "_row" in docs.columns
-    rows = docs if own else docs.withColumn("_row", F.monotonically_increasing_id())
+    row = F.col(row_id) if row_id else F.monotonically_increasing_id()
+    rows = docs.select("doc_id", "text", row.alias("_row"))
     flat = with_units(rows, ["doc_id", "_row"], sentences, min_words).select(
         "doc_id", "_row", F.posexplode("_units").alias("unit", "u")
     )
@@ -106,7 +107,7 @@ def removals(docs, sentences=True, min_words=MIN_WORDS):
     digest = F.lower(F.concat(F.lpad(F.hex("d1"), 16, "0"), F.lpad(F.hex("d2"), 16, "0")))
     return places.join(firsts, ["d1", "d2"]).where(later).select(
         "doc_id",
-        *(["_row"] if own else []),
+        *([F.col("_row").alias(row_id)] if row_id else []),
         "unit",
         "start",
         "end",
@@ -121,22 +122,33 @@ def removals(docs, sentences=True, min_words=MIN_WORDS):
 def drop_repeats(docs, sentences=True, min_words=MIN_WORDS):
     """`docs` with removed units cut from `text`, and `removed`: their (start, end) in the original.
 
+    A column `removed` of docs gives way to it.
     All rows stay, an emptied text as an empty one. What is between units is not touched.
     """
     names = docs.columns
-    rows = T.staged(docs.withColumn("_row", F.monotonically_increasing_id()), "line-rows")
-    spans = removals(rows, sentences, min_words).groupBy("_row").agg(
-        F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_spans")
+    kept = [f"_c{i}" for i in range(len(names))]
+    numbered = docs.select(
+        *[F.col(f"`{n}`").alias(c) for n, c in zip(names, kept)],
+        F.col("doc_id").alias("doc_id"),
+        F.col("text").alias("text"),
+        F.monotonically_increasing_id().alias("_row"),
     )
+    rows = T.staged(numbered, "line-rows")
+    found = removals(rows, sentences, min_words, row_id="_row")
+    spans = found.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_spans"))
     joined = rows.join(T.staged(spans, "line-spans"), "_row", "left")
     spans = F.coalesce("_spans", F.array().cast("array<struct<start:int,end:int>>"))
-    kept = F.aggregate(
+    text = F.col("text")
+    parts = F.aggregate(
         spans,
-        F.struct(F.lit("").alias("t"), F.lit(0).alias("at")),
+        F.struct(F.lit("").alias("t"), F.lit(0).alias("pos")),
         lambda s, x: F.struct(
-            F.concat(s["t"], F.substring(F.col("text"), s["at"] + 1, x["start"] - s["at"])).alias("t"), x["end"].alias("at")
+            F.concat(s["t"], F.substr(text, s["pos"] + 1, x["start"] - s["pos"])).alias("t"), x["end"].alias("pos")
         ),
-        lambda s: F.concat(s["t"], F.substring(F.col("text"), s["at"] + 1, F.length("text"))),
+        lambda s: F.concat(s["t"], F.substr(text, s["pos"] + 1)),
+    )
+    clean = F.when(F.col("_spans").isNull(), text).otherwise(parts)
+    return joined.select(
+        *[(clean if n == "text" else F.col(c)).alias(n) for n, c in zip(names, kept) if n != "removed"],
+        spans.alias("removed"),
     )
-    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(kept)
-    return joined.select(*[text.alias(n) if n == "text" else F.col(f"`{n}`") for n in names], spans.alias("removed"))

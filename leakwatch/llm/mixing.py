@@ -63,11 +63,11 @@ def targets(sources, share=(3, 2), epochs=2):
     return marked.select("source", "source_size", "weight", budget.alias("target"))
 
 
-def mix_plan(docs, weights=positional_weights, share=(3, 2), epochs=2, seed=SEED):
+def mix_plan(docs, weights=positional_weights, share=(3, 2), epochs=2, seed=SEED, row_id=None):
     """How many words the mix takes of every document.
 
-    Returns doc_id, size, source_size, target, taken and `_row` (the id given to the row
-    by `docs`, where it has one), one row per input row. `weights` turns a table of
+    Returns doc_id, size, source_size, target, taken, and column `row_id` of docs if one is
+    named, one row per input row. `weights` turns a table of
     (source, source_size) into one with `weight`.
 
     Of a source with budget t and size s, floor(t / s) whole epochs are taken and the
@@ -84,7 +84,7 @@ def mix_plan(docs, weights=positional_weights, share=(3, 2), epochs=2, seed=SEED
     and rows are sorted within (source, piece) only, so a source with a third of all
     rows is spread like the others.
     """
-    keep = [c for c in ("_row",) if c in docs.columns]
+    keep = [row_id] if row_id else []
     sized = T.staged(
         docs.select(
             "doc_id",
@@ -138,14 +138,21 @@ def mix(docs, **options):
     which nothing is taken, such as those without words, are gone.
     """
     names = docs.columns
-    rows = T.staged(docs.withColumn("_row", F.monotonically_increasing_id()), "mix-rows")
-    plan = mix_plan(rows, **options).where("taken > 0").select("_row", "size", "taken")
+    kept = [f"_c{i}" for i in range(len(names))]
+    numbered = docs.select(
+        *[F.col(f"`{n}`").alias(c) for n, c in zip(names, kept)],
+        *[F.col(n).alias(n) for n in ("doc_id", "source", "text")],
+        F.monotonically_increasing_id().alias("_row"),
+    )
+    rows = T.staged(numbered, "mix-rows")
+    plan = mix_plan(rows, row_id="_row", **options).where("taken > 0").select("_row", "size", "taken")
     whole = F.floor(F.col("taken") / F.col("size")).cast("int")
     part = F.col("taken") % F.col("size")
     copies = F.concat(
         F.array_repeat(F.lit(0).cast("long"), whole),
         F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<bigint>")),
     )
-    repeated = rows.join(plan, "_row").select(*[F.col(f"`{n}`") for n in names], F.explode(copies).alias("_words"))
-    text = F.when(F.col("_words") == 0, F.col("text")).otherwise(first_words(F.col("text"), F.col("_words")))
-    return repeated.select(*[text.alias(n) if n == "text" else F.col(f"`{n}`") for n in names])
+    repeated = rows.join(plan, "_row").select(*kept, F.explode(copies).alias("_words"))
+    cut = F.col(f"_c{names.index('text')}")
+    text = F.when(F.col("_words") == 0, cut).otherwise(first_words(cut, F.col("_words")))
+    return repeated.select(*[(text if n == "text" else F.col(c)).alias(n) for n, c in zip(names, kept)])

@@ -152,8 +152,10 @@ def buckets(fp, plan):
     masks = [
         sum(1 << b for b in group if b not in out) for group, t in plan for out in combinations(group, t)
     ]
-    return F.array(
-        *[F.struct(F.lit(i).alias("mask"), fp.bitwiseAND(F.lit(_signed(m))).alias("value")) for i, m in enumerate(masks)]
+    # A constant array: thousands of masks are one value, not thousands of expressions.
+    constant = F.array(*[F.lit(_signed(m)).cast("long") for m in masks])
+    return F.transform(
+        constant, lambda m, i: F.struct(i.alias("mask"), fp.bitwiseAND(m).alias("value"))
     )
 
 
@@ -192,7 +194,8 @@ def links(fps, distance=DISTANCE, bucket_rows=BUCKET_ROWS):
         ).alias("e")
     ).select("e.*")
     hot = shared.where(F.col("count") > bucket_rows).select("_fp").distinct()
-    near = F.array(F.col("_fp"), *[F.col("_fp").bitwiseXOR(F.lit(_signed(1 << b))) for b in range(BITS)])
+    flips = F.array(F.lit(0).cast("long"), *[F.lit(_signed(1 << b)).cast("long") for b in range(BITS)])
+    near = F.transform(flips, lambda b: F.col("_fp").bitwiseXOR(b))
     named = hot.select("_fp", F.explode(near).alias("_at")).groupBy("_at").agg(F.sort_array(F.collect_list("_fp")).alias("m"))
     chained = named.where(F.size("m") > 1).select(
         F.explode(

@@ -302,7 +302,8 @@ def fit(docs, counts, fit_rows=FIT_ROWS, epochs=EPOCHS):
         texts = [own.numbers(tokens(t.as_py())) for b in batches for t in b.column(0)]
         yield pa.RecordBatch.from_arrays([pa.array([own.network.train(texts, epochs).to_bytes()], pa.binary())], ["net"])
 
-    sample = T.few_rows(docs.select("text"), fit_rows)
+    # Drawn by all tasks and written first: the one task that trains reads the sample only.
+    sample = T.staged(T.few_rows(docs.select("text"), fit_rows), "lm-sample")
     model.network.load(bytes(sample.coalesce(1).mapInArrow(run, "net binary").first()[0]))
     return model
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from leakwatch.llm import text as T
 
 SEED = "mix"
+MOST_SOURCES = 100_000
 
 
 def hash_key(doc_id, seed=SEED):
@@ -63,11 +64,10 @@ def targets(sources, share=(3, 2), epochs=2):
     return marked.select("source", "source_size", "weight", budget.alias("target"))
 
 
-def mix_plan(docs, weights=positional_weights, share=(3, 2), epochs=2, seed=SEED, row_id=None):
+def mix_plan(docs, weights=positional_weights, share=(3, 2), epochs=2, seed=SEED):
     """How many words the mix takes of every document.
 
-    Returns doc_id, size, source_size, target, taken, and column `row_id` of docs if one is
-    named, one row per input row. `weights` turns a table of
+    Returns doc_id, size, source_size, target, taken, one row per input row. `weights` turns a table of
     (source, source_size) into one with `weight`.
 
     Of a source with budget t and size s, floor(t / s) whole epochs are taken and the
@@ -84,17 +84,26 @@ def mix_plan(docs, weights=positional_weights, share=(3, 2), epochs=2, seed=SEED
     and rows are sorted within (source, piece) only, so a source with a third of all
     rows is spread like the others.
     """
-    keep = [row_id] if row_id else []
-    sized = T.staged(
-        docs.select(
-            "doc_id",
-            "source",
-            *keep,
-            F.coalesce(F.regexp_count("text", F.lit(T.WORD)), F.lit(0)).cast("long").alias("size"),
-            F.xxhash64("text").alias("_text"),
-        ).withColumn("_key", hash_key(F.col("doc_id"), seed)),
-        "mix-sizes",
+    return _plan(docs, weights, share, epochs, seed).select(
+        "doc_id", "size", "source_size", "target", (F.col("_turns") * F.col("size") + F.col("_cut")).alias("taken")
     )
+
+
+def _placed(docs, seed, *more):
+    """`size` and what orders a row in its source: `_key`, `doc_id`, `size`, `_text`."""
+    return docs.select(
+        "doc_id",
+        "source",
+        F.coalesce(F.regexp_count("text", F.lit(T.WORD)), F.lit(0)).cast("long").alias("size"),
+        F.xxhash64("text").alias("_text"),
+        hash_key(F.col("doc_id"), seed).alias("_key"),
+        *more,
+    )
+
+
+def _plan(docs, weights, share, epochs, seed):
+    """Every row's place in its source, the whole epochs `_turns`, and the words `_cut` of one more."""
+    sized = T.staged(_placed(docs, seed), "mix-sizes")
     rows = sized.count()
     pieces = max(1, math.isqrt(rows))
     placed = sized.withColumn("_piece", F.floor(F.col("_key") / F.lit(math.ceil((1 << 60) / pieces))).cast("int"))
@@ -121,7 +130,7 @@ def mix_plan(docs, weights=positional_weights, share=(3, 2), epochs=2, seed=SEED
     rest = F.floor("target").cast("long") - turns * F.col("source_size")
     cut = F.least(F.greatest(rest - F.col("_offset") - F.col("_before"), F.lit(0)), F.col("size"))
     return joined.select(
-        "doc_id", *keep, "size", "source_size", "target", (turns * F.col("size") + cut).cast("long").alias("taken")
+        "doc_id", "source", "size", "_text", "_key", "source_size", "target", turns.alias("_turns"), cut.cast("long").alias("_cut")
     )
 
 
@@ -131,28 +140,48 @@ def first_words(text, n):
     return F.array_join(F.slice(pieces, F.lit(1), n.cast("int")), "")
 
 
-def mix(docs, **options):
+def mix(docs, weights=positional_weights, share=(3, 2), epochs=2, seed=SEED):
     """The mixed documents: each row as often as the mix takes it, with the columns of `docs`.
 
     A document on the cut is repeated once more with its first words only. Documents of
-    which nothing is taken, such as those without words, are gone.
+    which nothing is taken, such as those without words, are gone. Rows on the cut that
+    are equal in id and text share what is left evenly, in whole words.
+
+    Scale: only the plan is shuffled, never a text. A source is described by one row, the
+    last place of its order that still gives words; with that row at hand, a document
+    decides for itself. Those rows are broadcast: there are as many as sources in the
+    mix, and over MOST_SOURCES are refused.
     """
     names = docs.columns
+    plan = _plan(docs, weights, share, epochs, seed)
+    order = F.struct("_key", F.col("doc_id").isNull().alias("blank"), "doc_id", "size", "_text")
+    places = plan.groupBy("source", order.alias("place")).agg(
+        F.first("_turns").alias("_turns"), F.sum("_cut").alias("cut"), F.count(F.lit(1)).alias("rows")
+    )
+    used = F.col("cut") > 0
+    ends = places.groupBy("source").agg(
+        F.first("_turns").alias("_turns"),
+        F.max_by(F.struct("place", "cut", "rows"), F.when(used, F.col("place"))).alias("_end"),
+    )
+    ends = T.staged(ends, "mix-ends")
+    if ends.count() > MOST_SOURCES:
+        raise ValueError(f"a mix of more than {MOST_SOURCES} sources: group them first")
     kept = [f"_c{i}" for i in range(len(names))]
-    numbered = docs.select(
-        *[F.col(f"`{n}`").alias(c) for n, c in zip(names, kept)],
-        *[F.col(n).alias(n) for n in ("doc_id", "source", "text")],
-        F.monotonically_increasing_id().alias("_row"),
+    rows = _placed(docs, seed, *[F.col(f"`{n}`").alias(c) for n, c in zip(names, kept)]).withColumn("_place", order)
+    ends = F.broadcast(ends.select(F.col("source").alias("_of"), "_turns", "_end"))
+    joined = rows.join(ends, F.col("source").eqNullSafe(F.col("_of")))
+    part = F.when(F.col("_place") < F.col("_end.place"), F.col("size")).when(
+        F.col("_place") == F.col("_end.place"), F.floor(F.col("_end.cut") / F.col("_end.rows"))
     )
-    rows = T.staged(numbered, "mix-rows")
-    plan = mix_plan(rows, row_id="_row", **options).where("taken > 0").select("_row", "size", "taken")
-    whole = F.floor(F.col("taken") / F.col("size")).cast("int")
-    part = F.col("taken") % F.col("size")
+    part = F.coalesce(part, F.lit(0)).cast("long")
+    # Copies by their number of words; whole ones as 0.
     copies = F.concat(
-        F.array_repeat(F.lit(0).cast("long"), whole),
-        F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<bigint>")),
+        F.array_repeat(F.lit(0).cast("long"), F.col("_turns").cast("int")),
+        F.when(F.col("_part") == F.col("size"), F.array(F.lit(0).cast("long")))
+        .when(F.col("_part") > 0, F.array("_part"))
+        .otherwise(F.array().cast("array<bigint>")),
     )
-    repeated = rows.join(plan, "_row").select(*kept, F.explode(copies).alias("_words"))
+    repeated = joined.withColumn("_part", part).where("size > 0").select(*kept, F.explode(copies).alias("_words"))
     cut = F.col(f"_c{names.index('text')}")
     text = F.when(F.col("_words") == 0, cut).otherwise(first_words(cut, F.col("_words")))
     return repeated.select(*[(text if n == "text" else F.col(c)).alias(n) for n, c in zip(names, kept)])

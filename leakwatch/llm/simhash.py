@@ -281,4 +281,5 @@ def drop_near_duplicates(docs, distance=DISTANCE):
     rows = T.staged(with_fingerprint(numbered, [*kept, "doc_id", "_row"]), "simhash-rows")
     groups = classes(rows.select("doc_id", "_fp", "_row"), distance)
     firsts = T.staged(groups.select(F.col("first.row").alias("_row")).distinct(), "simhash-firsts")
-    return rows.join(firsts, "_row", "left_semi").select(*[F.col(c).alias(n) for c, n in zip(kept, names)])
+    # Merged at every size: what is shuffled then follows the input.
+    return rows.join(firsts.hint("merge"), "_row", "left_semi").select(*[F.col(c).alias(n) for c, n in zip(kept, names)])

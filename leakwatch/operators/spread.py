@@ -60,10 +60,11 @@ def hash_cuts(rows, by, number, domain, tie, ranks):
     few bins that hold a cut are looked at, so nothing long is sorted or shuffled.
     """
     by = list(by)
-    binned = rows.select(*by, number.alias("_number"), F.col(tie).alias("_tie")).withColumn(
-        "_bin", F.floor(F.col("_number") * F.lit(float(BINS)) / F.lit(float(domain))).cast("int")
-    )
-    sizes = staged(binned.groupBy(*by, "_bin").count(), "hash-bins")
+
+    def bin_of(n):
+        return F.floor(n * F.lit(float(BINS)) / F.lit(float(domain))).cast("int")
+
+    sizes = staged(rows.groupBy(*by, bin_of(number).alias("_bin")).count(), "hash-bins")
     group = Window.partitionBy(*by)
     running = sizes.select(
         *by,
@@ -82,15 +83,26 @@ def hash_cuts(rows, by, number, domain, tie, ranks):
     cuts = {tuple(r[c] for c in by): dict.fromkeys(ranks) for r in sizes.select(*by).distinct().collect()}
     if not hits:
         return cuts
-    held = F.lit(False)
-    for r in {tuple(r[c] for c in [*by, "_bin"]) for r in hits}:
-        one = F.col("_bin") == r[-1]
-        for c, v in zip(by, r):
-            one = one & F.col(c).eqNullSafe(F.lit(v))
-        held = held | one
+    bins = {}
+    for r in hits:
+        bins.setdefault(tuple(r[c] for c in by), set()).add(r["_bin"])
+
+    def holds_a_cut(b):
+        found = F.lit(False)
+        for values, own in bins.items():
+            one = b.isin(sorted(own))
+            for c, v in zip(by, values):
+                one = one & F.col(c).eqNullSafe(F.lit(v))
+            found = found | one
+        return found
+
+    # Bound once: the hash is a long expression.
+    held = F.get(F.transform(F.array(bin_of(number)), holds_a_cut), F.lit(0))
+    binned = rows.filter(held).select(*by, number.alias("_number"), F.col(tie).alias("_tie"))
+    binned = binned.withColumn("_bin", bin_of(F.col("_number")))
     inside = Window.partitionBy(*by, "_bin").orderBy("_number", "_tie")
     places = sorted({r["place"] for r in hits})
-    found = binned.filter(held).withColumn("_place", F.row_number().over(inside)).filter(F.col("_place").isin(places))
+    found = binned.withColumn("_place", F.row_number().over(inside)).filter(F.col("_place").isin(places))
     at = {(*[r[c] for c in by], r["_bin"], r["_place"]): (r["_number"], r["_tie"]) for r in found.collect()}
     for r in hits:
         key = tuple(r[c] for c in by)
@@ -102,7 +114,11 @@ def within_cut(number, tie, cut):
     """Whether a row is at or before a cut of the hashed order."""
     if cut is None:
         return F.lit(False)
-    return (number < cut[0]) | ((number == cut[0]) & (F.col(tie) <= F.lit(cut[1])))
+    # Bound once: the hash is a long expression.
+    bound = F.transform(
+        F.array(number), lambda n: (n < cut[0]) | ((n == cut[0]) & (F.col(tie) <= F.lit(cut[1])))
+    )
+    return F.get(bound, F.lit(0))
 
 
 def global_rank(df, by, number, domain, tie, name="_rank"):

@@ -8,7 +8,7 @@ from leakwatch.operators import evaluate, iforest, labels, models, oversample, p
 from leakwatch.plans.flow_queries import FLOWS, LABELLED, NUMERIC, PROXY, labelled
 from leakwatch.plans.packet_queries import packets
 from leakwatch.plans.registry import query, rounded, sql
-from leakwatch.session import cut_lineage
+from leakwatch.session import cut_lineage, staged
 from leakwatch.sources import views
 
 SCORES = views.duck("scores")
@@ -309,7 +309,7 @@ def isolation_forest_scores(spark, sf):
     """Trained on normal flows, scored on all; flagged above the contamination cutoff."""
     rows = labelled(spark, sf).withColumn("label", F.col("exfil_label"))
     names = ["fwd_packets", "bwd_packets", "fwd_bytes", "bwd_bytes", "duration_us", "psh_count"]
-    nodes, take = iforest.fit(labels.normal_only(rows), names, "flow_id", trees=100)
+    nodes, take = iforest.fit(labels.normal_only(rows), names, "flow_id")
     scored = iforest.score(rows, cut_lineage(nodes), names, take)
     # The cutoff reads the scores several times; they are computed once.
     scored = cut_lineage(scored.select("flow_id", "label", "anomaly_score"))
@@ -326,8 +326,8 @@ def window_forest_scores(spark, sf):
         "src_ip", (F.col("ts_us") - F.pmod("ts_us", F.lit(60_000_000))).alias("bucket_us")
     ).distinct().select("src_ip", (F.col("bucket_us") / 1e6).alias("window_start"), F.lit(1).alias("hit"))
     named = rows.join(attacked, ["src_ip", "window_start"], "left").withColumn("label", F.coalesce("hit", F.lit(0)))
-    keyed = named.withColumn("id", F.pmod(F.xxhash64("src_ip", "window_start"), F.lit(C.MIX_DOMAIN)))
-    split = cut_lineage(prep.stratified_split(keyed, shares={"train": 0.75, "test": 0.25}))
+    keyed = named.withColumn("id", F.xxhash64("src_ip", "window_start"))
+    split = staged(prep.stratified_split(keyed, shares={"train": 0.75, "test": 0.25}), "split-windows")
     model = models.fit_forest(split.filter("split = 'train'"))
     scored = models.score(split, model, fixed.RUNTIME_FEATURES, "model_score")
     decided = models.raw_score_prediction(F.col("model_score"), fixed.FOREST_THRESHOLD)
@@ -336,13 +336,14 @@ def window_forest_scores(spark, sf):
 
 @query("mlp_scores")
 def mlp_scores(spark, sf):
-    """Dense network on scaled, oversampled flows."""
+    """Dense network on scaled flows, subsampled, then oversampled."""
     rows = labels.clean_columns(labelled(spark, sf), NUMERIC).withColumn("label", F.col("exfil_label"))
     split = prep.stratified_split(rows.select("flow_id", "label", *NUMERIC), "flow_id")
     scaler = prep.fit_scaler(split.filter("split = 'train'"), NUMERIC)
-    scaled = cut_lineage(prep.standardize(split, NUMERIC, scaler))
-    train = oversample.interpolate_minority(scaled.filter("split = 'train'"), NUMERIC, 0.3, "flow_id")
-    model = models.fit_dense(cut_lineage(train), NUMERIC, iterations=40)
+    scaled = staged(prep.standardize(split, NUMERIC, scaler), "scaled-flows")
+    sample = prep.subsample_realistic(scaled.filter("split = 'train'"), id_col="flow_id")
+    train = oversample.interpolate_minority(sample, NUMERIC, 0.3, "flow_id")
+    model = models.fit_dense(cut_lineage(train), NUMERIC)
     return models.score(scaled, model, NUMERIC).select("flow_id", "label", "split", "score")
 
 
@@ -358,5 +359,54 @@ def logistic_scores(spark, sf):
 def boosted_scores(spark, sf):
     """Gradient-boosted trees with fixed 1:10 class weights."""
     rows = labels.clean_columns(labelled(spark, sf), NUMERIC).withColumn("label", F.col("exfil_label"))
-    model = models.fit_boosted(rows, NUMERIC, weights={0: 1.0, 1: 10.0}, maxIter=10)
+    model = models.fit_boosted(rows, NUMERIC, weights={0: 1.0, 1: 10.0})
     return models.score(rows, model, NUMERIC).select("flow_id", "label", "score")
+
+
+def soundness(scored, score, extra=()):
+    """One row per split (where there is one): rows, positives, scores all in 0..1, area above one half."""
+    named = scored.select(*extra, "label", F.col(score).alias("score"), F.lit("m").alias("model"))
+    held = staged(named, "sound-scores")
+    by = ["model", *extra]
+    sizes = held.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("label") == 1).alias("positives"),
+        (F.count_if(F.col("score").between(0.0, 1.0)) == F.count(F.lit(1))).alias("in_range"),
+    )
+    return sizes.join(evaluate.roc_auc(held, by), by).select(
+        *extra, "n", "positives", "in_range", (F.col("auc") > 0.5).alias("better_than_chance")
+    )
+
+
+_SOUND_FLOWS = sql(FLOWS, LABELLED, """
+SELECT count(*) AS n, count(*) FILTER (exfil_label = 1) AS positives, true AS in_range, true AS better_than_chance FROM labelled""")
+
+
+@query("isolation_forest_sound", _SOUND_FLOWS)
+def isolation_forest_sound(spark, sf):
+    return soundness(isolation_forest_scores(spark, sf), "anomaly_score")
+
+
+@query("logistic_sound", _SOUND_FLOWS)
+def logistic_sound(spark, sf):
+    return soundness(logistic_scores(spark, sf), "score")
+
+
+@query("boosted_sound", _SOUND_FLOWS)
+def boosted_sound(spark, sf):
+    return soundness(boosted_scores(spark, sf), "score")
+
+
+_H = C.mix_sql("flow_id", fixed.SEED)
+
+
+@query("mlp_sound", sql(FLOWS, LABELLED, f"""
+SELECT split, count(*) AS n, count(*) FILTER (exfil_label = 1) AS positives, true AS in_range, true AS better_than_chance
+FROM (SELECT exfil_label, CASE WHEN r <= floor(n * {list(fixed.SPLIT_SHARES.values())[0]}e0 + 0.5e0) THEN '{list(fixed.SPLIT_SHARES)[0]}'
+                        WHEN r <= floor(n * {round(sum(list(fixed.SPLIT_SHARES.values())[:2]), 9)}e0 + 0.5e0) THEN '{list(fixed.SPLIT_SHARES)[1]}'
+                        ELSE '{list(fixed.SPLIT_SHARES)[2]}' END AS split
+      FROM (SELECT exfil_label, row_number() OVER (PARTITION BY exfil_label ORDER BY {_H}, flow_id) AS r,
+                   count(*) OVER (PARTITION BY exfil_label) AS n FROM labelled))
+GROUP BY split"""))
+def mlp_sound(spark, sf):
+    return soundness(mlp_scores(spark, sf), "score", ["split"])

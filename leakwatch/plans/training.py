@@ -5,19 +5,19 @@ from pyspark.sql import functions as F
 from leakwatch.functions import columns as C
 from leakwatch.functions import fixed
 from leakwatch.operators import evaluate, iforest, labels, models, oversample, prep
-from leakwatch.session import cut_lineage
+from leakwatch.session import cut_lineage, staged
 
 
 def prepare(flows, id_col):
     """Labelled, cleaned, split and scaled rows, and the feature names.
 
-    The scaler is fitted on the train rows only. The split rows are checkpointed
+    The scaler is fitted on the train rows only. The split rows are written
     because every later step starts from them.
     """
     labelled = labels.assign_labels(flows)
     cleaned, names = labels.clean_features(labelled, keep=(id_col,))
     rows = cleaned.withColumnRenamed("exfil_label", "label").withColumnRenamed(id_col, "id")
-    split = cut_lineage(prep.stratified_split(rows))
+    split = staged(prep.stratified_split(rows), "split-flows")
     scaler = prep.fit_scaler(split.filter(F.col("split") == "train"), names)
     return prep.standardize(split, names, scaler), names
 

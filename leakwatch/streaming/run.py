@@ -1,9 +1,40 @@
 """Starting queries and reading their progress."""
 
+from collections import Counter
 from contextlib import contextmanager
 
+from pyspark.sql.streaming import StreamingQueryListener
+
 from leakwatch.session import ROCKSDB
 
+
+class RowCounter(StreamingQueryListener):
+    """Input and late rows of every query over all its triggers, however many.
+
+    A query itself keeps the progress of its last triggers only. Add it with
+    `spark.streams.addListener` before queries start; events arrive shortly after their trigger.
+    """
+
+    def __init__(self):
+        self.late, self.seen, self.triggers = Counter(), Counter(), Counter()
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        progress = event.progress
+        query = str(progress.id)
+        self.triggers[query] += 1
+        self.seen[query] += progress.numInputRows
+        self.late[query] += sum(o.numRowsDroppedByWatermark for o in progress.stateOperators)
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
+
+
 @contextmanager
 def rocksdb_state(spark, partitions=None):
     """Settings for stateful queries started inside the block.
@@ -43,7 +74,7 @@ def finish(query):
 
 
 def late_rows(query):
-    """Rows dropped behind the watermark over the progress that is still kept."""
+    """Rows dropped behind the watermark over the progress that is still kept; see `RowCounter` for all."""
     return sum(
         operator.get("numRowsDroppedByWatermark", 0)
         for progress in query.recentProgress

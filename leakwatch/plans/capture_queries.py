@@ -93,15 +93,16 @@ def capture_summary(spark, sf):
 @query("capture_flow_features", sql(
     views.duck("flow_packets"),
     """named AS (SELECT *, CASE packet_id % 4 WHEN 0 THEN 'baseline' WHEN 1 THEN 'burst_exfil'
-         WHEN 2 THEN 'slow_exfil' ELSE 'https_exfil' END AS "Scenario" FROM flow_packets)""",
+         WHEN 2 THEN 'slow_exfil' ELSE 'https_exfil' END || '/' || packet_id // 20000 AS "Scenario" FROM flow_packets)""",
     *flow_ctes("named", ', "Scenario"'),
-    'SELECT "Scenario", CASE WHEN "Scenario" = \'baseline\' THEN 0 ELSE 1 END AS "Label", "Flow Key", n_packets, '
+    'SELECT split_part("Scenario", \'/\', 1) AS "Scenario", '
+    'CASE WHEN "Scenario" LIKE \'baseline/%\' THEN 0 ELSE 1 END AS "Label", "Flow Key", n_packets, '
     '"Total Length of Fwd Packets", "Flow IAT Mean", "Bwd IAT Max", "SYN Flag Count" FROM ('
     + flow_select('"Scenario",') + ") t"))
 def capture_flow_features(spark, sf):
-    """Capture files by scenario directory to labelled flow features."""
+    """Capture files by scenario directory to labelled flow features; a flow ends with its file."""
     raw = with_scenario(captured(spark, sf, "flow_packets"), F.col("capture_path"))
-    out = flows.flow_features(P.parse_packets(raw), within=["Scenario", "Label"])
+    out = flows.flow_features(P.parse_packets(raw), within=["capture_path", "Scenario", "Label"])
     return rounded(out.select(
         "Scenario", "Label", "`Flow Key`", "n_packets", "`Total Length of Fwd Packets`", "`Flow IAT Mean`",
         "`Bwd IAT Max`", "`SYN Flag Count`",

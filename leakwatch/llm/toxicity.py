@@ -231,16 +231,16 @@ def judge(docs, labels, modulus=4, part=2, fit_rows=FIT_ROWS, threshold=THRESHOL
     labels counts as toxic if one of them says so; null ids and labels teach nothing.
     Without both classes every score is low and equal. Repeated rows are judged alike.
 
-    Scale: labels are joined for the bounded sample only; scoring is one scan without a
-    shuffle, with a broadcast model of bounded size.
+    Scale: about `fit_rows` labelled ids are drawn from `labels` alone and broadcast, so no
+    text is shuffled to learn; scoring is one scan without a shuffle, with a broadcast
+    model of bounded size.
     """
     known = labels.where("toxic is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    learn = docs.select("doc_id", "text").where(T.learnable(F.col("doc_id"), modulus, part))
-    sampled = T.few_rows(learn, fit_rows * 4)
-    rows = sampled.join(known.where("toxic in (0, 1)"), "doc_id").select(
-        "text", "toxic", (F.crc32(F.concat(F.lit("part"), F.col("doc_id").cast("string")).cast("binary")) % 3 == 0).cast("int").alias("_part")
-    )
-    model = fit(T.staged(rows, "toxicity-labelled"), fit_rows)
+    known = known.where(F.col("toxic").isin(0, 1) & T.learnable(F.col("doc_id"), modulus, part))
+    drawn = T.staged(T.few_rows(T.staged(known, "toxicity-known"), fit_rows), "toxicity-drawn")
+    half = F.crc32(F.concat(F.lit("part"), F.col("doc_id").cast("string")).cast("binary")) % 3 == 0
+    rows = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
+    model = fit(rows.select("text", "toxic", half.cast("int").alias("_part")), fit_rows)
     return score(docs, model).select(
         "doc_id",
         T.held_out(F.col("doc_id"), modulus, part).alias("held_out"),

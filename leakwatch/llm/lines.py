@@ -1,9 +1,9 @@
 """Substring deduplication by line hashing.
 
 A text is cut into lines, and lines into sentences, so that a passage is found where only
-part of a line repeats. Units are normalised and hashed, digests are grouped over all
-documents, the earliest place of each digest stays, and the others are removed with their
-places in the original text kept.
+part of a line repeats. Short sentences are hashed in runs. Units are normalised and hashed,
+digests are grouped over all documents, the earliest place of each digest stays, and the
+others are removed with their places in the original text kept.
 """
 
 import hashlib
@@ -25,24 +25,41 @@ def units(text, sentences=True, min_words=MIN_WORDS):
     """(start, end, words, digest as two signed 64-bit numbers) of the units of a text.
 
     Places are in code points. Normalising lower-cases, and turns runs of anything but
-    letters, digits and underscores into one space. Units under `min_words` words are left
-    out: such short ones repeat by chance.
+    letters, digits and underscores into one space. A sentence (or line) of `min_words`
+    words is a unit. A shorter one repeats by chance, so it is hashed with its neighbours, over
+    line ends too: the shortest run from it on and the shortest run up to it that have more
+    than `min_words` words. Those runs depend on nothing outside them, so that any repeated
+    run of whole sentences that long is covered by repeated units, whatever stands around it.
+    Units are in order of start and end; they overlap, but none lies strictly inside another.
     """
-    out = []
+    pieces, before = [], 0
     for found in (_SENTENCE if sentences else _LINE).finditer(text or ""):
         raw = found.group()
         bare = raw.lstrip()
-        if raw.count(" ") + 1 < min_words and len(raw.split()) < min_words:
-            continue
         n = len(bare.split())
-        if n < min_words:
-            continue
         normal = _PUNCTUATION.sub(" ", bare.lower()).strip()
-        if not normal:
+        if normal:
+            start = found.start() + len(raw) - len(bare)
+            pieces.append((start, start + len(bare.rstrip()), n, before, normal))
+        before += n
+    runs = set()
+    for i, piece in enumerate(pieces):
+        if piece[2] >= min_words:
+            runs.add((i, i))
             continue
+        for way, stop in ((1, len(pieces)), (-1, -1)):
+            n, j = 0, i
+            while j != stop and n <= min_words:
+                n += pieces[j][2]
+                j += way
+            if n > min_words:
+                runs.add((min(i, j - way), max(i, j - way)))
+    out = []
+    for i, j in sorted(runs):
+        normal = " ".join([p[4] for p in pieces[i : j + 1]])
         digest = hashlib.blake2b(normal.encode("utf-8", "surrogatepass"), digest_size=16).digest()
-        start = found.start() + len(raw) - len(bare)
-        out.append((start, start + len(bare.rstrip()), n, int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:], "big", signed=True)))
+        n = pieces[j][3] + pieces[j][2] - pieces[i][3]
+        out.append((pieces[i][0], pieces[j][1], n, int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:], "big", signed=True)))
     return out
 
 
@@ -74,7 +91,8 @@ def removals(docs, sentences=True, min_words=MIN_WORDS, row_id=None):
 
     `unit` counts the hashed units of a text from 0; start and end are code point offsets in
     the original text. Places are ranked by (doc_id, row, unit), null ids last; the first
-    place of a digest stays, so a repeat inside one text is removed as well. Texts that are
+    place of a digest stays, so a repeat inside one text is removed as well. Spans of runs
+    overlap; a word that is removed always has an earlier copy that stays. Texts that are
     null, empty or without a unit of `min_words` words give no row. Repeated rows are
     different rows: all but one lose their units. `copies` is the number of places in all.
     Column `row_id` of docs, if one is named, tells rows apart and is returned too. Other
@@ -122,6 +140,7 @@ def removals(docs, sentences=True, min_words=MIN_WORDS, row_id=None):
 def drop_repeats(docs, sentences=True, min_words=MIN_WORDS):
     """`docs` with removed units cut from `text`, and `removed`: their (start, end) in the original.
 
+    Spans may overlap; what any of them covers is cut.
     A column `removed` of docs gives way to it.
     All rows stay, an emptied text as an empty one. What is between units is not touched.
     """
@@ -143,7 +162,7 @@ def drop_repeats(docs, sentences=True, min_words=MIN_WORDS):
         spans,
         F.struct(F.lit("").alias("t"), F.lit(0).alias("pos")),
         lambda s, x: F.struct(
-            F.concat(s["t"], F.substr(text, s["pos"] + 1, x["start"] - s["pos"])).alias("t"), x["end"].alias("pos")
+            F.concat(s["t"], F.substr(text, s["pos"] + 1, F.greatest(x["start"] - s["pos"], F.lit(0)))).alias("t"), x["end"].alias("pos")
         ),
         lambda s: F.concat(s["t"], F.substr(text, s["pos"] + 1)),
     )

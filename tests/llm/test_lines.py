@@ -66,3 +66,44 @@ def test_offsets_are_code_points_of_the_original():
 def test_empty_table(spark):
     empty = cases.frame(spark, [])
     assert L.removals(empty).count() == 0 and L.drop_repeats(empty).count() == 0
+
+
+def short_sentences(n, seed, gap):
+    """n words in sentences of 2 to 6 words."""
+    words, out, k = cases.prose(n, seed).replace(".", "").split(), [], 0
+    while words:
+        size = 2 + (seed + k) % 5
+        out.append(" ".join(words[:size]) + ".")
+        words, k = words[size:], k + 1
+    return "".join(s + (gap if i % 3 else " ") for i, s in enumerate(out))
+
+
+def windows_seen_before(before, text, size=50):
+    """Runs of `size` words of a text that stand in one of the texts before, by plain comparison."""
+    bare = lambda t: "".join(c if c.isalnum() else " " for c in t.lower()).split()
+    known = {tuple(w[i : i + size]) for w in map(bare, before) for i in range(len(w) - size + 1)}
+    mine = bare(text)
+    return [w for i in range(len(mine) - size + 1) if (w := tuple(mine[i : i + size])) in known]
+
+
+def test_passages_of_short_sentences_and_short_lines_are_found(spark):
+    rows = []
+    for k, gap in enumerate((" ", "\n", "  ")):
+        passage = short_sentences(70, 40 + k, gap)
+        for i in range(3):
+            head, tail = cases.prose(40, 100 * k + 7 * i + 500), cases.prose(33, 100 * k + 7 * i + 501)
+            rows.append((10 * k + i, f"{head}. {passage}\n{tail}", "en", "s", 1, 5, "c", 0.1, "n"))
+    got = {r.doc_id: r.text for r in L.drop_repeats(cases.frame(spark, rows)).collect()}
+    texts = {r[0]: r[1] for r in rows}
+    for doc, text in texts.items():
+        before = [t for d, t in texts.items() if d < doc]
+        assert bool(windows_seen_before(before, text)) == (doc % 10 > 0)
+        assert windows_seen_before(before, got[doc], 9) == []
+        # The text of its own is whole, and the first place stays.
+        assert len(got[doc].split()) == len(text.split()) - 70 * (doc % 10 > 0)
+
+
+def test_a_removed_run_leaves_an_earlier_copy_of_its_words(spark):
+    rows = [(i, t, "en", "s", 1, 5, "c", 0.1, "n") for i, t in enumerate(["a b c.\n" * 9 + "d e f g h.", "d e f g h.\na b c. a b c. a b c. x y."])]
+    got = {r.doc_id: r.text.split() for r in L.drop_repeats(cases.frame(spark, rows)).collect()}
+    assert got[0] == "a b c. d e f g h.".split() and got[1][-2:] == ["x", "y."]

@@ -2,10 +2,12 @@
 
 The network is small and written in numpy: gated units, a softmax in two steps (class of
 the word, then the word in its class), trained by backpropagation through windows of fixed
-length with the state carried on. It knows the most frequent words; all others are one
+length with the state carried on. All tasks train it on their own texts and their weights are
+averaged, round by round. It knows the most frequent words; all others are one
 symbol to it, and share that symbol's probability by their smoothed counts.
 """
 
+import copy
 import io
 import math
 from collections import Counter
@@ -24,8 +26,8 @@ CLASSES = 32
 UNITS = 24
 WINDOW = 32
 STREAMS = 64
-FIT_ROWS = 1500
-EPOCHS = 2
+EPOCHS = 2  # rounds, each over all texts
+BLOCK_TOKENS = 1 << 20
 RATE = 0.01
 BLOCK = 1024
 
@@ -167,7 +169,7 @@ class Network:
         live = ids >= 0
         dstates = np.zeros_like(states)
         dstates[live] = self._loss_gradient(states[live], ids[live], d)
-        dh = np.zeros_like(h0)
+        dh, inputs = np.zeros_like(h0), np.zeros((*ids.shape, 3 * u), h0.dtype)
         for t in range(len(ids) - 1, -1, -1):
             before, (gates, rh, c) = trail[t]
             on = live[t][:, None]
@@ -176,15 +178,23 @@ class Network:
             dc = dn * z * (1 - c * c)
             drh = dc @ p["c"].T
             dg = np.concatenate([dn * (c - before) * z * (1 - z), drh * before * r * (1 - r)], axis=1)
-            d["c"] += rh.T @ dc
-            d["g"] += before.T @ dg
-            np.add.at(d["e"], np.maximum(ids[t], 0), np.concatenate([dg, dc], axis=1))
+            inputs[t, :, : 2 * u], inputs[t, :, 2 * u :] = dg, dc
             dh = dh * ~on + dn * (1 - z) + drh * r + dg @ p["g"].T + dstates[t]
             dh = np.where(fresh[t][:, None], np.float32(0), dh)
+        d["g"] += states.reshape(-1, u).T @ inputs[..., : 2 * u].reshape(-1, 2 * u)
+        d["c"] += np.concatenate([t[1][1] for t in trail]).T @ inputs[..., 2 * u :].reshape(-1, u)
+        words, flat = ids[live], inputs[live]
+        order = np.argsort(words, kind="stable")
+        seen, at = np.unique(words[order], return_index=True)
+        d["e"][seen] += np.add.reduceat(flat[order], at, axis=0)
         return d, h, int(live.sum())
 
-    def train(self, texts, epochs=EPOCHS, streams=STREAMS, window=WINDOW, rate=RATE):
-        """Fit to texts (arrays of word numbers) laid end to end in parallel streams."""
+    def train(self, texts, epochs=EPOCHS, streams=STREAMS, window=WINDOW, rate=RATE, span=(0.0, 1.0), moments=None):
+        """Fit to texts (arrays of word numbers) laid end to end in parallel streams.
+
+        span: the part of the whole training that this call is; the rate falls along it.
+        moments: those of the gradients from the call before, changed in place.
+        """
         if not texts:
             return self
         lanes = [[] for _ in range(min(streams, len(texts)))]
@@ -202,20 +212,23 @@ class Network:
                 ids[at : at + len(t), k] = t
                 fresh[at, k] = True
                 at += len(t)
-        first = {k: np.zeros_like(v) for k, v in self.p.items()}
-        second = {k: np.zeros_like(v) for k, v in self.p.items()}
+        moments = {} if moments is None else moments
+        if not moments:
+            moments |= {"turn": 0, **{(i, k): np.zeros_like(v) for i in (1, 2) for k, v in self.p.items()}}
         turn, turns = 0, epochs * math.ceil(steps / window)
         for _ in range(epochs):
             h = np.zeros((len(lanes), self.units), np.float32)
             for at in range(0, steps, window):
-                d, h, n = self.window_gradient(ids[at : at + window], h, fresh[at : at + window])
+                on = np.flatnonzero(ids[at] >= 0)  # streams that have not ended
+                d, h[on], n = self.window_gradient(ids[at : at + window, on], h[on], fresh[at : at + window, on])
                 turn += 1
-                speed = rate * (1 - 0.9 * turn / turns)
+                moments["turn"] += 1
+                speed = rate * (1 - 0.9 * (span[0] + (span[1] - span[0]) * turn / turns))
                 for k, v in self.p.items():
-                    g = d[k] / max(n, 1)
-                    first[k] = 0.9 * first[k] + 0.1 * g
-                    second[k] = 0.99 * second[k] + 0.01 * g * g
-                    step = first[k] / (1 - 0.9**turn) / (np.sqrt(second[k] / (1 - 0.99**turn)) + 1e-8)
+                    g, first, second = d[k] / max(n, 1), moments[1, k], moments[2, k]
+                    first += 0.1 * (g - first)
+                    second += 0.01 * (g * g - second)
+                    step = first / (1 - 0.9 ** moments["turn"]) / (np.sqrt(second / (1 - 0.99 ** moments["turn"])) + 1e-8)
                     v -= (speed * step).astype(np.float32)
         return self
 
@@ -243,17 +256,30 @@ class Network:
                 total[rows[: owners[0]]] += np.bincount(owner, found, minlength=owners[0])
         return total
 
-    def to_bytes(self):
+    def copy(self):
+        """A network of its own with the same weights."""
+        other = copy.copy(self)
+        other.p = {k: v.copy() for k, v in self.p.items()}
+        return other
+
+    def to_bytes(self, weight=1.0):
+        """The weights of the network times `weight`, as 64-bit numbers."""
         out = io.BytesIO()
-        np.savez(out, **self.p)
+        np.savez(out, **{k: v.astype(float) * weight for k, v in self.p.items()})
         return out.getvalue()
 
-    def load(self, data):
-        with np.load(io.BytesIO(data)) as kept:
-            self.p = {k: kept[k] for k in kept.files}
+    def load(self, sums, weight=1.0):
+        """Take sums of weighted networks, divided by the sum of their weights."""
+        self.p = {k: (v / weight).astype(np.float32) for k, v in sums.items()}
         return self
 
 
+def _plus(sums, data):
+    """Sums of weights and the network of to_bytes."""
+    with np.load(io.BytesIO(data)) as kept:
+        return {k: sums[k] + kept[k] if sums else kept[k] for k in kept.files}
+
+
 class Model:
     """Network, its words, and the smoothed counts of all frequent words."""
 
@@ -285,8 +311,81 @@ class Model:
         return np.fromiter((base.get(w, other)[0] for w in found), np.int64, len(found))
 
 
-def fit(docs, counts, fit_rows=FIT_ROWS, epochs=EPOCHS):
-    """Model from all counts, with the network trained on about `fit_rows` whole texts in one task.
+NET = "part int, tokens bigint, net binary"
+
+
+def _net(part, size, data):
+    return pa.RecordBatch.from_arrays(
+        [pa.array([part], pa.int32()), pa.array([size], pa.int64()), pa.array([data], pa.binary())], ["part", "tokens", "net"]
+    )
+
+
+def train_round(docs, model, number, rounds, block_tokens=BLOCK_TOKENS):
+    """part, tokens, net: of each task that has texts, the network trained further on all of them.
+
+    Whole texts are trained on in blocks of about `block_tokens` tokens, so memory is a
+    block; a longer text is a block of its own. The network comes times its tokens.
+    """
+    held = docs.sparkSession.sparkContext.broadcast(model)
+    span = (number / rounds, (number + 1) / rounds)
+
+    def run(batches):
+        from pyspark import TaskContext
+
+        own, network, moments = held.value, None, {}
+        texts, size, total = [], 0, 0
+
+        def learn():
+            network.train(texts, 1, span=span, moments=moments)
+
+        for batch in batches:
+            for text in batch.column(0):
+                if network is None:
+                    network = own.network.copy()
+                texts.append(own.numbers(tokens(text.as_py())))
+                size += len(texts[-1])
+                if size >= block_tokens:
+                    learn()
+                    texts, size, total = [], 0, total + size
+        if network is not None:
+            learn()
+            yield _net(TaskContext.get().partitionId(), total + size, network.to_bytes(total + size))
+
+    return docs.select("text").mapInArrow(run, NET)
+
+
+def average(nets):
+    """(sums of networks, tokens) of all rows of `train_round`, in a fixed order.
+
+    About sqrt(tasks) tasks add up as many networks each, and the driver their sums one by one.
+    """
+    groups = max(1, math.isqrt(nets.count()))
+
+    def run(batches):
+        group, size, part = {}, 0, None
+        for batch in batches:
+            for p, n, net in zip(*batch.columns):
+                part = p.as_py() if part is None else part
+                size += n.as_py()
+                group = _plus(group, net.as_py())
+        if group:
+            out = io.BytesIO()
+            np.savez(out, **group)
+            yield _net(part, size, out.getvalue())
+
+    dealt = nets.withColumn("_group", F.col("part") % groups).repartition(groups, "_group").sortWithinPartitions("part")
+    sums, total = {}, 0
+    for row in T.staged(dealt.drop("_group").mapInArrow(run, NET), "lm-sums").orderBy("part").toLocalIterator():
+        sums = _plus(sums, bytes(row.net))
+        total += row.tokens
+    return sums, total
+
+
+def fit(docs, counts, epochs=EPOCHS):
+    """Model from all counts, with the network trained on all texts, `epochs` times each.
+
+    A round is one pass: every task goes on from the same network with the texts it reads, and the
+    average by tokens of what they reach is where the next round begins.
 
     Words with at least one part in FREQUENT of all tokens are held by the model, so at
     most FREQUENT are; the others stay in the table `counts`.
@@ -295,16 +394,10 @@ def fit(docs, counts, fit_rows=FIT_ROWS, epochs=EPOCHS):
     rows = counts.where(F.col("c") * FREQUENT >= total).collect()
     frequent = sorted(((bytes(r.word), r.c) for r in rows), key=lambda x: (-x[1], x[0]))
     model = Model(frequent, total, distinct)
-    held = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches):
-        own = held.value
-        texts = [own.numbers(tokens(t.as_py())) for b in batches for t in b.column(0)]
-        yield pa.RecordBatch.from_arrays([pa.array([own.network.train(texts, epochs).to_bytes()], pa.binary())], ["net"])
-
-    # Drawn by all tasks and written first: the one task that trains reads the sample only.
-    sample = T.staged(T.few_rows(docs.select("text"), fit_rows), "lm-sample")
-    model.network.load(bytes(sample.coalesce(1).mapInArrow(run, "net binary").first()[0]))
+    for number in range(epochs):
+        sums, trained = average(T.staged(train_round(docs, model, number, epochs), "lm-nets"))
+        if trained:
+            model.network.load(sums, trained)
     return model
 
 
@@ -388,7 +481,7 @@ def score(docs, model, counts, keep=("doc_id",)):
     )
 
 
-def language_scores(docs, modulus=10, part=0, fit_rows=FIT_ROWS):
+def language_scores(docs, modulus=10, part=0):
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row.
 
     Counts are taken over all rows outside the held-out part, rows with a null id left out.
@@ -397,10 +490,11 @@ def language_scores(docs, modulus=10, part=0, fit_rows=FIT_ROWS):
     probability of an unseen one. Scores are log10 probabilities of whole texts.
 
     Scale: counts are summed in tasks before their shuffle and grow with the vocabulary;
-    the network and the frequent words have a fixed bound.
+    the network and the frequent words have a fixed bound. Training reads all rows in
+    all tasks, once a round; a task sends one network.
     """
     learn = docs.where(T.learnable(F.col("doc_id"), modulus, part))
     counts = T.staged(token_counts(learn), "lm-counts")
-    model = fit(learn, counts, fit_rows)
+    model = fit(learn, counts)
     out = score(docs, model, counts)
     return out.select("doc_id", T.held_out(F.col("doc_id"), modulus, part).alias("held_out"), *out.columns[1:])

@@ -83,3 +83,31 @@ def test_the_network_beats_plain_counts(spark, sf):
 
 def test_empty_table(spark):
     assert R.language_scores(cases.frame(spark, [])).count() == 0
+
+
+def test_every_text_trains_the_network(spark):
+    # Over 1,500 rows: a bounded sample would leave some of them out.
+    rows = [(i, cases.prose(5 + i % 40, i), "en", "s", 1, 5, "c", 0.1, "n") for i in range(2000)]
+    docs = cases.frame(spark, rows).repartition(5)
+    counts = R.token_counts(docs)
+    want = sum(len(cases.words(r[1])) + 1 for r in rows)
+    model = R.fit(docs, counts, epochs=0)
+    nets = R.T.staged(R.train_round(docs, model, 0, 1, block_tokens=3000), "test-nets")
+    sizes = [r.tokens for r in nets.select("tokens").collect()]
+    assert sum(sizes) == want and len(sizes) == 5 and min(sizes) > want / 8
+    sums, total = R.average(nets)
+    assert total == want
+    plain = {}
+    for r in nets.orderBy("part").collect():
+        plain = R._plus(plain, bytes(r.net))
+    for k, v in plain.items():
+        assert sums[k] == pytest.approx(v) and not np.allclose(v / total, model.network.p[k])
+
+
+def test_moments_carry_over_blocks():
+    rng = np.random.default_rng(5)
+    texts = [rng.integers(0, 6, 40) for _ in range(20)]
+    net, moments = R.Network(np.ones(6) * 100, units=8, count=2), {}
+    for k in range(4):
+        net.train(texts[5 * k : 5 * k + 5], 1, moments=moments)
+    assert moments["turn"] == 8

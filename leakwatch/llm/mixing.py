@@ -140,12 +140,34 @@ def first_words(text, n):
     return F.array_join(F.slice(pieces, F.lit(1), n.cast("int")), "")
 
 
+def _numbered(rows):
+    """Equal rows at the end of their source, with `_part` the words each gives: whole ones first.
+
+    They are written once, which fixes their numbers. A task numbers its own rows of a source, and starts
+    from the counts of the tasks before it.
+    """
+    fixed = T.staged(rows.withColumn("_row", F.monotonically_increasing_id()), "mix-equal")
+    fixed = fixed.withColumn("_task", F.shiftright("_row", 33))
+    inside = Window.partitionBy("_of", "_task").orderBy("_row")
+    before = Window.partitionBy("_of").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    starts = fixed.groupBy("_of", "_task").agg(F.count(F.lit(1)).alias("_n")).select(
+        F.col("_of").alias("_of2"), F.col("_task").alias("_task2"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")
+    )
+    placed = fixed.withColumn("_at", F.row_number().over(inside) - 1).join(
+        starts, F.col("_of").eqNullSafe(F.col("_of2")) & (F.col("_task") == F.col("_task2"))
+    )
+    left = F.col("_end.cut") - (F.col("_start") + F.col("_at")) * F.col("size")
+    part = F.least(F.greatest(left, F.lit(0)), F.col("size")).cast("long")
+    return placed.withColumn("_part", part).select(*rows.columns)
+
+
 def mix(docs, weights=positional_weights, share=(3, 2), epochs=2, seed=SEED):
     """The mixed documents: each row as often as the mix takes it, with the columns of `docs`.
 
     A document on the cut is repeated once more with its first words only. Documents of
-    which nothing is taken, such as those without words, are gone. Rows on the cut that
-    are equal in id and text share what is left evenly, in whole words.
+    which nothing is taken, such as those without words, are gone. Of rows on the cut that
+    are equal in id and text, as many are whole as the rest of the budget holds, and one
+    more gives its first words.
 
     Scale: only the plan is shuffled, never a text. A source is described by one row, the
     last place of its order that still gives words; with that row at hand, a document
@@ -168,12 +190,15 @@ def mix(docs, weights=positional_weights, share=(3, 2), epochs=2, seed=SEED):
         raise ValueError(f"a mix of more than {MOST_SOURCES} sources: group them first")
     kept = [f"_c{i}" for i in range(len(names))]
     rows = _placed(docs, seed, *[F.col(f"`{n}`").alias(c) for n, c in zip(names, kept)]).withColumn("_place", order)
+    staged_ends = ends
     ends = F.broadcast(ends.select(F.col("source").alias("_of"), "_turns", "_end"))
     joined = rows.join(ends, F.col("source").eqNullSafe(F.col("_of")))
-    part = F.when(F.col("_place") < F.col("_end.place"), F.col("size")).when(
-        F.col("_place") == F.col("_end.place"), F.floor(F.col("_end.cut") / F.col("_end.rows"))
-    )
-    part = F.coalesce(part, F.lit(0)).cast("long")
+    at_end = F.col("_place") == F.col("_end.place")
+    part = F.when(F.col("_place") < F.col("_end.place"), F.col("size")).when(at_end, F.col("_end.cut"))
+    joined = joined.withColumn("_part", F.coalesce(part, F.lit(0)).cast("long"))
+    if not staged_ends.where("_end.rows > 1").isEmpty():
+        several = F.coalesce(at_end & (F.col("_end.rows") > 1), F.lit(False))
+        joined = joined.where(~several).unionByName(_numbered(joined.where(several)))
     # Copies by their number of words; whole ones as 0.
     copies = F.concat(
         F.array_repeat(F.lit(0).cast("long"), F.col("_turns").cast("int")),
@@ -181,7 +206,7 @@ def mix(docs, weights=positional_weights, share=(3, 2), epochs=2, seed=SEED):
         .when(F.col("_part") > 0, F.array("_part"))
         .otherwise(F.array().cast("array<bigint>")),
     )
-    repeated = joined.withColumn("_part", part).where("size > 0").select(*kept, F.explode(copies).alias("_words"))
+    repeated = joined.where("size > 0").select(*kept, F.explode(copies).alias("_words"))
     cut = F.col(f"_c{names.index('text')}")
     text = F.when(F.col("_words") == 0, cut).otherwise(first_words(cut, F.col("_words")))
     return repeated.select(*[(text if n == "text" else F.col(c)).alias(n) for n, c in zip(names, kept)])

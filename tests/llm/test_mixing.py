@@ -86,3 +86,13 @@ def test_first_words_keeps_gaps(spark, n):
     text = "  a\tbb \n c  d "
     got = spark.range(1).select(mixing.first_words(F.lit(text), F.lit(n)).alias("t")).first().t
     assert text.startswith(got) and len(got.split()) == min(n, 4)
+
+
+def test_equal_rows_on_the_cut_are_whole_until_the_budget_is_used(spark):
+    copy = cases.prose(100, 1)
+    rows = [(7, copy, "en", "s", 1, 5, "c", 0.1, "n")] * 400 + [(8, cases.prose(100, 2), "en", None, 1, 5, "c", 0.1, "n")] * 3
+    docs = cases.frame(spark, rows).repartition(6)
+    share = (1, 100)  # 403 words: 287 of the one source, 115 of the other
+    plan = mixing.mix_plan(docs, share=share).collect()
+    sizes = sorted(len(cases.words(r.text)) for r in mixing.mix(docs, share=share).collect())
+    assert sizes == sorted(r.taken for r in plan if r.taken) and sizes.count(100) == 3

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from leakwatch.llm import text as T
 
 SEED = "mix"
-MOST_SOURCES = 100_000
+MOST_SOURCES = 100_000  # that are broadcast
+SALTS = 32
 
 
 def hash_key(doc_id, seed=SEED):
@@ -169,10 +170,11 @@ def mix(docs, weights=positional_weights, share=(3, 2), epochs=2, seed=SEED):
     are equal in id and text, as many are whole as the rest of the budget holds, and one
     more gives its first words.
 
-    Scale: only the plan is shuffled, never a text. A source is described by one row, the
+    Scale: only the plan is shuffled, and no text up to MOST_SOURCES sources. A source is described by one row, the
     last place of its order that still gives words; with that row at hand, a document
-    decides for itself. Those rows are broadcast: there are as many as sources in the
-    mix, and over MOST_SOURCES are refused.
+    decides for itself. Those rows are broadcast up to MOST_SOURCES sources. Beyond that
+    rows are joined by source and one of SALTS parts of it, which shuffles the texts, and
+    a source with a third of all rows is still met by many tasks.
     """
     names = docs.columns
     plan = _plan(docs, weights, share, epochs, seed)
@@ -186,13 +188,18 @@ def mix(docs, weights=positional_weights, share=(3, 2), epochs=2, seed=SEED):
         F.max_by(F.struct("place", "cut", "rows"), F.when(used, F.col("place"))).alias("_end"),
     )
     ends = T.staged(ends, "mix-ends")
-    if ends.count() > MOST_SOURCES:
-        raise ValueError(f"a mix of more than {MOST_SOURCES} sources: group them first")
     kept = [f"_c{i}" for i in range(len(names))]
     rows = _placed(docs, seed, *[F.col(f"`{n}`").alias(c) for n, c in zip(names, kept)]).withColumn("_place", order)
     staged_ends = ends
-    ends = F.broadcast(ends.select(F.col("source").alias("_of"), "_turns", "_end"))
-    joined = rows.join(ends, F.col("source").eqNullSafe(F.col("_of")))
+    ends = ends.select(F.col("source").alias("_of"), "_turns", "_end")
+    same = F.col("source").eqNullSafe(F.col("_of"))
+    if staged_ends.count() <= MOST_SOURCES:
+        joined = rows.join(F.broadcast(ends), same)
+    else:
+        salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
+        salted = ends.withColumn("_salt2", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
+        joined = rows.withColumn("_salt", salt).join(salted, same & (F.col("_salt") == F.col("_salt2")))
+        joined = joined.drop("_salt", "_salt2")
     at_end = F.col("_place") == F.col("_end.place")
     part = F.when(F.col("_place") < F.col("_end.place"), F.col("size")).when(at_end, F.col("_end.cut"))
     joined = joined.withColumn("_part", F.coalesce(part, F.lit(0)).cast("long"))

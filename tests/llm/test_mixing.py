@@ -96,3 +96,10 @@ def test_equal_rows_on_the_cut_are_whole_until_the_budget_is_used(spark):
     plan = mixing.mix_plan(docs, share=share).collect()
     sizes = sorted(len(cases.words(r.text)) for r in mixing.mix(docs, share=share).collect())
     assert sizes == sorted(r.taken for r in plan if r.taken) and sizes.count(100) == 3
+
+
+def test_more_sources_than_are_broadcast_give_the_same_mix(spark, monkeypatch):
+    docs = cases.frame(spark)
+    few = sorted(map(tuple, mixing.mix(docs).collect()), key=cases.key)
+    monkeypatch.setattr(mixing, "MOST_SOURCES", 3)
+    assert sorted(map(tuple, mixing.mix(docs).collect()), key=cases.key) == few

@@ -115,16 +115,17 @@ def pack(shard, length, pad=END):
 
 
 PACKED = (
-    "shard bigint, row int, n_tokens int, input_ids binary, cu_seqlens array<int>, "
+    "shard bigint, row int, n_tokens int, input_ids binary, position_ids binary, cu_seqlens array<int>, "
     "doc_ids array<bigint>, doc_starts array<int>"
 )
 
 
 def packed_rows(docs, length=LENGTH, shard_tokens=SHARD_TOKENS, vocabulary=VOCABULARY):
-    """Packed rows: shard, row, n_tokens, input_ids, cu_seqlens, doc_ids, doc_starts.
+    """Packed rows: shard, row, n_tokens, input_ids, position_ids, cu_seqlens, doc_ids, doc_starts.
 
     input_ids: `length` little-endian 32-bit ids, padded with the end id; the rows of a
-    shard in order are its id matrix. cu_seqlens: 0 and the end of each segment, where
+    shard in order are its id matrix. position_ids: as many positions, written alike, from 0
+    in every segment and in the padding. cu_seqlens: 0 and the end of each segment, where
     positions reset. doc_ids: the document of each segment, null for a null id.
     doc_starts: the place of a segment's first token in its document, above 0 for the
     pieces of a cut one. Every document ends with the end id, so a null or empty text is
@@ -141,6 +142,7 @@ def packed_rows(docs, length=LENGTH, shard_tokens=SHARD_TOKENS, vocabulary=VOCAB
             ("row", pa.int32()),
             ("n_tokens", pa.int32()),
             ("input_ids", pa.binary()),
+            ("position_ids", pa.binary()),
             ("cu_seqlens", pa.list_(pa.int32())),
             ("doc_ids", pa.list_(pa.int64())),
             ("doc_starts", pa.list_(pa.int32())),
@@ -164,6 +166,7 @@ def packed_rows(docs, length=LENGTH, shard_tokens=SHARD_TOKENS, vocabulary=VOCAB
                     pa.array(range(rows), pa.int32()),
                     pa.array([e[-1] for e in ends], pa.int32()),
                     pa.array([r.astype("<i4").tobytes() for r in matrix], pa.binary()),
+                    pa.array([position_ids(e, length).astype("<i4").tobytes() for e in ends], pa.binary()),
                     pa.array(ends, pa.list_(pa.int32())),
                     pa.array([[d for d, _, _ in s] for s in segments], pa.list_(pa.int64())),
                     pa.array([[at for _, at, _ in s] for s in segments], pa.list_(pa.int32())),

@@ -84,3 +84,22 @@ def test_positions_restart_with_every_segment():
 
 def test_empty_table(spark):
     assert P.packed_rows(cases.frame(spark, [])).count() == 0
+
+
+def test_written_shards_read_back_in_order_with_their_positions(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    packed = P.packed_rows(cases.frame(spark), length=LENGTH, shard_tokens=500)
+    P.write_shards(packed, f"file://{tmp_path}/out")
+    back = []
+    for file in sorted((tmp_path / "out").glob("*.parquet")):
+        rows = pq.read_table(file).to_pylist()
+        assert [(r["shard"], r["row"]) for r in rows] == sorted((r["shard"], r["row"]) for r in rows)
+        back += rows
+    key = lambda r: (r["shard"], r["row"])
+    assert sorted(back, key=key) == sorted((r.asDict() for r in packed.collect()), key=key)
+    for r in back:
+        want = [i for a, b in zip(r["cu_seqlens"], [*r["cu_seqlens"][1:], LENGTH]) for i in range(b - a)]
+        want += list(range(LENGTH - len(want)))
+        assert len(r["position_ids"]) == len(r["input_ids"]) == 4 * LENGTH
+        assert np.frombuffer(r["position_ids"], "<i4").tolist() == want

@@ -1,6 +1,6 @@
 """One query per operator over its whole table, with its SQL check where SQL can state it."""
 
-from leakwatch.llm import decontaminate, langid, lines, mixing, packing, quality, rnnlm, simhash, toxicity, urls
+from leakwatch.llm import decontaminate, langid, lines, mixing, packing, periods, phrases, quality, rnnlm, simhash, toxicity, urls
 
 QUERIES = {}
 CHECKS = {}
@@ -169,3 +169,92 @@ def op8_url_filter(spark, sf_dir):
 def op10_rnn_scoring(spark, sf_dir):
     """Base and network log10 probability of every document."""
     return rnnlm.language_scores(read(spark, sf_dir, "documents"))
+
+
+# crc32 of a number written as text, bit by bit.
+CRC_SQL = """xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), list_transform(range(8), lambda z: 0::BIGINT)),
+                             lambda s, z: xor(s >> 1, 3988292384 * (s & 1)))))"""
+
+# Sequences of L words get a name by doubling; where the last earlier one lies d words back, L / 2 < d <= L, over a
+# stretch of places, that stretch and the d words before it are one with smallest period d.
+RUNS_SQL = r"""
+WITH RECURSIVE hashed AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w,
+         %(crc)s AS h FROM documents),
+shaped AS (
+  SELECT r, doc_id, w, len(w) AS n, coalesce(h %% 10 = 0 AND len(w) > 0, false) AS turned, (h // 10) %% greatest(len(w), 1) AS a, 3 + (h // 10) %% 8 AS b
+  FROM hashed),
+texts AS (
+  SELECT r, doc_id, CASE WHEN turned THEN [w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) %% (1 + (n - a) // b) END] FOR i IN range(n)] ELSE w END AS w
+  FROM shaped),
+named AS (
+  SELECT r, pos, L, name, CASE WHEN pos - before > L // 2 AND pos - before <= L THEN pos - before END AS d
+  FROM (SELECT r, pos, 1 AS L, hash(word) AS name, lag(pos) OVER (PARTITION BY r, word ORDER BY pos) AS before
+        FROM (SELECT r, unnest(w) AS word, unnest(range(len(w))) AS pos FROM texts))
+  UNION ALL
+  SELECT r, pos, L, name, CASE WHEN pos - before > L // 2 AND pos - before <= L THEN pos - before END
+  FROM (SELECT r, pos, L, name, lag(pos) OVER (PARTITION BY r, name ORDER BY pos) AS before
+        FROM (SELECT r, pos, 2 * L AS L, hash(name, lead(name, L) OVER (PARTITION BY r ORDER BY pos)) AS name,
+                     lead(name, L) OVER (PARTITION BY r ORDER BY pos) AS other FROM named) WHERE other IS NOT NULL)),
+islands AS (
+  SELECT r, min(pos) - d AS start, count(*) + L + d - 1 AS length, d AS period
+  FROM (SELECT *, pos - row_number() OVER (PARTITION BY r, L, d ORDER BY pos) AS g FROM named WHERE d IS NOT NULL)
+  GROUP BY r, L, d, g),
+runs AS (SELECT * FROM islands WHERE length >= greatest(6, 4 * period)),
+gone AS (SELECT DISTINCT r, unnest(range(start + period, start + length)) AS pos FROM runs),
+kept AS (
+  SELECT r, string_agg(word, ' ' ORDER BY pos) AS collapsed
+  FROM (SELECT r, unnest(w) AS word, unnest(range(len(w))) AS pos FROM texts) ANTI JOIN gone USING (r, pos) GROUP BY r),
+listed AS (
+  SELECT r, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines,
+         max({'length': length, 's': -start, 'p': -period}) AS best
+  FROM runs GROUP BY r)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, (-best.s)::BIGINT AS start, best.length::BIGINT AS length,
+       (-best.p)::BIGINT AS period, (1000 * best.length // -best.p)::BIGINT AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(collapsed, '')) AS collapsed_sha256
+FROM texts LEFT JOIN listed USING (r) LEFT JOIN kept USING (r)
+""" % {"crc": CRC_SQL}
+
+
+@query(RUNS_SQL)
+def op12_periodic_runs(spark, sf_dir):
+    """Periodic runs of every document after every tenth was made to repeat a part."""
+    return periods.run_digests(periods.periodic_runs(periods.with_planted_runs(read(spark, sf_dir, "documents"))))
+
+
+PHRASES_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+listed AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+words AS (SELECT lang, sum(len(w))::BIGINT AS n FROM listed GROUP BY lang HAVING sum(len(w)) > 0),
+grams AS (
+  SELECT lang, k, array_to_string(w[pos:pos + k - 1], ' ') AS phrase, count(*) AS f
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS pos FROM listed, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(w) >= k)
+  GROUP BY ALL HAVING count(*) >= 30),
+cand AS (SELECT lang, k AS size, phrase, f AS a, string_split(phrase, ' ') AS w FROM grams WHERE k > 1),
+cuts AS (SELECT *, unnest(range(1, size)) AS k FROM cand),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, c.k, x.f AS l, y.f AS r, ((2000000::HUGEINT * c.a) // (x.f::HUGEINT + y.f))::BIGINT AS score
+  FROM cuts c JOIN grams x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.k], ' ')
+              JOIN grams y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.k + 1:], ' ')),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_ AS (
+  SELECT lang, array_to_string(w[pos:pos + k - 1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT lang, w, a, k, unnest(range(1, size - k + 2)) AS pos FROM cand, (SELECT unnest([2, 3]) AS k) WHERE size > k)
+  GROUP BY ALL)
+SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, encode(b.phrase)) AS rank, b.phrase,
+       a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score
+FROM best b JOIN words USING (lang) LEFT JOIN inner_ i ON i.lang = b.lang AND i.phrase = b.phrase
+WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a
+QUALIFY rank <= 2000
+"""
+
+
+@query(PHRASES_SQL)
+def op13_phrase_collocation(spark, sf_dir):
+    """The 2 000 best collocations of each language."""
+    return phrases.collocations(read(spark, sf_dir, "documents")).drop("pointer")

@@ -4,7 +4,7 @@ import __spark_entry__ as entry
 import compare
 
 
-@pytest.mark.parametrize("name", ["op1_source_mixing", "op3_quality_rules", "op4_decontamination"])
+@pytest.mark.parametrize("name", ["op1_source_mixing", "op3_quality_rules", "op4_decontamination", "op12_periodic_runs", "op13_phrase_collocation"])
 def test_query_equals_its_check(spark, sf, name):
     ok, _, _, note = compare.compare(spark, compare.connect(sf), name, sf)
     assert ok, note

@@ -1,6 +1,6 @@
 """One query per operator over its whole table, with its SQL check where SQL can state it."""
 
-from leakwatch.llm import decontaminate, langid, lines, mixing, packing, periods, phrases, quality, rnnlm, simhash, toxicity, urls
+from leakwatch.llm import decontaminate, langid, lines, mixing, packing, periods, phrases, quality, rnnlm, simhash, toxicity, urls, wrappers
 
 QUERIES = {}
 CHECKS = {}
@@ -258,3 +258,9 @@ QUALIFY rank <= 2000
 def op13_phrase_collocation(spark, sf_dir):
     """The 2 000 best collocations of each language."""
     return phrases.collocations(read(spark, sf_dir, "documents")).drop("pointer")
+
+
+@query()
+def op11_html_extraction(spark, sf_dir):
+    """Main text of every page."""
+    return wrappers.main_texts(read(spark, sf_dir, "pages"))

@@ -15,10 +15,11 @@ def test_query_equals_its_check(spark, sf, name):
     ("op6_simhash_dedup", "doc_id fingerprint component_id"),
     ("op8_url_filter", "page_id host path rule verdict"),
     ("op9_toxicity", "doc_id held_out score predicted"),
+    ("op11_html_extraction", "page_id url text n_chars"),
     ("op10_rnn_scoring", "doc_id held_out n_tokens n_known train_tokens base_score score"),
 ])
 def test_columns_of_the_contract(spark, sf, name, columns):
     frame = entry.queries()[name](spark, sf)
     assert frame.columns[: len(columns.split())] == columns.split()
-    table = "pages" if name.startswith("op8") else "documents"
+    table = "pages" if name.startswith(("op8", "op11")) else "documents"
     assert frame.count() == spark.read.parquet(f"{sf}/{table}.parquet").count()

@@ -32,9 +32,9 @@ COVERED_PERCENT = 80
 TOP = 2_000
 UNKNOWN = "und"
 
-CHUNK_BYTES = 2_000_000
-HELD_KEYS = 1_500_000
-HELD_PHRASES = 200_000
+CHUNK_BYTES = 1_000_000
+HELD_KEYS = 1_000_000
+HELD_PHRASES = 100_000
 # The bitmap has 2**BITMAP_BITS bits: 8 MB, whatever the size of the input.
 BITMAP_BITS = 26
 BLOCK_BITS = 32_768  # bits of one block of Spark's bitmap functions
@@ -326,9 +326,11 @@ def frequent_phrases(docs, least=LEAST_FOUND):
         materialising(broadcast_bitmap(keys)), "lang string, n int, phrase string, found bigint, key bigint"
     )
     counted = found.groupBy("lang", "n", "phrase", "key").agg(F.sum("found").alias("found"))
+    # Written once: words and phrases are read from it, and the texts are not scanned for each.
+    counted = staged(counted.filter((F.col("n") == 0) | (F.col("found") >= least)), "phrase-counts")
     words = counted.filter("n = 0").select("lang", "n", "phrase", "found", F.lit(None).cast("bigint").alias("pointer"))
-    kept = counted.filter((F.col("n") > 0) & (F.col("found") >= least)).join(keys.select("key", "pointer"), "key")
-    return staged(words.unionByName(kept.drop("key")), "phrases")
+    kept = counted.filter("n > 0").join(keys.select("key", "pointer"), "key")
+    return words.unionByName(kept.drop("key"))
 
 
 def collocations(docs, least=LEAST_FOUND, top=TOP):
@@ -341,7 +343,7 @@ def collocations(docs, least=LEAST_FOUND, top=TOP):
     ties of the score go by a, then by the phrase's bytes. Empty tables and languages without frequent phrases give no
     rows. Columns other than lang and text are not read.
     """
-    phrases = frequent_phrases(docs, least)
+    phrases = staged(frequent_phrases(docs, least), "phrases")
     parts = phrases.filter("n > 0").select("lang", "phrase", "found")
     candidates = phrases.filter("n > 1").withColumn("w", F.split("phrase", " "))
     cuts = candidates.select(

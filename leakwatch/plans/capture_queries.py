@@ -1,73 +1,36 @@
 """Queries over capture files that are written from the packet tables first."""
 
-import struct
-
-import numpy as np
-import pandas as pd
-from pyarrow import fs
 from pyspark.sql import functions as F
 
 from leakwatch.operators import flows
 from leakwatch.plans.flow_queries import flow_ctes, flow_select
 from leakwatch.plans.registry import query, rounded, sql
 from leakwatch.session import fresh_dir
-from leakwatch.sources import captures, views
+from leakwatch.sources import capture_sink, captures, views
 from leakwatch.sources import packets as P
 from leakwatch.sources.flows import with_scenario
 
 SCENARIO_NAMES = ["baseline", "burst_exfil", "slow_exfil", "https_exfil"]
 
 
-def _record(row):
-    """One packet as a capture record: Ethernet, IPv4, TCP or UDP, zero payload."""
-    udp = row.proto == 17
-    upper = 8 if udp else 20
-    size = 14 + 20 + upper + row.payload_len
-    ip = struct.pack(
-        ">BBHHHBBH4s4s", 0x45, 0, 20 + upper + row.payload_len, 0, 0, 64, row.proto, 0,
-        bytes(map(int, row.src_ip.split("."))), bytes(map(int, row.dst_ip.split("."))),
-    )
-    if udp:
-        top = struct.pack(">HHHH", row.src_port, row.dst_port, 8 + row.payload_len, 0)
-    else:
-        flags = 0 if pd.isna(row.flags) else int(row.flags)
-        top = struct.pack(">HHIIBBHHH", row.src_port, row.dst_port, 0, 0, 0x50, flags, 0, 0, 0)
-    head = struct.pack("<IIII", row.ts_us // 1_000_000, row.ts_us % 1_000_000, size, size)
-    return head + bytes(12) + b"\x08\x00" + ip + top + bytes(row.payload_len)
-
-
-def write_captures(rows, folder):
-    """One capture file per (scenario, part), written by the tasks. Returns the folder.
-
-    Rows carry `scenario` and `part`; a file is named by both, so a repeated task
-    writes the same file again.
-    """
-
-    def write(group):
-        group = group.sort_values(["ts_us", "packet_id"])
-        name, part = group["scenario"].iloc[0], int(group["part"].iloc[0])
-        target = f"{folder}/{name}"
-        store, base = fs.FileSystem.from_uri("/" + target[5:].lstrip("/") if target.startswith("file:") else target)
-        store.create_dir(base, recursive=True)
-        with store.open_output_stream(f"{base}/part-{part}.pcap") as out:
-            out.write(struct.pack("<IHHiIII", 0xA1B2C3D4, 2, 4, 0, 0, 262_144, 1))
-            for row in group.itertuples(index=False):
-                out.write(_record(row))
-        return pd.DataFrame({"records": np.array([len(group)], dtype=np.int64)})
-
-    rows.groupBy("scenario", "part").applyInPandas(write, "records bigint").agg(F.sum("records")).first()
-    return folder
+# Scenarios come in all forms that captures have.
+SCENARIO_FORMS = ["pcap", "pcap.gz", "pcapng", "pcap"]
 
 
 def captured(spark, sf, view, chunk_bytes=2 * 1024 * 1024):
-    """The view through capture files and back."""
+    """The view written to capture files, indexed."""
     rows = views.load(spark, sf, view)
-    names = F.array(*[F.lit(n) for n in SCENARIO_NAMES])
+    number = (F.col("packet_id") % 4 + 1).cast("int")
+
+    def named(values):
+        return F.element_at(F.array(*[F.lit(v) for v in values]), number)
+
     # Parts hold a bounded number of packets, so that no task writes a long file.
-    placed = rows.withColumn("scenario", F.element_at(names, (F.col("packet_id") % 4 + 1).cast("int"))).withColumn(
-        "part", F.floor(F.col("packet_id") / 20_000)
-    )
-    return captures.read_captures(spark, write_captures(placed, fresh_dir(spark, "captures")), chunk_bytes)
+    placed = rows.withColumns({
+        "scenario": named(SCENARIO_NAMES), "form": named(SCENARIO_FORMS), "part": F.floor(F.col("packet_id") / 20_000),
+    })
+    folder = capture_sink.write_captures(placed, fresh_dir(spark, "captures"))
+    return captures.Captures(spark, folder, chunk_bytes)
 
 
 @query("capture_ingest", sql(views.duck("raw_packets"), """
@@ -76,18 +39,20 @@ SELECT ts_us, src_ip, dst_ip, src_port, dst_port, payload_len,
        CASE WHEN proto = 17 THEN 'UDP' ELSE 'TCP' END AS protocol, CASE WHEN proto = 17 THEN 'UDP' ELSE CAST(flags AS VARCHAR) END AS flags
 FROM raw_packets WHERE proto <> 1"""))
 def capture_ingest(spark, sf):
-    return P.parse_packets(captured(spark, sf, "raw_packets")).drop("packet_id", "tcp_flags", "capture_path")
+    return P.parse_packets(captured(spark, sf, "raw_packets").packets).drop("packet_id", "tcp_flags", "capture_path")
 
 
 @query("capture_summary", sql(views.duck("raw_packets"), """
 SELECT CASE packet_id % 4 WHEN 0 THEN 'baseline' WHEN 1 THEN 'burst_exfil' WHEN 2 THEN 'slow_exfil' ELSE 'https_exfil' END
          || '/part-' || packet_id // 20000 AS capture,
-       count(*) AS packets, count(*) FILTER (proto <> 1) AS parsed, count(*) FILTER (proto = 1) AS parse_errors
-FROM raw_packets GROUP BY 1"""))
+       CASE packet_id % 4 WHEN 1 THEN 'pcap.gz' WHEN 2 THEN 'pcapng' ELSE 'pcap' END AS kind,
+       count(*) AS packets, count(*) FILTER (proto <> 1) AS parsed, count(*) FILTER (proto = 1) AS parse_errors,
+       0::BIGINT AS unread_bytes, NULL::VARCHAR AS problem
+FROM raw_packets GROUP BY ALL"""))
 def capture_summary(spark, sf):
-    name = F.regexp_extract("capture_path", r"([^/]+/[^/]+)\.pcap$", 1)
-    out = captures.capture_summary(captured(spark, sf, "raw_packets"))
-    return out.select(name.alias("capture"), "packets", "parsed", "parse_errors")
+    name = F.regexp_extract("capture_path", r"([^/]+/[^/]+?)\.pcap(?:ng)?(?:\.gz)?$", 1)
+    out = captured(spark, sf, "raw_packets").summary()
+    return out.select(name.alias("capture"), "kind", "packets", "parsed", "parse_errors", "unread_bytes", "problem")
 
 
 @query("capture_flow_features", sql(
@@ -101,7 +66,7 @@ def capture_summary(spark, sf):
     + flow_select('"Scenario",') + ") t"))
 def capture_flow_features(spark, sf):
     """Capture files by scenario directory to labelled flow features; a flow ends with its file."""
-    raw = with_scenario(captured(spark, sf, "flow_packets"), F.col("capture_path"))
+    raw = with_scenario(captured(spark, sf, "flow_packets").packets, F.col("capture_path"))
     out = flows.flow_features(P.parse_packets(raw), within=["capture_path", "Scenario", "Label"])
     return rounded(out.select(
         "Scenario", "Label", "`Flow Key`", "n_packets", "`Total Length of Fwd Packets`", "`Flow IAT Mean`",

@@ -1,271 +1,325 @@
-"""Packet capture files (libpcap format) as a splittable source.
-
-A capture is a chain of length-prefixed records without sync marks. Files are cut
-into chunks; each task guesses its first record by finding a plausible chain. The
-guess is then proved: the chain of every chunk must end where the next one
-starts. Chunks that fail are followed again from the proved offset, until all
-fit, so the result is that of one sequential pass.
+"""Packet capture files as a splittable Spark data source.
+
+A capture is a chain of length-prefixed records without sync marks, so a task that opens a file in
+its middle does not know where a record starts. Each chunk therefore reports a map: for every
+place where the chain of the chunk before may arrive, the place where its own chain leaves. Maps
+compose, so one ordered pass over them, without a look at the files, proves the first record of
+every chunk. The number of jobs does not depend on the files; the result is that of one
+sequential read. Gzipped files and pcapng files are read front to end by one task each.
 """
 
-import struct
+import fnmatch
+import zlib
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyarrow import fs
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from leakwatch.functions import schemas
-from leakwatch.session import cut_lineage
-
-# Fixed values of the file format.
-FILE_HEADER = 24
-RECORD_HEADER = 16
-MAGICS = {
-    b"\xd4\xc3\xb2\xa1": ("<", 1),
-    b"\xa1\xb2\xc3\xd4": (">", 1),
-    b"\x4d\x3c\xb2\xa1": ("<", 1000),
-    b"\xa1\xb2\x3c\x4d": (">", 1000),
-}
-LINK_HEADERS = {0: 4, 1: 14, 101: 0, 113: 16}
-LONGEST_RECORD = 262_144
+from leakwatch.session import fresh_dir
+from leakwatch.sources import capture_format as form
+
 CHUNK_BYTES = 64 * 1024 * 1024
-CHAIN_CHECK = 6
-
-INDEX = T.StructType(
-    [
-        T.StructField("path", T.StringType()),
-        T.StructField("file_number", T.LongType()),
-        T.StructField("length", T.LongType()),
-        T.StructField("chunk", T.LongType()),
-        T.StructField("begin", T.LongType()),
-        T.StructField("end", T.LongType()),
-        T.StructField("first", T.LongType()),
-        T.StructField("next", T.LongType()),
-    ]
-)
-
-
-class _Capture:
-    """A capture file opened for reads at any offset."""
-
-    def __init__(self, path, length):
-        local = "/" + path[5:].lstrip("/") if path.startswith("file:") else path
-        store, name = fs.FileSystem.from_uri(local)
-        self.handle, self.length = store.open_input_file(name), length
-        head = self.read(0, FILE_HEADER + RECORD_HEADER)
-        self.usable = head[:4] in MAGICS and len(head) >= FILE_HEADER
-        if self.usable:
-            self.order, self.per_us = MAGICS[head[:4]]
-            self.link = struct.unpack_from(self.order + "I", head, 20)[0] & 0xFFFF
-            # Times of later records are expected near the first one.
-            full = len(head) >= FILE_HEADER + 4
-            self.epoch = struct.unpack_from(self.order + "I", head, FILE_HEADER)[0] if full else 0
-
-    def read(self, at, size):
-        size = max(0, min(size, self.length - at))
-        return self.handle.read_at(size, at) if size else b""
-
-    def starts(self, data, limit):
-        """Offsets below the limit whose bytes could be a record header."""
-        cells = np.frombuffer(data, dtype=np.uint8)
-        count = min(limit, len(cells) - RECORD_HEADER + 1)
-        if count <= 0:
-            return np.zeros(0, dtype=np.int64)
-
-        def word(shift):
-            view = np.lib.stride_tricks.sliding_window_view(cells[shift : shift + count + 3], 4)
-            return np.ascontiguousarray(view).view(self.order + "u4")[:, 0].astype(np.int64)
-
-        seconds, part, held, whole = (word(i) for i in (0, 4, 8, 12))
-        fits = (held >= 14) & (held <= LONGEST_RECORD) & (held <= whole) & (whole <= 65_600)
-        fits &= (part < 1_000_000 * self.per_us) & (np.abs(seconds - self.epoch) < 20 * 366 * 86400)
-        return np.flatnonzero(fits)
-
-    def guess_first(self, begin, end):
-        """First offset in the chunk that starts a plausible chain; None if there is none."""
-        data = self.read(begin, min(end - begin, LONGEST_RECORD) + (CHAIN_CHECK + 1) * 65_552)
-        likely = set(self.starts(data, len(data)).tolist())
-        for start in sorted(likely):
-            if begin + start >= end:
-                return None
-            at, seen = start, 0
-            while seen < CHAIN_CHECK and at in likely:
-                at += RECORD_HEADER + struct.unpack_from(self.order + "I", data, at + 8)[0]
-                seen += 1
-            reached_end = begin + at == self.length or at + RECORD_HEADER > len(data)
-            if seen == CHAIN_CHECK or (seen and reached_end):
-                return begin + start
-        return None
-
-    def follow(self, first, end):
-        """Offsets of the records that start in [first, end), and where the next one starts."""
-        at, offsets = first, []
-        block, base = b"", first
-        while at < end:
-            if at + RECORD_HEADER > base + len(block):
-                block, base = self.read(at, 4 * 1024 * 1024), at
-                if len(block) < RECORD_HEADER:
-                    return offsets, self.length
-            held = struct.unpack_from(self.order + "I", block, at - base + 8)[0]
-            if at + RECORD_HEADER + held > self.length:
-                return offsets, self.length
-            offsets.append(at)
-            at += RECORD_HEADER + held
-        return offsets, at
-
-
-def _index(frames):
-    for frame in frames:
-        rows = []
-        for row in frame.itertuples(index=False):
-            capture = _Capture(row.path, row.length)
-            first = None if pd.isna(row.first) else int(row.first)
-            if not capture.usable:
-                first, after = row.length, row.length
-            else:
-                if first is None:
-                    first = capture.guess_first(row.begin, row.end)
-                after = capture.follow(first, row.end)[1] if first is not None else None
-            rows.append((*row[:6], first, after))
-        yield pd.DataFrame(rows, columns=INDEX.names).astype({"first": "Int64", "next": "Int64"})
-
-
-def _one_task_each(chunks):
-    """Spread chunks by an explicit number of tasks: the rows are tiny but each stands
-    for a file read, so they must not be packed together by size."""
-    return chunks.repartition(max(1, min(chunks.count(), 20_000)), "path", "chunk")
-
-
-def capture_index(spark, path, chunk_bytes=CHUNK_BYTES, pattern="*.pcap"):
-    """One row per chunk with the proved offsets of its first record and the one after."""
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True)
-        .option("pathGlobFilter", pattern).load(path).select("path", "length")
-    )
-    files = files.withColumn("file_number", F.row_number().over(Window.orderBy("path")).cast("bigint"))
-    last = F.greatest(F.ceil(F.col("length") / chunk_bytes) - 1, F.lit(0)).cast("bigint")
-    begin = F.col("chunk") * chunk_bytes
-    chunks = (
-        files.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
-        .withColumn("begin", F.greatest(begin, F.lit(FILE_HEADER)).cast("bigint"))
-        .withColumn("end", F.least(begin + chunk_bytes, F.col("length")))
-        .withColumn("first", F.when(F.col("chunk") == 0, F.lit(FILE_HEADER).cast("bigint")))
-        .withColumn("next", F.lit(None).cast("bigint"))
-        .select(*INDEX.names)
-    )
-    index = cut_lineage(_one_task_each(chunks).mapInPandas(_index, INDEX))
-    proved = Window.partitionBy("path").orderBy("chunk")
-    while True:
-        wanted = index.withColumn("want", F.coalesce(F.lag("next").over(proved), F.col("first")))
-        wrong = wanted.filter(
-            (F.col("chunk") > 0) & F.col("want").isNotNull() & ~F.col("first").eqNullSafe(F.col("want"))
-        )
-        redo = wrong.withColumn("first", F.col("want")).select(*INDEX.names)
-        if redo.isEmpty():
-            return index
-        fixed_rows = cut_lineage(_one_task_each(redo).mapInPandas(_index, INDEX))
-        kept = index.join(fixed_rows.select("path", "chunk"), ["path", "chunk"], "left_anti")
-        index = cut_lineage(kept.select(*INDEX.names).unionByName(fixed_rows))
-
-
-def _address(cells):
-    """Four byte columns to dotted text."""
-    text = [pd.Series(c).astype(str) for c in cells]
-    return text[0] + "." + text[1] + "." + text[2] + "." + text[3]
-
-
-def _packets(capture, offsets, first, after):
-    """The records at the given offsets as columns, fields gathered all at once."""
-    data = np.frombuffer(capture.read(first, after - first), dtype=np.uint8)
-    data = np.concatenate([data, np.zeros(128, np.uint8)])
-    at = np.array(offsets, dtype=np.int64) - first
-    wide = capture.order + "u4"
-
-    def word(where, kind, size):
-        cells = data[where[:, None] + np.arange(size)]
-        return np.ascontiguousarray(cells).view(kind)[:, 0].astype(np.int64)
-
-    seconds, part, held = word(at, wide, 4), word(at + 4, wide, 4), word(at + 8, wide, 4)
-    frame = at + RECORD_HEADER
-    link = LINK_HEADERS.get(capture.link)
-    if link is None:
-        ip, is_ip = frame, np.zeros(len(at), bool)
-    elif capture.link == 1:
-        tagged = word(frame + 12, ">u2", 2) == 0x8100
-        ip = frame + link + 4 * tagged
-        is_ip = word(ip - 2, ">u2", 2) == 0x0800
-    elif capture.link == 113:
-        ip = frame + link
-        is_ip = word(ip - 2, ">u2", 2) == 0x0800
-    else:
-        ip = frame + link
-        is_ip = np.ones(len(at), bool)
-    # Short frames would read into the next record.
-    fits = (ip - frame) + 20 <= held
-    ip = np.where(fits, ip, frame)
-    is_ip &= fits & (data[ip] >> 4 == 4)
-    header = (data[ip] & 15).astype(np.int64) * 4
-    total = word(ip + 2, ">u2", 2)
-    fragment = word(ip + 6, ">u2", 2) & 0x1FFF
-    proto = data[ip + 9].astype(np.int64)
-    upper = ip + header
-    room = held - (upper - frame)
-    tcp = is_ip & (proto == 6) & (fragment == 0) & (room >= 20)
-    udp = is_ip & (proto == 17) & (fragment == 0) & (room >= 8)
-    ported = tcp | udp
-    upper = np.where(ported, upper, frame)
-    offset = np.where(tcp, (data[upper + 12] >> 4).astype(np.int64) * 4, 8)
-    payload = np.maximum(total - header - offset, 0)
-    other = is_ip & ~np.isin(proto, (6, 17))
-    return {
-        "ts_us": seconds * 1_000_000 + part // capture.per_us,
-        "src_ip": np.where(is_ip, _address([data[ip + 12 + i] for i in range(4)]), None),
-        "dst_ip": np.where(is_ip, _address([data[ip + 16 + i] for i in range(4)]), None),
-        "src_port": np.where(ported, word(upper, ">u2", 2), 0),
-        "dst_port": np.where(ported, word(upper + 2, ">u2", 2), 0),
-        "payload_len": np.where(ported, payload, 0),
-        "pkt_len": held,
-        "proto": np.where(ported | other, proto, 0),
-        "flags": np.where(tcp, data[upper + 13].astype(float), np.nan),
-    }
+PATTERNS = "*.pcap,*.pcap.gz,*.pcapng,*.pcapng.gz,*.cap"
+# Deflate cannot pack more than this many bytes into one; packet ids leave that room.
+MOST_UNPACKED = 1040
+
+CHUNK_FIELDS = [
+    T.StructField("root", T.StringType()),
+    T.StructField("path", T.StringType()),
+    T.StructField("base", T.LongType()),
+    T.StructField("kind", T.StringType()),
+    T.StructField("length", T.LongType()),
+    T.StructField("chunk", T.LongType()),
+    T.StructField("begin", T.LongType()),
+    T.StructField("end", T.LongType()),
+]
+MAPS = T.StructType([
+    *CHUNK_FIELDS,
+    T.StructField("ways", T.BinaryType()),
+    T.StructField("next", T.LongType()),
+    T.StructField("unread", T.LongType()),
+    T.StructField("problem", T.StringType()),
+])
+INDEX = T.StructType([
+    *CHUNK_FIELDS,
+    T.StructField("first", T.LongType()),
+    T.StructField("next", T.LongType()),
+    T.StructField("unread", T.LongType()),
+    T.StructField("problem", T.StringType()),
+])
+CAPTURED = T.StructType([*schemas.RAW_PACKET.fields, T.StructField("capture_path", T.StringType())])
 
 
-CAPTURED = T.StructType([*schemas.RAW_PACKET.fields, T.StructField("capture_path", T.StringType())])
+@dataclass
+class Pieces(InputPartition):
+    """Pieces of files that one task reads: tuples in the order of the fields of a chunk."""
+
+    pieces: list
+
+
+def packed(pieces, size_of, most):
+    """Group consecutive pieces, so that a task reads about `most` bytes of small files."""
+    groups, held = [], 0
+    for piece in pieces:
+        size = size_of(piece)
+        if not groups or held + size > most:
+            groups.append([])
+            held = 0
+        groups[-1].append(piece)
+        held += size
+    return [Pieces(g) for g in groups]
+
+
+def encode_ways(starts, ends):
+    """Pack a map from places to places: few distinct ends, regular steps between starts."""
+    distinct, which = np.unique(ends, return_inverse=True)
+    head = np.array([len(starts), len(distinct)], np.int64)
+    steps = np.diff(starts, prepend=0)
+    return zlib.compress(head.tobytes() + steps.tobytes() + distinct.tobytes() + which.astype(np.int32).tobytes(), 1)
+
+
+def decode_ways(data):
+    raw = zlib.decompress(data)
+    n, m = np.frombuffer(raw, np.int64, 2)
+    starts = np.cumsum(np.frombuffer(raw, np.int64, n, 16))
+    distinct = np.frombuffer(raw, np.int64, m, 16 + 8 * n)
+    return starts, distinct[np.frombuffer(raw, np.int32, n, 16 + 8 * (n + m))]
+
+
+class MapReader(DataSourceReader):
+    def __init__(self, options):
+        self.root = options["path"]
+        self.chunk_bytes = int(options.get("chunkbytes", CHUNK_BYTES))
+        self.patterns = options.get("pattern", PATTERNS).split(",")
+
+    def partitions(self):
+        """Chunks of all matching files below the folder, in the order of their paths."""
+        store, base = form.store_of(self.root)
+        found = store.get_file_info(base)
+        if found.type == fs.FileType.Directory:
+            found = store.get_file_info(fs.FileSelector(base, recursive=True))
+        else:
+            found = [found]
+        files = sorted(
+            (f for f in found if f.type == fs.FileType.File and any(fnmatch.fnmatch(f.base_name, p) for p in self.patterns)),
+            key=lambda f: f.path,
+        )
+        if not files:
+            return [Pieces([])]
+        pieces, first_id = [], 0
+        for file in files:
+            whole = file.base_name.endswith((".gz", ".pcapng"))
+            step = max(file.size, 1) if whole else self.chunk_bytes
+            for chunk, begin in enumerate(range(0, max(file.size, 1), step)):
+                pieces.append((self.root, file.path, first_id, None, file.size, chunk, begin, min(begin + step, file.size)))
+            first_id += max(file.size, 1) * (MOST_UNPACKED if file.base_name.endswith(".gz") else 1)
+        return packed(pieces, lambda p: p[7] - p[6], self.chunk_bytes)
+
+    def read(self, partition):
+        rows = [chunk_map(piece) for piece in partition.pieces]
+        schema = to_arrow_schema(MAPS)
+        columns = list(zip(*rows)) or [[] for _ in schema]
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+def chunk_map(piece):
+    """The row of a chunk: its map, or for a file that cannot be split how far it can be read."""
+    root, path, base, _, length, chunk, begin, end = piece
+    with form.store_of(root)[0].open_input_file(path) as handle:
+        head = handle.read_at(min(form.FILE_HEADER, length), 0) if length else b""
+        gzipped = head[:2] == form.GZIP
+        handle.seek(0)
+        if gzipped:
+            head = form.Stream(handle, True).read(form.FILE_HEADER)
+            handle.seek(0)
+        kind = form.kind_of(head) + (".gz" if gzipped else "")
+        if kind.startswith((form.EMPTY, form.FOREIGN)):
+            problem = form.EMPTY if length == 0 else form.FOREIGN
+            return (root, path, base, problem, length, chunk, begin, end, None, begin, end - begin, problem)
+        if kind == "pcap" and not path.endswith((".gz", ".pcapng")):
+            return split_map(piece, handle, form.layout_of(head))
+        row = (root, path, base, kind, length, chunk, begin, end, None)
+        if chunk:  # the file's name did not show that it is read as a whole; the first chunk does it
+            return (*row, begin, 0, None)
+        records = form.open_stream(handle, kind)
+        for _ in records:
+            pass
+        unread = records.left
+        while more := records.stream.read(form.READ_BYTES):
+            unread += len(more)
+        problem = records.problem or (form.TRUNCATED if records.stream.broken else None)
+        return (*row, records.reached, unread, problem)
+
+
+def split_map(piece, handle, layout):
+    root, path, base, _, length, chunk, begin, end = piece
+    row = (root, path, base, "pcap", length, chunk, begin, end)
+    if layout is None:
+        return (*row, None, begin, end - begin, form.TRUNCATED)
+    data = handle.read_at(min(end + form.RECORD_HEADER, length) - begin, begin)
+    if chunk == 0:
+        starts = np.array([form.FILE_HEADER], np.int64)
+    else:
+        starts = form.possible_starts(data, begin, end, length, layout)
+    ends = form.ends_of(data, begin, starts, end, length, layout)
+    return (*row, encode_ways(starts, ends), None, None, None)
 
 
-def _parse(frames):
-    for frame in frames:
-        for row in frame.itertuples(index=False):
-            capture = _Capture(row.path, row.length)
-            if not capture.usable or row.first >= row.next:
-                continue
-            offsets, after = capture.follow(row.first, row.end)
-            if not offsets:
+def prove(batches):
+    """mapInArrow function over maps sorted by path and chunk: follow each file's chain through them."""
+    path, at, stopped = None, 0, False
+    for batch in batches:
+        rows = []
+        for r in batch.to_pylist():
+            row = [r[f.name] for f in CHUNK_FIELDS]
+            if r["path"] != path:
+                path, at, stopped = r["path"], form.FILE_HEADER, False
+            if r["ways"] is None:
+                rows.append((*row, 0 if r["next"] > r["begin"] else r["begin"], r["next"], r["unread"], r["problem"]))
                 continue
-            out = pd.DataFrame(_packets(capture, offsets, row.first, after))
-            out["packet_id"] = int(row.file_number) * (1 << 40) + np.array(offsets, dtype=np.int64)
-            out["flags"] = out["flags"].astype("Int32")
-            out["capture_path"] = row.path
-            yield out[CAPTURED.names]
+            first, problem = at, None
+            if stopped or at >= r["end"]:
+                # Nothing starts here: the chunk lies inside a record, or after the end of the chain.
+                after = first = r["begin"]
+                unread = r["end"] - r["begin"] if stopped else 0
+            else:
+                starts, ends = decode_ways(r["ways"])
+                i = int(np.searchsorted(starts, at))
+                end = int(ends[i]) if i < len(starts) and starts[i] == at else -2 - 2 * at
+                if end >= 0:
+                    at = after = end
+                    unread = 0
+                else:
+                    after, damaged = divmod(-1 - end, 2)
+                    stopped, problem = True, form.DAMAGED if damaged else form.TRUNCATED
+                    unread = r["end"] - after
+            rows.append((*row, first, after, unread, problem))
+        columns = list(zip(*rows)) or [[] for _ in INDEX]
+        schema = to_arrow_schema(INDEX)
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+class PacketReader(DataSourceReader):
+    def __init__(self, options):
+        self.index = options["index"]
+        self.chunk_bytes = int(options.get("chunkbytes", CHUNK_BYTES))
+
+    def partitions(self):
+        """Proved chunks that hold records, from the written index."""
+        store, base = form.store_of(self.index)
+        table = pq.read_table(base, filesystem=store, columns=INDEX.names)
+        rows = [tuple(r.values()) for r in table.to_pylist() if r["next"] > r["first"]]
+        rows.sort(key=lambda r: (r[2], r[5]))
+        return packed(rows, lambda r: r[7] - r[6], self.chunk_bytes) or [Pieces([])]
+
+    def read(self, partition):
+        for piece in partition.pieces:
+            yield from packets_of(piece)
+
+
+def packets_of(piece):
+    """Arrow batches of the packets of one proved chunk, or of a whole file that is not split."""
+    root, path, base, kind, length, _, _, end, first, after = piece[:10]
+    with form.store_of(root)[0].open_input_file(path) as handle:
+        if kind == "pcap" and not path.endswith((".gz", ".pcapng")):
+            layout = form.layout_of(handle.read_at(form.FILE_HEADER, 0))
+            # Records may end beyond the chunk; they are read in steps, so that one task holds a bounded part.
+            at = first
+            while at < min(after, end):
+                size = min(after, at + form.READ_BYTES + layout.longest + form.RECORD_HEADER) - at
+                data = handle.read_at(size, at)
+                starts, reached, _ = form.walk(data, at, at, min(end, after, at + form.READ_BYTES), at + size, layout)
+                if not starts:
+                    return
+                yield batch_of(base, path, starts, form.record_columns(data, at, starts, layout))
+                at = reached
+        else:
+            for places, columns in form.open_stream(handle, kind):
+                yield batch_of(base, path, places, columns)
+
+
+def batch_of(base, path, places, columns):
+    out = pd.DataFrame(columns)
+    out["packet_id"] = base + np.array(places, dtype=np.int64)
+    out["flags"] = out["flags"].astype("Int32")
+    out["capture_path"] = path
+    return pa.RecordBatch.from_pandas(out[CAPTURED.names], schema=to_arrow_schema(CAPTURED), preserve_index=False)
+
+
+class CaptureMaps(DataSource):
+    """One row per chunk of the capture files below a path, with the map of its record chains."""
+
+    @classmethod
+    def name(cls):
+        return "capture_maps"
+
+    def schema(self):
+        return MAPS
+
+    def reader(self, schema):
+        return MapReader(dict(self.options))
+
+
+class CapturePackets(DataSource):
+    """The packets of indexed capture files."""
+
+    @classmethod
+    def name(cls):
+        return "capture_packets"
+
+    def schema(self):
+        return CAPTURED
+
+    def reader(self, schema):
+        return PacketReader(dict(self.options))
+
+
+class Captures:
+    """Capture files below a path: their proved index, their packets and a summary per file."""
+
+    def __init__(self, spark, path, chunk_bytes=CHUNK_BYTES, pattern=PATTERNS):
+        spark.dataSource.register(CaptureMaps)
+        spark.dataSource.register(CapturePackets)
+        options = {"path": path, "chunkbytes": str(chunk_bytes), "pattern": pattern}
+        maps = spark.read.format("capture_maps").options(**options).load()
+        proved = maps.repartition("path").sortWithinPartitions("path", "chunk").mapInArrow(prove, INDEX)
+        where = fresh_dir(spark, "capture-index")
+        proved.write.mode("overwrite").parquet(where)
+        self.index = spark.read.schema(INDEX).parquet(where)
+        self.packets = spark.read.format("capture_packets").options(index=where, chunkbytes=str(chunk_bytes)).load()
+
+    def summary(self):
+        """capture_path, kind, bytes, packets, parsed (TCP or UDP), parse_errors, unread_bytes, problem: one row per file.
+
+        A file that is no capture, is empty, ends inside a record or has a record of impossible length has its row
+        too: `problem` names it, and unread_bytes counts what stands after its last whole record (of the unpacked
+        stream, if the file is gzipped; of the file, if it is no capture at all).
+        """
+        usable = F.col("proto").isin(6, 17)
+        counts = self.packets.groupBy("capture_path").agg(
+            F.count(F.lit(1)).alias("packets"), F.count_if(usable).alias("parsed"), F.count_if(~usable).alias("parse_errors")
+        )
+        files = self.index.groupBy(F.col("path").alias("capture_path")).agg(
+            F.max("kind").alias("kind"), F.max("length").alias("bytes"), F.sum("unread").alias("unread_bytes"),
+            F.max("problem").alias("problem"),
+        )
+        n = [F.coalesce(c, F.lit(0)).alias(c) for c in ("packets", "parsed", "parse_errors")]
+        return files.join(counts, "capture_path", "left").select("capture_path", "kind", "bytes", *n, "unread_bytes", "problem")
 
 
-def read_captures(spark, path, chunk_bytes=CHUNK_BYTES, pattern="*.pcap"):
+def read_captures(spark, path, chunk_bytes=CHUNK_BYTES, pattern=PATTERNS):
     """All packets of the capture files below a path, as raw packets with their file.
 
-    What is neither TCP nor UDP over IPv4 keeps its protocol number, or 0 where it
-    has none, so that unparsed packets can be counted. Ids follow file and offset.
+    What is neither TCP nor UDP over IPv4 keeps its protocol number, or 0 where it has none, so that unparsed packets
+    can be counted. Ids follow the order of the files' paths and the place of the packet in its file; they are unique as long as the names of
+    gzipped files end in `.gz`.
     """
-    index = capture_index(spark, path, chunk_bytes, pattern)
-    return _one_task_each(index).mapInPandas(_parse, CAPTURED)
-
-
-def capture_summary(raw):
-    """Packets, usable packets and parse errors by capture file."""
-    usable = F.col("proto").isin(6, 17)
-    return raw.groupBy("capture_path").agg(
-        F.count(F.lit(1)).alias("packets"),
-        F.count_if(usable).alias("parsed"),
-        F.count_if(~usable).alias("parse_errors"),
-    )
+    return Captures(spark, path, chunk_bytes, pattern).packets

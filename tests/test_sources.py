@@ -1,15 +1,11 @@
-import struct
-
-import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import random_packets, raw_frame
 from leakwatch.functions import fixed
 from leakwatch.operators import evaluate, labels, prep
-from leakwatch.plans import capture_queries, detection, training
+from leakwatch.plans import detection, training
 from leakwatch.session import fresh_dir, shared_root
-from leakwatch.sources import captures, flows, uploads
+from leakwatch.sources import flows, uploads
 from leakwatch.streaming import alerts, monitor, run
 
 
@@ -71,50 +67,6 @@ def test_upload_metadata(spark):
     assert out[3]["chunk_id"] == "1"
 
 
-def capture_bytes(rows, nested=None):
-    """A little-endian capture; `nested` is put into the payload of every packet."""
-    data = struct.pack("<IHHiIII", 0xA1B2C3D4, 2, 4, 0, 0, 262_144, 1)
-    for r in rows:
-        body = nested or bytes(r[6])
-        ip = struct.pack(">BBHHHBBH4B4B", 0x45, 0, 40 + len(body), 0, 0, 64, r[8], 0, 10, 0, 0, 1, 203, 0, 113, 5)
-        tcp = struct.pack(">HHIIBBHHH", r[4], r[5], 0, 0, 0x50, r[9], 0, 0, 0)
-        frame = bytes(12) + b"\x08\x00" + ip + tcp + body
-        data += struct.pack("<IIII", r[1] // 1_000_000 + 1_700_000_000, r[1] % 1_000_000, len(frame), len(frame)) + frame
-    return data
-
-
-@pytest.mark.parametrize("chunk", [700, 5000, 10**9])
-def test_capture_chunks_give_every_packet_once(spark, folder, chunk):
-    rows = sorted(random_packets(120), key=lambda r: r[1])
-    with open(f"{folder}/x.pcap", "wb") as out:
-        out.write(capture_bytes(rows))
-    got = captures.read_captures(spark, folder, chunk).orderBy("packet_id").collect()
-    assert [(r["ts_us"] - 1_700_000_000_000_000, r["src_port"], r["dst_port"], r["payload_len"], r["flags"]) for r in got] == [
-        (r[1], r[4], r[5], r[6], r[9]) for r in rows]
-    assert len({r["packet_id"] for r in got}) == len(rows)
-
-
-def test_captures_inside_captures_do_not_mislead(spark, folder):
-    """Payloads that look like capture records: wrong guesses must be corrected."""
-    rows = sorted(random_packets(60), key=lambda r: r[1])
-    inner = capture_bytes([(*r[:6], 20, *r[7:]) for r in rows[:12]])[24:]
-    with open(f"{folder}/x.pcap", "wb") as out:
-        out.write(capture_bytes(rows, inner))
-    got = captures.read_captures(spark, folder, 3000)
-    assert got.count() == 60 and {r["payload_len"] for r in got.collect()} == {len(inner)}
-
-
-def test_damaged_captures_are_not_fatal(spark, folder):
-    rows = sorted(random_packets(10), key=lambda r: r[1])
-    whole = capture_bytes(rows)
-    for name, data in {"cut": whole[:-7], "junk": b"not a capture at all", "empty": whole[:24], "none": b""}.items():
-        with open(f"{folder}/{name}.pcap", "wb") as out:
-            out.write(data)
-    got = captures.read_captures(spark, folder)
-    assert got.count() == 9
-    assert captures.capture_summary(got).first()["parse_errors"] == 0
-
-
 def test_alert_sink_is_repeatable(spark, sf):
     """Windows through the keyed baseline and the alert sink; the batch twin agrees."""
     from leakwatch.operators import windows
@@ -199,10 +151,3 @@ def test_training_job(spark, sf):
 def test_shared_folder_is_the_cluster_one(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     assert named is None or shared_root(spark) == named.rstrip("/")
-
-
-def test_capture_file_round_trip(spark):
-    rows = raw_frame(spark, random_packets(50)).withColumn("scenario", F.lit("baseline")).withColumn("part", F.lit(0))
-    folder = capture_queries.write_captures(rows, fresh_dir(spark, "round"))
-    assert captures.read_captures(spark, folder, 2000).count() == 50
-    assert np.isclose(captures.read_captures(spark, folder).agg(F.sum("pkt_len")).first()[0], rows.agg(F.sum("pkt_len")).first()[0])

@@ -181,12 +181,38 @@ def mix_sql(c: str, seed) -> str:
     return f"({x} * ({x} + 69621) % {m})"
 
 
-def unit(id_col, seed=0) -> Column:
-    """Uniform in (0, 1), fixed by id and seed."""
-    return (mix(id_col, seed) + 0.5) / float(MIX_DOMAIN)
+def draw_keys(id_col, copy):
+    """Two numbers of a (row, copy) pair, for `unit_of`. Each names the pair up to chance alone, and together they
+    tell any two pairs apart but for one chance in MIX_DOMAIN squared. Ids may have 63 bits."""
+    a, c, m = F.col(id_col).cast("bigint"), F.col(copy).cast("bigint"), F.lit(MIX_DOMAIN)
+    high = F.floor(a / m)
+    one = F.pmod(mix(id_col, 77) + F.pmod(high, m) + c * 1_000_003, m)
+    two = F.pmod(mix(id_col, 79) + F.pmod(high, m) * 3 + c * 998_244_353, m)
+    return one, two
+
+
+def draw_keys_sql(a: str, c: str):
+    """The same two numbers as SQL text, for ids of 31 bits."""
+    m = MIX_DOMAIN
+    return f"(({mix_sql(a, 77)} + {c} * 1000003) % {m})", f"(({mix_sql(a, 79)} + {c} * 998244353) % {m})"
+
+
+def unit_of(keys, seed) -> Column:
+    """Uniform in (0, 1) with 53 bits, fixed by the keys and the seed."""
+    m = float(MIX_DOMAIN)
+    return (mix(keys[0], seed * 2).cast("double") * m + mix(keys[1], seed * 2 + 1) + 0.5) / (m * m)
+
+
+def unit_of_sql(keys, seed):
+    m = f"{MIX_DOMAIN}e0"
+    return f"((CAST({mix_sql(keys[0], seed * 2)} AS DOUBLE) * {m} + {mix_sql(keys[1], seed * 2 + 1)} + 0.5e0) / ({m} * {m}))"
+
+
+def normal_of(keys, seed) -> Column:
+    """Standard normal (Box-Muller), fixed by the keys and the seed."""
+    radius = F.sqrt(-2.0 * F.log(unit_of(keys, seed * 2 + 1)))
+    return radius * F.cos(2.0 * F.pi() * unit_of(keys, seed * 2 + 2))
 
 
-def normal(id_col, seed) -> Column:
-    """Standard normal (Box-Muller), fixed by id and seed; seeds must be whole numbers."""
-    radius = F.sqrt(-2.0 * F.log(unit(id_col, seed * 2 + 1)))
-    return radius * F.cos(2.0 * F.pi() * unit(id_col, seed * 2 + 2))
+def normal_of_sql(keys, seed):
+    return f"(sqrt(-2e0 * ln({unit_of_sql(keys, seed * 2 + 1)})) * cos(2e0 * pi() * {unit_of_sql(keys, seed * 2 + 2)}))"

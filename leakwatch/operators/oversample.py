@@ -1,98 +1,15 @@
-"""Oversampling: nearest neighbours, interpolation and jitter."""
+"""Oversampling: interpolation between nearest neighbours, and jitter."""
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from leakwatch.functions import columns as C
 from leakwatch.functions import fixed
 from leakwatch.operators import spread
+from leakwatch.operators.neighbours import nearest_neighbours
 
-BROADCAST_CELLS = 8_000_000
-BLOCK_ROWS = 4096
-
-NEAREST = T.StructType(
-    [
-        T.StructField("id", T.LongType()),
-        T.StructField("neighbour", T.LongType()),
-        T.StructField("distance_sq", T.DoubleType()),
-    ]
-)
-
-
-def _nearest(ids, points, other_ids, others, k):
-    """The k closest other rows of each row: squared distance, then id."""
-    found = []
-    for start in range(0, len(ids), 256):
-        block = points[start : start + 256]
-        gaps = np.zeros((len(block), len(others)))
-        for j in range(points.shape[1]):
-            gaps += (block[:, j : j + 1] - others[:, j]) ** 2
-        mine = ids[start : start + 256]
-        gaps[mine[:, None] == other_ids[None, :]] = np.inf
-        keep = min(k, len(others))
-        edge = np.partition(gaps, keep - 1, axis=1)[:, keep - 1]
-        for row, one, limit in zip(gaps, mine, edge):
-            near = np.flatnonzero(row <= limit)
-            near = near[np.isfinite(row[near])]
-            best = near[np.lexsort((other_ids[near], row[near]))][:k]
-            found.append(
-                pd.DataFrame(
-                    {"id": one, "neighbour": other_ids[best], "distance_sq": row[best]}
-                )
-            )
-    return pd.concat(found) if found else pd.DataFrame(columns=NEAREST.names)
-
-
-def nearest_neighbours(rows, names, k=5, id_col="id", broadcast_cells=BROADCAST_CELLS):
-    """The k nearest rows of each row, exactly, as (id, neighbour, distance_sq, rank).
-
-    Rows are the minority class. While all of them fit `broadcast_cells` they are
-    sent to the tasks and compared block by block. Beyond that they are cut into
-    blocks, pairs of blocks are compared in separate tasks, and the k best of
-    every block are merged. No pair of rows is ever emitted, only candidates for
-    the k best.
-    """
-    cells = [F.col(f"`{n}`").cast("double") for n in names]
-    points = rows.select(F.col(id_col).cast("bigint").alias("id"), F.array(*cells).alias("x"))
-    size = points.count()
-    spark = rows.sparkSession
-    if size * (len(names) + 1) <= broadcast_cells:
-        held = points.toArrow().to_pandas()
-        ids = held["id"].to_numpy(dtype=np.int64)
-        matrix = np.array(held["x"].tolist(), dtype=float).reshape(len(ids), len(names))
-        shared = spark.sparkContext.broadcast((ids, matrix))
-
-        def compare(batches):
-            other_ids, others = shared.value
-            for batch in batches:
-                if len(batch):
-                    x = np.array(batch["x"].tolist(), dtype=float)
-                    yield _nearest(batch["id"].to_numpy(), x, other_ids, others, k)
-
-        spread_rows = points.repartition(max(1, size // 512 + 1))
-        candidates = spread_rows.mapInPandas(compare, NEAREST)
-    else:
-        blocks = -(-size // BLOCK_ROWS)
-        placed = points.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
-        targets = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-        left = placed.withColumnRenamed("block", "l").withColumn("r", targets)
-        right = placed.withColumnRenamed("block", "r").withColumn("l", targets)
-
-        def compare_blocks(a, b):
-            if a.empty or b.empty:
-                return pd.DataFrame(columns=NEAREST.names)
-            xa = np.array(a["x"].tolist(), dtype=float)
-            xb = np.array(b["x"].tolist(), dtype=float)
-            return _nearest(a["id"].to_numpy(), xa, b["id"].to_numpy(), xb, k)
-
-        candidates = (
-            left.groupBy("l", "r").cogroup(right.groupBy("l", "r")).applyInPandas(compare_blocks, NEAREST)
-        )
-    best = Window.partitionBy("id").orderBy("distance_sq", "neighbour")
-    return candidates.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+# Copies of one row beyond this many are made by several tasks.
+COPIES_PER_PIECE = 10_000
+COPIES_PER_TASK = 200_000
 
 
 def interpolation_target(n_minority, n_majority, ratio=0.1):
@@ -120,16 +37,17 @@ def interpolate_minority(rows, names, ratio=0.1, id_col="id", label="label", see
     points = minority.select(F.col(id_col).cast("bigint").alias("id"), point.alias("p"))
     near = nearest_neighbours(minority, names, k, id_col)
     choices = near.groupBy("id").agg(F.max("rank").alias("found"))
+    keys = F.col("draw.one"), F.col("draw.two")
     copies = (
-        _even_copies(points, "id", sizes[0], extra, seed)
+        even_copies(points, "id", sizes[0], extra, seed)
         .join(choices, "id")
-        .withColumn("draw", F.col("id") * 1009 + F.col("copy"))
-        .withColumn("rank", (F.floor(C.unit("draw", seed) * F.col("found")) + 1).cast("int"))
+        .withColumn("draw", F.struct(*[k.alias(n) for k, n in zip(C.draw_keys("id", "copy"), ("one", "two"))]))
+        .withColumn("rank", (F.floor(C.unit_of(keys, seed) * F.col("found")) + 1).cast("int"))
     )
     joined = copies.join(near.select("id", "rank", "neighbour"), ["id", "rank"]).join(
         points.select(F.col("id").alias("neighbour"), F.col("p").alias("q")), "neighbour"
     )
-    step = C.unit("draw", seed + 1)
+    step = C.unit_of(keys, seed + 1)
     made = joined.select(
         F.col("id").alias(id_col),
         *[(F.col(f"p.`{n}`") + step * (F.col(f"q.`{n}`") - F.col(f"p.`{n}`"))).alias(n) for n in names],
@@ -139,33 +57,44 @@ def interpolate_minority(rows, names, ratio=0.1, id_col="id", label="label", see
     return base.unionByName(made)
 
 
-def _even_copies(rows, id_col, size, extra, seed):
+def even_copies(rows, id_col, size, extra, seed):
     """Repeat rows so that `extra` copies come out, as evenly as possible.
 
-    Adds `copy`, numbered from 1; rows without a share are left out.
+    Adds `copy`, numbered from 1; rows without a share are left out. The copies of a row are cut into pieces
+    of a bounded number, which are spread over the tasks before the copies are made.
     """
     one = rows.withColumn("_all", F.lit(1))
     ranked = spread.global_rank(one, ["_all"], C.mix(id_col, seed), C.MIX_DOMAIN, id_col)
-    share = F.lit(extra // size) + (F.col("_rank") <= extra % size).cast("int")
-    return (
+    share = F.lit(extra // size) + (F.col("_rank") <= extra % size).cast("bigint")
+    last = F.floor((F.col("_share") - 1) / COPIES_PER_PIECE)
+    pieces = (
         ranked.withColumn("_share", share)
         .filter(F.col("_share") > 0)
-        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_share"))))
-        .drop("_all", "_rank", "_rank_of", "_share")
+        .withColumn("_part", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+        # By number, as the few bytes of the pieces do not show what they grow to.
+        .repartition(-(-extra // COPIES_PER_TASK), id_col, "_part")
     )
+    start = F.col("_part") * COPIES_PER_PIECE
+    numbers = F.sequence(start + 1, F.least(start + COPIES_PER_PIECE, F.col("_share")))
+    return pieces.withColumn("copy", F.explode(numbers)).drop("_all", "_rank", "_rank_of", "_share", "_part")
 
 
 def jitter(rows, names, target, id_col="id", seed=fixed.SEED):
-    """Rows plus noisy copies up to `target` rows: value + N(0, max(8 % of it, 1)), at least 0."""
+    """Rows plus noisy copies up to `target` rows: value + N(0, max(8 % of it, 1)), at least 0.
+
+    `copy` is 0 for the rows themselves. The noise depends on the row's id and the copy's number alone, so a retry
+    repeats it, and no two copies share it.
+    """
     size = rows.count()
     cells = [F.col(f"`{n}`").cast("double").alias(n) for n in names]
-    base = rows.select(id_col, *cells).withColumn("copy", F.lit(0))
+    base = rows.select(id_col, *cells).withColumn("copy", F.lit(0).cast("bigint"))
     if size == 0 or target <= size:
         return base
-    copies = _even_copies(rows.select(id_col, *cells), id_col, size, target - size, seed)
-    draw = F.col(id_col) * 1009 + F.col("copy")
+    copies = even_copies(rows.select(id_col, *cells), id_col, size, target - size, seed)
+    copies = copies.withColumn("_draw", F.struct(*[k.alias(n) for k, n in zip(C.draw_keys(id_col, "copy"), ("one", "two"))]))
+    keys = F.col("_draw.one"), F.col("_draw.two")
     noisy = []
     for i, n in enumerate(names):
         scale = F.greatest(F.abs(F.col(f"`{n}`")) * 0.08, F.lit(1.0))
-        noisy.append(F.greatest(F.lit(0.0), F.col(f"`{n}`") + C.normal(draw, seed + i) * scale).alias(n))
+        noisy.append(F.greatest(F.lit(0.0), F.col(f"`{n}`") + C.normal_of(keys, seed + i) * scale).alias(n))
     return base.unionByName(copies.select(id_col, *noisy, "copy"))

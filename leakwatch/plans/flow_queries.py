@@ -506,19 +506,18 @@ def minority_knn(spark, sf):
     return oversample.nearest_neighbours(minority(spark, sf), POINT, 5, "flow_id")
 
 
-def _unit_sql(c, seed):
-    return f"(({C.mix_sql(c, seed)} + 0.5e0) / 2147483647e0)"
+DRAW = C.draw_keys_sql("flow_id", "c")
 
 
 @query("smote_rows", sql(FLOWS, LABELLED, KNN, _ranked("minority", "").replace("ranked AS", "ordered_minority AS"), f"""
 wanted AS (SELECT (SELECT count(*) FROM minority) AS n,
     greatest(CAST(floor((SELECT count(*) FROM labelled WHERE exfil_label = 0) * 0.3e0) AS BIGINT), (SELECT count(*) FROM minority))
     - (SELECT count(*) FROM minority) AS extra),
-copies AS (SELECT o.*, c AS copy, flow_id * 1009 + c AS draw FROM ordered_minority o, wanted w,
+copies AS (SELECT o.*, c AS copy, {DRAW[0]} AS one, {DRAW[1]} AS two FROM ordered_minority o, wanted w,
     LATERAL (SELECT unnest(range(1, w.extra // w.n + CASE WHEN rank <= w.extra % w.n THEN 2 ELSE 1 END)) AS c) l),
 made AS (SELECT c.flow_id, c.fwd_packets AS p1, c.bwd_packets AS p2, c.fwd_bytes AS p3, c.psh_count AS p4,
-    q.fwd_packets AS q1, q.bwd_packets AS q2, q.fwd_bytes AS q3, q.psh_count AS q4, {_unit_sql('draw', 43)} AS u
-  FROM copies c JOIN knn k ON k.id = c.flow_id AND k.rank = floor({_unit_sql('draw', 42)} * 5) + 1
+    q.fwd_packets AS q1, q.bwd_packets AS q2, q.fwd_bytes AS q3, q.psh_count AS q4, {C.unit_of_sql(('one', 'two'), 43)} AS u
+  FROM copies c JOIN knn k ON k.id = c.flow_id AND k.rank = floor({C.unit_of_sql(('one', 'two'), 42)} * 5) + 1
   JOIN minority q ON q.flow_id = k.neighbour)""", """
 SELECT flow_id, round(p1 + u * (q1 - p1), 4) AS fwd_packets, round(p2 + u * (q2 - p2), 4) AS bwd_packets,
        round(p3 + u * (q3 - p3), 4) AS fwd_bytes, round(p4 + u * (q4 - p4), 4) AS psh_count FROM made"""))
@@ -536,18 +535,14 @@ def smote_counts(spark, sf):
     return out.groupBy("exfil_label").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _normal_sql(c, seed):
-    return (f"(sqrt(-2e0 * ln({_unit_sql(c, seed * 2 + 1)})) * cos(2e0 * pi() * {_unit_sql(c, seed * 2 + 2)}))")
-
-
 @query("jitter_augment", sql(FLOWS, LABELLED, "few AS (SELECT * FROM labelled WHERE trim(label) = 'Bot')",
-       _ranked("few", ""), """
-copies AS (SELECT r.*, c AS copy, flow_id * 1009 + c AS draw FROM ranked r,
+       _ranked("few", ""), f"""
+copies AS (SELECT r.*, c AS copy, {DRAW[0]} AS one, {DRAW[1]} AS two FROM ranked r,
     LATERAL (SELECT unnest(range(1, (n_of * 2) // n_of + CASE WHEN rank <= (n_of * 2) % n_of THEN 2 ELSE 1 END)) AS c) l)""", f"""
 SELECT flow_id, CAST(fwd_packets AS DOUBLE) AS fwd_packets, CAST(fwd_bytes AS DOUBLE) AS fwd_bytes, 0 AS copy FROM few
 UNION ALL
-SELECT flow_id, round(greatest(0e0, fwd_packets + {_normal_sql('draw', 42)} * greatest(fwd_packets * 0.08e0, 1e0)), 5),
-       round(greatest(0e0, fwd_bytes + {_normal_sql('draw', 43)} * greatest(fwd_bytes * 0.08e0, 1e0)), 5), copy FROM copies"""))
+SELECT flow_id, round(greatest(0e0, fwd_packets + {C.normal_of_sql(('one', 'two'), 42)} * greatest(fwd_packets * 0.08e0, 1e0)), 5),
+       round(greatest(0e0, fwd_bytes + {C.normal_of_sql(('one', 'two'), 43)} * greatest(fwd_bytes * 0.08e0, 1e0)), 5), copy FROM copies"""))
 def jitter_augment(spark, sf):
     few = flow_rows(spark, sf).filter(F.trim("label") == "Bot")
     out = oversample.jitter(few, ["fwd_packets", "fwd_bytes"], few.count() * 3, "flow_id")

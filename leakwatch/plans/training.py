@@ -68,7 +68,7 @@ def window_training_rows(window_rows, attack_sources_windows, target=None):
     known = attack_sources_windows.select("src_ip", "window_start").distinct().withColumn("hit", F.lit(1))
     labelled = window_rows.join(known, ["src_ip", "window_start"], "left")
     labelled = labelled.withColumn("label", F.coalesce("hit", F.lit(0))).drop("hit")
-    keyed = labelled.withColumn("id", F.abs(F.xxhash64("src_ip", "window_start")) % C.MIX_DOMAIN)
+    keyed = labelled.withColumn("id", F.xxhash64("src_ip", "window_start"))
     if target is None:
         return keyed
     return oversample.jitter(keyed, fixed.RUNTIME_FEATURES, target)

@@ -37,23 +37,6 @@ def test_samples_are_drawn_without_replacement(spark, cloud, rows, trees, want):
     assert len(sizes) == want and {(r["n"], r["d"]) for r in sizes} == {(take, take)}
 
 
-def brute_neighbours(rows, k):
-    out = []
-    for i, *p in rows:
-        near = sorted((sum((a - b) ** 2 for a, b in zip(p, q)), j) for j, *q in rows if j != i)[:k]
-        out += [(i, j, d, n + 1) for n, (d, j) in enumerate(near)]
-    return sorted(out)
-
-
-@pytest.mark.parametrize("cells", [10**6, 1])
-def test_neighbours_in_memory_and_in_blocks(spark, cells, monkeypatch):
-    monkeypatch.setattr(oversample, "BLOCK_ROWS", 16)
-    rows = [(i, float(i * 7 % 13), float(i * 5 % 11)) for i in range(70)]
-    frame = spark.createDataFrame(rows, "id bigint, a double, b double")
-    out = oversample.nearest_neighbours(frame, ["a", "b"], 3, broadcast_cells=cells)
-    assert sorted(tuple(r) for r in out.select("id", "neighbour", "distance_sq", "rank").collect()) == brute_neighbours(rows, 3)
-
-
 def test_interpolation_reaches_the_ratio(spark, cloud):
     out = oversample.interpolate_minority(cloud, ["a", "b"], 0.1)
     made = out.filter("synthetic")

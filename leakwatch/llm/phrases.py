@@ -32,9 +32,10 @@ COVERED_PERCENT = 80
 TOP = 2_000
 UNKNOWN = "und"
 
-CHUNK_BYTES = 1_000_000
-HELD_KEYS = 1_000_000
-HELD_PHRASES = 100_000
+CHUNK_BYTES = 300_000
+HELD_KEYS = 400_000
+HELD_PHRASES = 150_000
+PHRASES = ["lang", "n", "phrase", "found", "key"]
 # The bitmap has 2**BITMAP_BITS bits: 8 MB, whatever the size of the input.
 BITMAP_BITS = 26
 BLOCK_BITS = 32_768  # bits of one block of Spark's bitmap functions
@@ -135,6 +136,19 @@ class Words:
     def phrase(self, place, n):
         return b" ".join(self.data[self.start[i] : self.end[i]].tobytes() for i in range(place, place + n))
 
+    def phrases(self, places, n):
+        """The phrases of n words at the given places as a binary array, words joined by one space."""
+        sizes = [self.end[places + i] - self.start[places + i] for i in range(n)]
+        ends = np.cumsum(sum(sizes) + n - 1)
+        text = np.full(ends[-1] if len(ends) else 0, 0x20, np.uint8)
+        at = ends - sum(sizes) - (n - 1)
+        for i, size in enumerate(sizes):
+            within = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+            text[np.repeat(at, size) + within] = self.data[np.repeat(self.start[places + i], size) + within]
+            at = at + size + 1
+        offsets = np.concatenate(([0], ends)).astype(np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(places), [None, pa.py_buffer(offsets), pa.py_buffer(text)])
+
 
 def hash_name(name):
     """A 64-bit number of a language name, the same in every process."""
@@ -248,44 +262,56 @@ def materialising(frequent):
     """mapInArrow function: phrases with a frequent fingerprint as text, with exact counts; also
     the number of words (n = 0) of each language."""
 
-    def out(held):
-        rows = [(lang, n, phrase, found, key) for (lang, n, phrase, key), found in held.items()]
-        columns = list(zip(*rows))
-        types = [pa.string(), pa.int32(), pa.binary(), pa.int64(), pa.int64()]
-        arrays = [pa.array(c, t) for c, t in zip(columns, types)]
-        arrays[2] = arrays[2].cast(pa.string())
-        return pa.RecordBatch.from_arrays(arrays, ["lang", "n", "phrase", "found", "key"])
-
     def run(batches):
         bitmap = np.frombuffer(frequent.value, np.uint8)
-        held = defaultdict(int)
+        held, size = [], 0
         for batch in batches:
             for words, _ in word_chunks(batch):
-                if not len(words):
-                    continue
-                numbers = words.exact_numbers()
-                names, langs = np.unique(np.array(words.langs, object), return_inverse=True)
-                for i, total in enumerate(np.bincount(langs[words.text], minlength=len(names)).tolist()):
-                    if total:
-                        held[names[i], 0, b"", 0] += total
-                for n in range(1, LONGEST + 1):
-                    keys, whole = words.keys(n)
-                    places = np.flatnonzero(whole & is_set(bitmap, keys)) if len(keys) else np.zeros(0, np.int64)
-                    if not len(places):
-                        continue
-                    first, found = same_phrases(words, numbers, langs, places, keys[places], n)
-                    signed = keys[first].view(np.int64).tolist()
-                    for place, times, key in zip(first.tolist(), found.tolist(), signed):
-                        held[words.langs[words.text[place]], n, words.phrase(place, n), key] += times
-                if len(held) > HELD_PHRASES:
-                    yield out(held)
-                    held.clear()
+                if len(words):
+                    made = phrase_table(words, bitmap)
+                    held.append(made)
+                    size += len(made)
+                if size > HELD_PHRASES:
+                    held = [summed(held)]
+                    size = len(held[0])
+                    if size > HELD_PHRASES // 2:
+                        yield from held[0].to_batches()
+                        held, size = [], 0
         if held:
-            yield out(held)
+            yield from summed(held).to_batches()
 
     return run
 
 
+def phrase_table(words, bitmap):
+    """Counts of the frequent phrases of one chunk, and of its words by language."""
+    numbers = words.exact_numbers()
+    names, langs = np.unique(np.array(words.langs, object), return_inverse=True)
+    names = pa.array(names, pa.string())
+    total = np.bincount(langs[words.text], minlength=len(names))
+    nothing = pa.array([b""] * len(names), pa.binary())
+    parts = [pa.Table.from_arrays(
+        [names, pa.array(np.zeros(len(names), np.int32)), nothing, pa.array(total), pa.array(np.zeros(len(names), np.int64))], PHRASES
+    ).filter(pa.array(total > 0))]
+    for n in range(1, LONGEST + 1):
+        keys, whole = words.keys(n)
+        places = np.flatnonzero(whole & is_set(bitmap, keys)) if len(keys) else np.zeros(0, np.int64)
+        if len(places):
+            first, found = same_phrases(words, numbers, langs, places, keys[places], n)
+            parts.append(pa.Table.from_arrays([
+                names.take(pa.array(langs[words.text[first]])), pa.array(np.full(len(first), n, np.int32)),
+                words.phrases(first, n), pa.array(found), pa.array(keys[first].view(np.int64)),
+            ], PHRASES))
+    return pa.concat_tables(parts)
+
+
+def summed(tables):
+    """Equal phrases of several tables added up."""
+    groups = pa.concat_tables(tables).group_by(["lang", "n", "phrase", "key"], use_threads=False)
+    made = groups.aggregate([("found", "sum")]).rename_columns(["lang", "n", "phrase", "key", "found"]).select(PHRASES)
+    return made.combine_chunks()
+
+
 def frequent_keys(source, lengths, least, bitmap, name):
     """Fingerprints found at least `least` times: key, count, pointer to one occurrence."""
     counted = source.mapInArrow(counting(lengths, bitmap), "key bigint, found bigint, pointer bigint")
@@ -323,8 +349,8 @@ def frequent_phrases(docs, least=LEAST_FOUND):
     long = frequent_keys(source, tuple(range(3, LONGEST + 1)), least, pairs, "phrase-longer")
     keys = short.unionByName(long)
     found = source.mapInArrow(
-        materialising(broadcast_bitmap(keys)), "lang string, n int, phrase string, found bigint, key bigint"
-    )
+        materialising(broadcast_bitmap(keys)), "lang string, n int, phrase binary, found bigint, key bigint"
+    ).withColumn("phrase", F.col("phrase").cast("string"))
     counted = found.groupBy("lang", "n", "phrase", "key").agg(F.sum("found").alias("found"))
     # Written once: words and phrases are read from it, and the texts are not scanned for each.
     counted = staged(counted.filter((F.col("n") == 0) | (F.col("found") >= least)), "phrase-counts")

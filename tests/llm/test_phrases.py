@@ -84,6 +84,8 @@ def test_phrases_that_share_a_fingerprint_are_told_apart(spark, monkeypatch):
     keys, whole = words.keys(2)
     first, found = phrases.same_phrases(words, numbers, np.array([0]), np.flatnonzero(whole), keys, 2)
     assert {words.phrase(p, 2): n for p, n in zip(first.tolist(), found.tolist())} == {b"ab cd": 2, b"cd ab": 1, b"cd ef": 1}
+    assert words.phrases(first, 2).to_pylist() == [words.phrase(p, 2) for p in first.tolist()]
+    assert words.phrases(first[:0], 2).to_pylist() == []
 
 
 def test_small_chunks_and_held_limits(spark, monkeypatch):

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from leakwatch.functions import columns as C
 from leakwatch.functions import fixed
-from leakwatch.operators.moments import NAMES, Baseline
+from leakwatch.operators.moments import NAMES, Baselines, rounds
 
 RESULT = T.StructType(
     [
@@ -20,26 +20,125 @@ RESULT = T.StructType(
 )
 
 
-def _matrix(batch, names):
-    columns = []
-    for name in names:
-        if name in batch.schema.names:
-            values = batch.column(name).cast(pa.float64()).fill_null(0.0)
-            columns.append(values.to_numpy(zero_copy_only=False))
-        else:
-            columns.append(np.zeros(batch.num_rows))
-    return np.column_stack(columns)
+# What a step of the baseline leaves for the reasons.
+STEP = T.StructType(
+    [
+        T.StructField("_warm", T.BooleanType()),
+        T.StructField("_score", T.DoubleType()),
+        T.StructField("_flagged", T.BooleanType()),
+        T.StructField("_after", T.LongType()),
+        T.StructField("_before", T.LongType()),
+        T.StructField("_mean", T.ArrayType(T.DoubleType())),
+        T.StructField("_std", T.ArrayType(T.DoubleType())),
+    ]
+)
+# Sources of a task are taken in this many groups, one after the other, which bounds its state.
+SOURCE_GROUPS = 64
+
+
+def feature_array(columns):
+    """The features in their order; absent columns and nulls are 0."""
+    return F.array(
+        *[F.coalesce(F.col(n).cast("double"), F.lit(0.0)) if n in columns else F.lit(0.0) for n in NAMES]
+    )
+
+
+def _reasons(warmup):
+    """Reason codes of a window from its features and the baseline before it."""
+    cells = F.arrays_zip(
+        F.array(*[F.lit(n) for n in NAMES]).alias("name"), F.col("_x").alias("x"), F.col("_mean").alias("mean"),
+        F.col("_std").alias("std"), F.array(*[F.lit(i) for i in range(len(NAMES))]).alias("place"),
+    )
+    varies = lambda c: (F.col("_before") >= 2) & (c["std"] >= fixed.STD_FLOOR)
+    z = lambda c: F.when(varies(c), F.abs(c["x"] - c["mean"]) / c["std"]).otherwise(F.lit(0.0))
+    scored = F.transform(cells, lambda c: F.struct(
+        c["name"].alias("name"), c["x"].alias("x"), c["mean"].alias("mean"), c["std"].alias("std"),
+        (-z(c)).alias("minus_z"), c["place"].alias("place"),
+    ))
+
+    def note(c):
+        text = F.concat(
+            c["name"], F.when(c["x"] > c["mean"], F.lit("↑")).otherwise(F.lit("↓")), F.lit(" "), C.fixed_text(c["x"], 2),
+            F.lit(" (baseline μ="), C.fixed_text(c["mean"], 2), F.lit(" σ="), C.fixed_text(c["std"], 2),
+            F.lit(", z="), C.fixed_text(-c["minus_z"], 1), F.lit(")"),
+        )
+        return (
+            F.when(F.col("_before") < 2, F.concat(c["name"], F.lit("=N/A (baseline n="), F.col("_before").cast("string"), F.lit(")")))
+            .when(c["std"] < fixed.STD_FLOOR, F.concat(c["name"], F.lit("=const (std≈0)")))
+            .when(-c["minus_z"] > fixed.Z_THRESHOLD, text)
+        )
+
+    notes = F.filter(F.transform(scored, note), lambda t: t.isNotNull())
+    order = F.array_sort(F.transform(scored, lambda c: F.struct(c["minus_z"].alias("minus_z"), c["place"].alias("place"), c["name"].alias("name"))))
+    high = F.filter(F.slice(order, 1, 3), lambda c: -c["minus_z"] > fixed.Z_THRESHOLD)
+    codes = F.transform(high, lambda c: F.concat(F.lit("HIGH_Z: "), c["name"], F.lit("="), C.fixed_text(-c["minus_z"], 1), F.lit("σ")))
+    last = F.when(F.col("_flagged"), codes).otherwise(F.array(F.lit("within_baseline")))
+    warming = F.array(F.concat(F.lit("warmup_"), F.col("_after").cast("string"), F.lit(f"/{warmup}")))
+    return F.when(F.col("_warm"), F.concat(notes, last)).otherwise(warming)
+
+
+def explained(stepped, columns, warmup):
+    """The given columns and the result of the monitor, from what the steps returned."""
+    return stepped.withColumn("_x", feature_array(columns)).select(
+        *[F.col(f"`{c}`") for c in columns],
+        C.round_exact(F.col("_score"), 4).alias("online_score"),
+        F.col("_flagged").cast("int").alias("online_prediction"),
+        _reasons(warmup).alias("reason_codes"),
+        F.col("_after").alias("baseline_count"),
+    )
+
+
+def step_arrays(parts):
+    """Results of steps as Arrow arrays in the order of STEP."""
+    warm, score, flagged, after, before, mean, std = parts
+    width = pa.array(np.arange(0, len(NAMES) * (len(score) + 1), len(NAMES), dtype=np.int32))
+    return [
+        pa.array(warm), pa.array(score), pa.array(flagged), pa.array(after), pa.array(before),
+        *[pa.ListArray.from_arrays(width, pa.array(np.ascontiguousarray(v).reshape(-1))) for v in (mean, std)],
+    ]
+
+
+def _lock_step(threshold, warmup):
+    """mapInArrow function over rows sorted by group of sources, then time: all sources of a group take their
+    next window in one vector step."""
+
+    def score(batches):
+        group, known, state = None, {}, Baselines()
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            x = batch.column("_x").flatten().to_numpy(zero_copy_only=False).reshape(n, len(NAMES))
+            groups, times = batch.column("_group").to_numpy(), batch.column("window_start").to_numpy(zero_copy_only=False)
+            keys = batch.column("src_ip").to_pylist()
+            if "epoch" in batch.schema.names:
+                keys = list(zip(keys, batch.column("epoch").to_pylist()))
+            changed = np.concatenate(([True], (np.diff(groups) != 0) | (np.diff(times) != 0)))
+            starts = np.flatnonzero(changed).tolist()
+            out = [np.empty(n, t) for t in (bool, float, bool, np.int64, np.int64)]
+            out += [np.empty((n, len(NAMES))) for _ in range(2)]
+            for low, high in zip(starts, [*starts[1:], n]):
+                if groups[low] != group:
+                    group, known, state = groups[low], {}, Baselines()
+                at = np.array([known.setdefault(k, len(known)) for k in keys[low:high]])
+                if len(known) > len(state.n):
+                    state.grow(len(known))
+                for rows in rounds(at):
+                    for whole, part in zip(out, state.step(at[rows], x[low + rows], threshold, warmup)):
+                        whole[low + rows] = part
+            yield pa.RecordBatch.from_arrays([*batch.columns, *step_arrays(out)], [*batch.schema.names, *STEP.names])
+
+    return score
 
 
 def monitor(windows, threshold=fixed.ONLINE_THRESHOLD, warmup=fixed.WARMUP_WINDOWS, enabled=True):
     """Score each window against its source's own past.
 
     A flagged window does not enter the baseline, so every step depends on the
-    decision before it and no window frame can express it. Sources are spread
-    over tasks and sorted by time; a task then streams Arrow batches and keeps
-    the fixed-size state of the current source only. A source has one row per
-    window however many packets it sent, so packet skew does not reach here. With a
-    column `epoch` (see `with_resets`) a source starts afresh in each epoch.
+    decision before it and no window frame can express it. Sources are spread over tasks; a task
+    takes a part of its sources at a time, in order of time, and moves all of them on by one window
+    in a vector step. A source has one row per window however many packets it sent, so packet skew
+    does not reach here. With a column `epoch` (see `with_resets`) a source starts afresh in each epoch.
     """
     if not enabled:
         return windows.withColumns(
@@ -50,32 +149,14 @@ def monitor(windows, threshold=fixed.ONLINE_THRESHOLD, warmup=fixed.WARMUP_WINDO
                 "baseline_count": F.lit(0).cast("bigint"),
             }
         )
-
-    def score(batches):
-        source, state = None, None
-        for batch in batches:
-            rows = _matrix(batch, NAMES)
-            results = []
-            owners = batch.column("src_ip").to_pylist()
-            if "epoch" in batch.schema.names:
-                owners = zip(owners, batch.column("epoch").to_pylist())
-            for owner, x in zip(owners, rows):
-                if state is None or owner != source:
-                    source, state = owner, Baseline()
-                results.append(state.observe(x, threshold, warmup))
-            scores, flags, reasons, counts = zip(*results) if results else ([], [], [], [])
-            extra = [
-                pa.array(scores, pa.float64()),
-                pa.array(flags, pa.int32()),
-                pa.array(reasons, pa.list_(pa.string())),
-                pa.array(counts, pa.int64()),
-            ]
-            yield pa.RecordBatch.from_arrays(
-                batch.columns + extra, names=batch.schema.names + RESULT.names
-            )
-
-    ordered = windows.repartition("src_ip").sortWithinPartitions("src_ip", "window_start")
-    return ordered.mapInArrow(score, T.StructType(windows.schema.fields + RESULT.fields))
+    columns = windows.columns
+    group = F.pmod(F.xxhash64("src_ip"), F.lit(SOURCE_GROUPS)).cast("int")
+    ordered = (
+        windows.withColumns({"_x": feature_array(columns), "_group": group})
+        .repartition("src_ip").sortWithinPartitions("_group", "window_start", "src_ip")
+    )
+    stepped = ordered.mapInArrow(_lock_step(threshold, warmup), T.StructType(ordered.schema.fields + STEP.fields))
+    return explained(stepped, columns, warmup)
 
 
 def monitor_stats(monitored):

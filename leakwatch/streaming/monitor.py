@@ -1,69 +1,111 @@
-"""The adaptive baseline as keyed streaming state."""
+"""The adaptive baseline as keyed streaming state, in order of event time."""
 
-import numpy as np
 import pandas as pd
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor
 
 from leakwatch.functions import fixed
-from leakwatch.operators.baseline import RESULT
-from leakwatch.operators.moments import NAMES, Baseline
+from leakwatch.operators import baseline
+from leakwatch.operators.moments import NAMES, Baselines
 
 STATE = "n bigint, warm boolean, mean array<double>, m2 array<double>"
+# Windows that wait for the watermark, by start and number among windows of equal start.
+WAITING_KEY = "window_start double, copy int"
+
+
+def plain(value):
+    """A cell as Python has it: no numpy scalar, no missing value other than None."""
+    if isinstance(value, (list, tuple, dict)) or hasattr(value, "tolist") and getattr(value, "ndim", 0):
+        return value.tolist() if hasattr(value, "tolist") else value
+    if value is None or value is pd.NaT or (isinstance(value, float) and value != value):
+        return None if value is None or value is pd.NaT else float("nan")
+    return value.item() if hasattr(value, "item") else value
 
 
 class BaselineProcessor(StatefulProcessor):
-    """Fixed-size state per source. Rows of a trigger are taken in window order;
-    a row whose `reset` is true clears the source and gives no output."""
+    """Windows wait in map state until the watermark passes their end and are then taken in order of their
+    start, whatever trigger they came with. Baselines have a fixed size per source; a waiting window is
+    dropped when it is taken. A row whose `reset` is true clears the source and gives no output."""
 
-    def __init__(self, threshold, warmup):
+    def __init__(self, fields, threshold, warmup):
+        self.fields = fields
+        self.names = [f.name for f in fields]
         self.threshold = threshold
         self.warmup = warmup
 
     def init(self, handle):
+        self.handle = handle
         self.state = handle.getValueState("baseline", STATE)
-
-    def _restore(self):
-        if not self.state.exists():
-            return Baseline()
-        n, warm, mean, m2 = self.state.get()
-        return Baseline(int(n), np.array(mean, dtype=float), np.array(m2, dtype=float), bool(warm))
+        self.waiting = handle.getMapState("waiting", WAITING_KEY, T.StructType(self.fields))
 
     def handleInputRows(self, key, rows, timerValues):
-        frame = pd.concat(list(rows)).sort_values("window_start", kind="stable")
-        resets = frame["reset"].fillna(False).to_numpy() if "reset" in frame else np.zeros(len(frame), bool)
-        present = [n for n in NAMES if n in frame]
-        matrix = frame.reindex(columns=NAMES, fill_value=0.0).astype(float)
-        matrix[present] = matrix[present].fillna(0.0)
-        baseline, results = self._restore(), []
-        for x, reset in zip(matrix.to_numpy(), resets):
-            if reset:
-                baseline = Baseline()
-            else:
-                results.append(baseline.observe(x, self.threshold, self.warmup))
-        if baseline.n == 0:
+        for frame in rows:
+            for values in frame[self.names].itertuples(index=False, name=None):
+                row = [plain(v) for v in values]
+                start, end = (row[self.names.index(n)] for n in ("window_start", "event_time"))
+                copy = 0
+                while self.waiting.containsKey((start, copy)):
+                    copy += 1
+                self.waiting.updateValue((start, copy), tuple(row))
+                self.handle.registerTimer(int(pd.Timestamp(end).timestamp() * 1000))
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        due = expiredTimerInfo.getExpiryTimeInMs()
+        at = self.names.index("event_time")
+        ready = sorted(
+            (k, v) for k, v in ((tuple(k), tuple(v)) for k, v in self.waiting.iterator())
+            if int(pd.Timestamp(v[at]).timestamp() * 1000) <= due
+        )
+        if not ready:
+            return
+        baselines, results, kept = self._restore(), [], []
+        for place, row in ready:
+            self.waiting.removeKey(place)
+            if "reset" in self.names and row[self.names.index("reset")]:
+                baselines = Baselines(1)
+                continue
+            cells = dict(zip(self.names, row))
+            x = pd.to_numeric(pd.Series([cells.get(n) for n in NAMES], dtype=object)).astype(float)
+            x = x.where([cells.get(n) is not None for n in NAMES], 0.0)
+            results.append([v[0] for v in baselines.step([0], x.to_numpy()[None, :], self.threshold, self.warmup)])
+            kept.append(row)
+        if baselines.n[0] == 0:
             self.state.clear()
         else:
-            self.state.update((baseline.n, baseline.warm, baseline.mean.tolist(), baseline.m2.tolist()))
-        out = frame[~resets].reset_index(drop=True)
-        if len(out):
-            for name, values in zip(RESULT.names, zip(*results)):
-                out[name] = list(values)
+            self.state.update((int(baselines.n[0]), bool(baselines.warm[0]), baselines.mean[0].tolist(), baselines.m2[0].tolist()))
+        if kept:
+            out = pd.DataFrame(kept, columns=self.names)
+            for name, values in zip(baseline.STEP.names, zip(*results)):
+                out[name] = [v.tolist() for v in values] if name in ("_mean", "_std") else list(values)
             yield out
 
+    def _restore(self):
+        held = Baselines(1)
+        if self.state.exists():
+            n, warm, mean, m2 = self.state.get()
+            held.n[0], held.warm[0], held.mean[0], held.m2[0] = n, warm, mean, m2
+        return held
+
     def close(self):
         pass
 
 
-def monitor(windows, threshold=fixed.ONLINE_THRESHOLD, warmup=fixed.WARMUP_WINDOWS):
+def monitor(windows, threshold=fixed.ONLINE_THRESHOLD, warmup=fixed.WARMUP_WINDOWS, late="0 seconds"):
     """Score window rows of a stream against their source's past (needs RocksDB state).
 
-    The windows must come in order of time between triggers, as a watermarked
-    aggregation emits them.
+    Windows may come in any order within `late` of the latest one; a window is scored once the watermark has passed
+    its end, so that the result does not depend on how rows fall into triggers. Later rows are dropped and counted by the
+    query. Output waits for the watermark: the last windows come out when later ones have come in.
     """
-    return windows.groupBy("src_ip").transformWithStateInPandas(
-        statefulProcessor=BaselineProcessor(threshold, warmup),
-        outputStructType=T.StructType(windows.schema.fields + RESULT.fields),
+    columns = windows.columns
+    timed = windows.withColumn("event_time", F.timestamp_micros(F.round(F.col("window_end") * 1e6).cast("bigint")))
+    timed = timed.withWatermark("event_time", late)
+    stepped = timed.groupBy("src_ip").transformWithStateInPandas(
+        statefulProcessor=BaselineProcessor(timed.schema.fields, threshold, warmup),
+        outputStructType=T.StructType(timed.schema.fields + baseline.STEP.fields),
         outputMode="Append",
-        timeMode="None",
+        timeMode="EventTime",
     )
+    return baseline.explained(stepped, columns, warmup)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from helpers import NORMAL, window_frame
 from leakwatch.functions import fixed
 from leakwatch.operators import baseline, rules
-from leakwatch.operators.moments import NAMES, Baseline
+from leakwatch.operators.moments import NAMES, Baselines, rounds
 
 
 def vector(**changes):
@@ -13,19 +13,25 @@ def vector(**changes):
 
 
 def learned(values, name="request_count"):
-    b = Baseline()
+    b = Baselines(1)
     for v in values:
-        b.learn(vector(**{name: v}))
+        b.step([0], vector(**{name: v})[None, :], 0.5, 10**9)
     return b, NAMES.index(name)
 
 
+def z_of(b, i, **changes):
+    """Absolute z-score of one feature, from what a step returns."""
+    *_, n, mean, std = b.step([0], vector(**changes)[None, :], 0.5, 0)
+    return abs(vector(**changes)[i] - mean[0, i]) / std[0, i] if std[0, i] >= fixed.STD_FLOOR else 0.0
+
+
 @pytest.mark.parametrize("values,mean,variance", [
     ([5.0], 5.0, 0.0), ([0.0, 10.0], 5.0, 25.0), ([2.0, 4.0, 4.0, 4.0, 5.0], 3.8, 0.96),
 ])
 def test_running_mean_and_variance(values, mean, variance):
     b, i = learned(values)
-    assert b.mean[i] == pytest.approx(mean)
-    assert b.m2[i] / b.n == pytest.approx(variance)
+    assert b.mean[0, i] == pytest.approx(mean)
+    assert b.m2[0, i] / b.n[0] == pytest.approx(variance)
 
 
 def test_moments_by_group(spark):
@@ -59,30 +65,66 @@ def test_merge_ignores_empty_parts(spark):
 
 def test_z_scores_normal_and_deviating():
     b, i = learned([10 + k % 5 for k in range(20)])
-    assert b.deviations(vector(request_count=12))[0][i] < 2.0
-    assert b.deviations(vector(request_count=100))[0][i] > 10.0
+    assert z_of(b, i, request_count=12) < 2.0
+    assert z_of(b, i, request_count=100) > 10.0
 
 
-def test_few_rows_and_constant_features_score_zero():
+def test_few_rows_and_constant_features_score_zero(spark):
     b, i = learned([10])
-    assert b.deviations(vector(request_count=99))[0][i] == 0.0
-    b, i = learned([10, 10, 10])
-    z, std = b.deviations(vector(request_count=1000))
-    assert z[i] == 0.0 and any("const" in r for r in b.explain(vector(request_count=1000), z, std, 0))
+    assert z_of(b, i, request_count=99) == 0.0
+    out = results(window_frame(spark, [{"request_count": 10}] * 3 + [{"request_count": 1000}]), warmup=3)
+    assert out[3]["online_score"] == 0.0 and "request_count=const (std≈0)" in out[3]["reason_codes"]
+    out = results(window_frame(spark, [{}] * 2), warmup=1)
+    assert "request_count=N/A (baseline n=1)" in out[1]["reason_codes"]
 
 
 def test_scores_of_normal_and_extreme_windows():
-    def warmed():
-        b = Baseline(warm=True)
+    def score(**changes):
+        b = Baselines(1)
         for k in range(10):
-            b.learn(vector(request_count=10 + k % 5, upload_download_ratio=0.5 + k % 3 * 0.1))
-        return b
+            b.step([0], vector(request_count=10 + k % 5, upload_download_ratio=0.5 + k % 3 * 0.1)[None, :], 0.5, 10**9)
+        return b.step([0], vector(**changes)[None, :], 0.5, 10)[1][0]
 
-    low = warmed().observe(vector(request_count=12, upload_download_ratio=0.6), 0.5, 10)[0]
-    high = warmed().observe(vector(request_count=20, upload_download_ratio=500.0), 0.5, 10)[0]
+    low, high = score(request_count=12, upload_download_ratio=0.6), score(request_count=20, upload_download_ratio=500.0)
     assert 0.0 <= low < 0.5 < high <= 1.0
 
 
+def test_sources_advance_together_as_they_would_alone():
+    rng = np.random.default_rng(5)
+    series = rng.normal(size=(40, 6, len(NAMES))) * rng.choice([1, 8], size=(40, 6, 1), p=[0.9, 0.1])
+    both = Baselines(6)
+    together = [both.step(np.arange(6), x, 0.5, 10) for x in series]
+    for source in range(6):
+        alone = Baselines(1)
+        for k in range(40):
+            one = alone.step([0], series[k, source][None, :], 0.5, 10)
+            assert all((a[0] == t[source]).all() for a, t in zip(one, together[k]))
+    assert sum(t[2].sum() for t in together) > 5  # some were flagged
+
+
+def test_rounds_keep_the_order_of_repeats():
+    at = np.array([3, 1, 3, 3, 1, 0])
+    assert [at[r].tolist() for r in rounds(at)] == [[3, 1, 0], [3, 1], [3]]
+    assert [r.tolist() for r in rounds(at)] == [[0, 1, 5], [2, 4], [3]] and rounds(np.zeros(0, int)) == []
+
+
+def test_many_sources_with_gaps_and_repeated_starts(spark):
+    """Sources of one task, windows of equal start, and Arrow batches that cut through a step."""
+    frame = window_frame(spark, [{"request_count": 10 + k % 7, "src_ip": "x"} for k in range(30)])
+    frame = frame.unionByName(frame.filter("window_start % 180 = 0"))
+    wide = frame.crossJoin(spark.range(25).select(F.concat(F.lit("s"), F.col("id")).alias("_s"))).withColumn("src_ip", F.col("_s")).drop("_s")
+    kept = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+        many = baseline.monitor(wide, warmup=5).groupBy("src_ip").agg(
+            F.sort_array(F.collect_list(F.struct("window_start", "baseline_count", "online_score"))).alias("v")).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", kept)
+    one = [(r["window_start"], r["baseline_count"], r["online_score"]) for r in
+           baseline.monitor(frame, warmup=5).orderBy("window_start", "baseline_count").collect()]
+    assert len(many) == 25 and all([tuple(v) for v in r["v"]] == one for r in many)
+
+
 def results(frame, **options):
     return baseline.monitor(frame, **options).orderBy("src_ip", "window_start").collect()
 

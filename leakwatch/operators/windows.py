@@ -97,16 +97,18 @@ def _merge(name):
     return F.sum(name)
 
 
-def _measure_sliced(packets, slice_us):
-    """The same measures, each bucket cut into slices of time."""
+def _measure_sliced(packets, slice_us, destinations=True):
+    """The same measures, each bucket cut into slices of time: one scan and two exchanges, of packets by
+    slice and of slice summaries by bucket."""
     sliced = packets.withColumn("_slice", F.expr(f"(ts_us - bucket_us) div {slice_us}L"))
     order = Window.partitionBy(*KEYS, "_slice").orderBy("ts_us", "packet_id")
     gapped = sliced.withColumn("gap_us", F.lead("ts_us").over(order) - F.col("ts_us"))
     unordered, gaps = _unordered(), _gaps()
     # The last packet of a slice is the one without a following packet.
     tail = F.max(F.when(F.col("gap_us").isNull(), F.col("is_fwd")))
+    targets = {"_targets": F.collect_set("dst_ip")} if destinations else {}
     pieces = gapped.groupBy(*KEYS, "_slice").agg(
-        *_aliased(unordered), *_aliased(gaps), tail.alias("tail_fwd")
+        *_aliased(unordered), *_aliased(gaps), tail.alias("tail_fwd"), *_aliased(targets)
     )
     # A few rows per bucket are left: the gap to the next slice joins its summary.
     bucket = Window.partitionBy(*KEYS)
@@ -114,12 +116,22 @@ def _measure_sliced(packets, slice_us):
     center = (F.max("last_us").over(bucket) - F.min("first_us").over(bucket)) / (F.sum("n").over(bucket) - 1)
     seamed = pieces.withColumns({"seam_us": seam, "_center": F.when(F.sum("n").over(bucket) > 1, center)})
     seams = {k: v for k, v in _gaps("seam_us", "tail_fwd").items() if k not in C.moment_names("gap")}
+    if destinations:
+        # Distinct destinations do not add up over slices: one row per slice and destination, the first
+        # of a slice with its measures. All this stays on the exchange by source and bucket.
+        rest = [c for c in seamed.columns if c not in (*KEYS, "_targets")]
+        spread = seamed.select(*KEYS, *rest, F.posexplode_outer("_targets").alias("_place", "_target"))
+        seamed = spread.select(
+            *KEYS, *[F.when(F.coalesce("_place", F.lit(0)) == 0, F.col(c)).alias(c) for c in rest], "_target"
+        )
+    counted = F.count_distinct("_target") if destinations else F.lit(None).cast("bigint")
     merged = seamed.groupBy(*KEYS).agg(
+        counted.alias("destinations"),
         *[_merge(n).alias(n) for n in [*unordered, *gaps] if n not in C.moment_names("gap")],
         *[c.alias(f"seam_{n}") for n, c in seams.items()],
         C.stitched_m2("gap", "seam_us", "_center").alias("gap_m2"),
     )
-    joined = merged.withColumns(
+    return merged.withColumns(
         {
             "gap_min": F.least("gap_min", "seam_gap_min"),
             "gap_max": F.greatest("gap_max", "seam_gap_max"),
@@ -127,15 +139,6 @@ def _measure_sliced(packets, slice_us):
             "fwd_bursts": F.col("fwd_bursts") + F.col("seam_fwd_bursts"),
         }
     ).drop(*[f"seam_{n}" for n in seams])
-    # Distinct destinations do not add up over slices: count them on their own,
-    # deduplicated before the shuffle.
-    destinations = (
-        packets.groupBy(*KEYS, "dst_ip")
-        .agg(F.lit(1).alias("seen"))
-        .groupBy(*KEYS)
-        .agg(F.count("seen").alias("destinations"))
-    )
-    return joined.join(destinations, KEYS)
 
 
 def finish(measured, seconds=fixed.WINDOW_SECONDS, start="bucket", min_packets=fixed.MIN_PACKETS):
@@ -190,15 +193,18 @@ def window_features(
     start="bucket",
     min_packets=fixed.MIN_PACKETS,
     ordered=True,
+    destinations=True,
 ):
     """All features of every source and window.
 
     `start` is "bucket" (window start is the bucket start) or "first_packet".
     With `ordered=False` no packet order is prepared: use it when only mergeable
-    columns are selected, so that packets are combined before the shuffle.
+    columns are selected, so that packets are combined before the shuffle. With
+    `destinations=False` distinct destinations are left out (null).
     """
     prepared = with_direction(with_bucket(packets, seconds))
-    measured = _measure_sliced(prepared, max(1, int(seconds * 1_000_000) // SLICES)) if ordered else _measure(prepared)
+    slice_us = max(1, int(seconds * 1_000_000) // SLICES)
+    measured = _measure_sliced(prepared, slice_us, destinations) if ordered else _measure(prepared)
     return finish(measured, seconds, start, min_packets)
 
 

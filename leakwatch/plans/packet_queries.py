@@ -92,7 +92,7 @@ def window_check(*names):
 
 
 def window_columns(spark, sf, *names, ordered=False):
-    rows = windows.window_features(packets(spark, sf), ordered=ordered)
+    rows = windows.window_features(packets(spark, sf), ordered=ordered, destinations="unique_destinations" in names)
     return rounded(rows.select("src_ip", "window_start", *names))
 
 

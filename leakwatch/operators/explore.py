@@ -1,11 +1,15 @@
 """Exploratory statistics of flow tables."""
 
-from itertools import combinations
-
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from leakwatch.functions import columns as C
+from leakwatch.session import staged
+
+# Deviations below this share of the mean are rounding: the column counts as constant.
+ROUNDING = 1e-14
 
 
 def label_rollup(flows, file="source_file", label="label"):
@@ -65,26 +69,67 @@ def class_histogram(flows, value, low, high, bins=80, label="exfil_label"):
     )
 
 
+def comoments(values, width):
+    """n, means and the upper triangle of the summed products of deviations, for the rows of each task.
+
+    `values` has one array column `x`. Batches are merged as they come, each around its own mean, so large
+    means do not cancel; one row per task is left.
+    """
+    rows, columns = np.triu_indices(width)
+
+    def run(batches):
+        n, mean, sums = 0, np.zeros(width), np.zeros((width, width))
+        for batch in batches:
+            x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+            if not len(x):
+                continue
+            own = x.mean(axis=0)
+            centred = x - own
+            # The mean of large values is itself rounded; what is left of it is taken off once more.
+            rest = centred.mean(axis=0)
+            own, centred = own + rest, centred - rest
+            gap, total = own - mean, n + len(x)
+            sums += centred.T @ centred + np.outer(gap, gap) * (n * len(x) / total)
+            mean, n = mean + gap * (len(x) / total), total
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([n]), pa.array([mean.tolist()]), pa.array([sums[rows, columns].tolist()])], ["n", "mean", "sums"]
+        )
+
+    return values.mapInArrow(run, "n bigint, mean array<double>, sums array<double>").filter("n > 0")
+
+
 def correlation_matrix(flows, names):
-    """Pearson correlation of every pair of columns, over all rows.
+    """Pearson correlation of every pair of columns, over all rows, in one scan.
 
-    Two passes over the columns: means, then one sum per pair of centred values.
-    That keeps a third of the running values that separate correlations would,
-    and the products stay small. A constant column has no correlation (null).
+    Tasks leave their moments and co-moments; those few rows are written, and moved to the common mean
+    by the distance of their means. A constant column has no correlation (null).
     """
-    cells = {f"x{i}": C.finite(F.col(f"`{n}`")) for i, n in enumerate(names)}
-    values = flows.select(*[c.alias(k) for k, c in cells.items()])
-    means = values.agg(F.struct(*[F.avg(k).alias(k) for k in cells]).alias("m")).scalar()
-    centred = values.select(*[(F.col(k) - means[k]).alias(k) for k in cells])
-    sums = [F.sum(F.col(k) * F.col(k)).alias(f"s_{k}") for k in cells]
-    sums += [F.sum(F.col(a) * F.col(b)).alias(f"p_{a}_{b}") for a, b in combinations(cells, 2)]
-    label = dict(zip(cells, names))
-    pairs = []
-    for a, b in combinations(cells, 2):
-        scale = F.sqrt(F.col(f"s_{a}")) * F.sqrt(F.col(f"s_{b}"))
-        r = F.when(scale > 0, F.col(f"p_{a}_{b}") / F.when(scale > 0, scale))
-        pairs.append(F.struct(F.lit(label[a]).alias("feature_a"), F.lit(label[b]).alias("feature_b"), r.alias("r")))
-    return centred.agg(*sums).select(F.inline(F.array(*pairs)))
+    x = F.array(*[C.finite(F.col(f"`{n}`")) for n in names])
+    parts = staged(comoments(flows.select(x.alias("x")), len(names)), "co-moments")
+    means = parts.select("n", F.posexplode("mean").alias("i", "m")).groupBy("i").agg(
+        (F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("m"), F.sum("n").alias("n")
+    )
+    common = means.agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "m"))), lambda v: v["m"])).scalar()
+    places = [(a, b) for a in range(len(names)) for b in range(a, len(names))]
+    pair = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in places])
+    moved = (
+        parts.withColumn("_common", common)
+        .withColumn("off", F.zip_with("mean", "_common", lambda own, m: own - m))
+        .select("n", "off", F.inline(F.arrays_zip(pair.alias("p"), F.col("sums").alias("s"))))
+        .select("p.a", "p.b", (F.col("s") + F.col("n") * F.col("off")[F.col("p.a")] * F.col("off")[F.col("p.b")]).alias("s"))
+        .groupBy("a", "b").agg(F.sum("s").alias("s"))
+    )
+    noise = F.col("n") * F.pow(F.col("m") * ROUNDING, F.lit(2.0))
+    own = moved.filter("a = b").join(F.broadcast(means), F.col("a") == F.col("i"))
+    own = own.select("a", F.when(F.col("s") > noise, F.col("s")).otherwise(F.lit(0.0)).alias("s"))
+    sides = [own.select(F.col("a").alias(k), F.col("s").alias(f"s{k}")) for k in ("a", "b")]
+    label = F.array(*[F.lit(n) for n in names])
+    scale = F.sqrt("sa") * F.sqrt("sb")
+    # Both sides have one row per column of the table.
+    joined = moved.filter("a < b").join(F.broadcast(sides[0]), "a").join(F.broadcast(sides[1]), "b")
+    return joined.select(
+        label[F.col("a")].alias("feature_a"), label[F.col("b")].alias("feature_b"), F.when(scale > 0, F.col("s") / scale).alias("r")
+    )
 
 
 def high_correlations(matrix, limit=0.95):

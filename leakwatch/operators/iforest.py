@@ -9,6 +9,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,33 +40,72 @@ def expected_depth(n):
     return 2.0 * (math.log(n - 1) + 0.5772156649015329) - 2.0 * (n - 1) / n
 
 
+def mixed(values):
+    """Scatter 64-bit values evenly."""
+    x = values.astype(np.uint64)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def chances(keys, number, seed):
+    """Uniform in (0, 1) from row keys and numbers, and nothing else."""
+    with np.errstate(over="ignore"):
+        salted = mixed(keys) + mixed(number.astype(np.uint64) * np.uint64(2) + np.uint64(1)) + np.uint64(seed) * np.uint64(0x9E3779B97F4A7C15)
+    return ((mixed(salted) >> np.uint64(11)).astype(float) + 0.5) / 2.0**53
+
+
+def candidate_pairs(keys, trees, share, seed):
+    """(place, tree) of all candidates: each row is one of each tree's with the given chance.
+
+    The trees between two that take a row follow a geometric law, so a row costs one draw
+    for each tree that takes it and one more.
+    """
+    places, taken = [], []
+    alive, at = np.arange(len(keys)), np.full(len(keys), -1)
+    step = 0
+    while len(alive):
+        if share < 1.0:
+            skip = np.log(chances(keys[alive], np.full(len(alive), step), seed)) / math.log1p(-share)
+            at = at + 1 + np.minimum(skip, trees).astype(np.int64)
+        else:
+            at = at + 1
+        inside = at < trees
+        alive, at = alive[inside], at[inside]
+        places.append(alive)
+        taken.append(at)
+        step += 1
+    return np.concatenate([*places, np.zeros(0, np.int64)]), np.concatenate([*taken, np.zeros(0, np.int64)])
+
+
 def draw_samples(rows, names, trees, sample_size, id_col, seed):
     """Rows of each tree's sample, drawn without replacement within a tree.
 
-    A table long enough gives every tree its own rows. A shorter one is shuffled
-    several times by hash and every shuffle is cut into samples. Either way about
-    trees * sample_size rows leave this step.
+    Every tree takes the rows with its least draws, a bottom-k sample. A first threshold, which leaves
+    k and a margin of nine standard deviations, is applied where the rows lie; about
+    trees * sample_size pairs leave the tasks, and each tree cuts its own. One scheme for every size.
     """
     size = rows.count()
     if size == 0:
         raise ValueError("no rows to train on")
     take = min(sample_size, size)
-    per_shuffle = size // take
-    shuffles = math.ceil(trees / per_shuffle)
+    share = min(1.0, (take + 9.0 * math.sqrt(take) + 9.0) / size)
     x = F.array(*[C.finite(F.col(f"`{n}`")) for n in names])
-    points = rows.select(F.col(id_col).alias("id"), x.alias("x"))
-    if shuffles == 1:
-        # Only the first trees * take rows in hashed order are used.
-        points = points.withColumn("draw", C.mix("id", seed)).orderBy("draw", "id").limit(trees * take)
-        points = points.withColumn("shuffle", F.lit(0))
-    else:
-        points = points.withColumn("shuffle", F.explode(F.sequence(F.lit(0), F.lit(shuffles - 1))))
-        points = points.withColumn("draw", C.mix("id", F.col("shuffle") + seed))
-    order = Window.partitionBy("shuffle").orderBy("draw", "id")
-    tree = F.col("shuffle") * per_shuffle + F.floor((F.row_number().over(order) - 1) / take)
-    placed = points.withColumn("tree", tree.cast("int"))
-    inside = (F.col("tree") < trees) & (F.col("tree") < (F.col("shuffle") + 1) * per_shuffle)
-    return placed.filter(inside).select("tree", "id", "x"), take
+    points = rows.select(F.col(id_col).alias("id"), x.alias("x"), F.xxhash64(F.lit(seed), F.col(id_col)).alias("key"))
+
+    def draw(batches):
+        for batch in batches:
+            keys = batch.column("key").to_numpy().view(np.uint64)
+            places, tree = candidate_pairs(keys, trees, share, seed)
+            kept = batch.select(["id", "x"]).take(pa.array(places))
+            number = chances(keys[places], tree, seed + 1)
+            yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(tree.astype(np.int32)), pa.array(number)], ["id", "x", "tree", "draw"])
+
+    kinds = points.schema["id"].dataType.simpleString()
+    pairs = points.mapInArrow(draw, f"id {kinds}, x array<double>, tree int, draw double")
+    order = Window.partitionBy("tree").orderBy("draw", "id")
+    ranked = pairs.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= take)
+    return ranked.select("tree", "id", "x"), take
 
 
 def _grow(x, rng, height_limit):
@@ -107,36 +147,50 @@ def fit(rows, names, id_col="id", trees=fixed.ISOLATION_TREES,
         return out
 
     # The sample is small in bytes, so name the task count: trees grow side by side.
-    spread_out = samples.repartition(min(trees, 64), "tree")
+    spread_out = samples.repartition(trees, "tree")
     return spread_out.groupBy("tree").applyInPandas(grow, NODE), take
 
 
-def _layout(nodes):
-    """Node table as arrays with all trees laid end to end, and the roots."""
-    held = nodes.toPandas().sort_values(["tree", "node"]).reset_index(drop=True)
-    starts = held.groupby("tree").size().cumsum().shift(fill_value=0)
-    base = held["tree"].map(starts).to_numpy()
-    left = np.where(held["left"] < 0, -1, held["left"] + base)
-    right = np.where(held["right"] < 0, -1, held["right"] + base)
-    return (held["feature"].to_numpy(), held["cut"].to_numpy(), left, right,
-            held["depth"].to_numpy(), starts.to_numpy())
-
-
-def _scores(x, layout, scale):
-    feature, cut, left, right, depth, roots = layout
-    lengths = np.zeros(len(x))
-    everyone = np.arange(len(x))
-    for root in roots:
-        at = np.full(len(x), root)
-        while True:
-            inner = np.flatnonzero(feature[at] >= 0)
-            if len(inner) == 0:
-                break
-            node = at[inner]
-            goes_left = x[everyone[inner], feature[node]] < cut[node]
-            at[inner] = np.where(goes_left, left[node], right[node])
-        lengths += depth[at]
-    return np.power(2.0, -(lengths / len(roots)) / scale)
+class Layout:
+    """All trees end to end, ready to advance together: the children of a node are neighbours, and a
+    leaf leads to itself."""
+
+    def __init__(self, nodes):
+        held = nodes.toPandas().sort_values(["tree", "node"]).reset_index(drop=True)
+        starts = held.groupby("tree").size().cumsum().shift(fill_value=0)
+        own = np.arange(len(held))
+        leaf = held["feature"].to_numpy() < 0
+        self.feature = np.where(leaf, 0, held["feature"].to_numpy()).astype(np.intp)
+        self.cut = np.where(leaf, np.inf, held["cut"].to_numpy())
+        self.left = np.where(leaf, own, held["left"].to_numpy() + held["tree"].map(starts).to_numpy()).astype(np.intp)
+        self.depth = np.where(leaf, held["depth"].to_numpy(), 0.0)
+        self.roots = starts.to_numpy().astype(np.intp)
+        self.levels = self._levels(leaf)
+
+    def _levels(self, leaf):
+        """Steps until every path has reached a leaf."""
+        level, front = 0, self.roots
+        while len(front := front[~leaf[front]]):
+            front = np.concatenate([self.left[front], self.left[front] + 1])
+            level += 1
+        return level
+
+
+def _scores(x, layout, scale, block=64):
+    """Scores of the rows of a matrix; all trees of a block of rows go down one level at a time."""
+    out = np.empty(len(x))
+    width = x.shape[1]
+    for start in range(0, len(x), block):
+        part = np.ascontiguousarray(x[start : start + block])
+        flat = part.reshape(-1)
+        base = np.arange(len(part), dtype=np.intp)[:, None] * width
+        at = np.broadcast_to(layout.roots, (len(part), len(layout.roots)))
+        for _ in range(layout.levels):
+            value = flat.take(layout.feature.take(at) + base)
+            # Values are finite and a leaf's cut is not, so nothing leaves a leaf.
+            at = layout.left.take(at) + (value >= layout.cut.take(at))
+        out[start : start + block] = layout.depth.take(at).mean(axis=1)
+    return np.power(2.0, -out / scale)
 
 
 def score(rows, nodes, names, take, name="anomaly_score"):
@@ -145,16 +199,23 @@ def score(rows, nodes, names, take, name="anomaly_score"):
     The node table is bounded by trees * (2 * sample_size - 1) rows and goes to
     the tasks as arrays.
     """
-    shared = rows.sparkSession.sparkContext.broadcast(_layout(nodes))
+    shared = rows.sparkSession.sparkContext.broadcast(Layout(nodes))
     scale = max(expected_depth(take), 1e-12)
 
-    @F.pandas_udf("double")
-    def scored(cells: pd.Series) -> pd.Series:
-        if len(cells) == 0:
-            return pd.Series([], dtype=float)
-        return pd.Series(_scores(np.array(cells.tolist()), shared.value, scale))
+    width = len(names)
+
+    def scored(batches):
+        for batch in batches:
+            x = batch.column(batch.num_columns - 1).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:-1], pa.array(_scores(x, shared.value, scale))], [*batch.schema.names[:-1], name]
+            )
 
-    return rows.withColumn(name, scored(F.array(*[C.finite(F.col(f"`{n}`")) for n in names])))
+    kept = [c for c in rows.columns if c != name]
+    cells = F.array(*[C.finite(F.col(f"`{n}`")) for n in names]).alias("_cells")
+    source = rows.select(*[F.col(f"`{c}`") for c in kept], cells)
+    schema = T.StructType([rows.schema[c] for c in kept] + [T.StructField(name, T.DoubleType())])
+    return source.mapInArrow(scored, schema)
 
 
 def decision(anomaly="anomaly_score", offset=0.5):

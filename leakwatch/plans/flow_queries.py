@@ -595,18 +595,32 @@ def class_histogram(spark, sf):
     return rounded(out.withColumn("density", F.col("density") * 1e9))
 
 
-PAIRS = [(a, b) for i, a in enumerate(NUMERIC) for b in NUMERIC[i + 1:]]
-MATRIX = "matrix AS (" + " UNION ALL ".join(
-    f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, corr({a}, {b}) AS r FROM clean" for a, b in PAIRS) + ")"
+COMOMENTS = fixed.CORRELATION_FEATURES
+PAIRS = [(a, b) for i, a in enumerate(COMOMENTS) for b in COMOMENTS[i + 1:]]
+MATRIX = "features AS MATERIALIZED (SELECT " + ", ".join(f'coalesce("{n}", 0)::DOUBLE AS "{n}"' for n in COMOMENTS) + " FROM (" + flow_select("") + ") f)"
+CORRELATED = "matrix AS (" + " UNION ALL ".join(
+    f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, CASE WHEN stddev_pop(\"{a}\") > 0 AND stddev_pop(\"{b}\") > 0 "
+    f"THEN corr(\"{a}\", \"{b}\") END AS r FROM features" for a, b in PAIRS) + ")"
 
 
-@query("correlation_matrix", sql(FLOWS, LABELLED, CLEAN, MATRIX, "SELECT feature_a, feature_b, round(r, 6) AS r FROM matrix"))
+@query("correlation_matrix", sql(
+    views.duck("flow_packets"), *flow_ctes("flow_packets", ""), MATRIX, CORRELATED, "SELECT feature_a, feature_b, round(r, 6) AS r FROM matrix"))
 def correlation_matrix(spark, sf):
-    return rounded(explore.correlation_matrix(flow_rows(spark, sf), NUMERIC))
+    """The 16 features of the correlation study, of flows assembled from packets."""
+    return rounded(explore.correlation_matrix(flow_features(spark, sf), COMOMENTS))
 
 
-@query("high_corr_pairs", sql(FLOWS, LABELLED, CLEAN, MATRIX, """
-SELECT feature_a, feature_b, round(r, 6) AS r FROM matrix WHERE abs(r) > 0.1"""))
+@query("high_corr_pairs", sql(
+    views.duck("flow_packets"), *flow_ctes("flow_packets", ""), MATRIX, CORRELATED,
+    "SELECT feature_a, feature_b, round(r, 6) AS r FROM matrix WHERE abs(r) > 0.95"))
 def high_corr_pairs(spark, sf):
-    matrix = explore.correlation_matrix(flow_rows(spark, sf), NUMERIC)
-    return rounded(explore.high_correlations(matrix, 0.1))
+    matrix = explore.correlation_matrix(flow_features(spark, sf), COMOMENTS)
+    return rounded(explore.high_correlations(matrix))
+
+
+@query("correlation_far_from_zero", sql(FLOWS, LABELLED, CLEAN, """
+SELECT 'a' AS feature_a, 'b' AS feature_b, round(corr(fwd_packets, psh_count), 6) AS r FROM clean"""))
+def correlation_far_from_zero(spark, sf):
+    """Moved by 1e9, two columns correlate as before."""
+    moved = flow_rows(spark, sf).select((C.finite(F.col("fwd_packets")) + 1e9).alias("a"), (C.finite(F.col("psh_count")) + 1e9).alias("b"))
+    return rounded(explore.correlation_matrix(moved, ["a", "b"]))

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from leakwatch.functions import fixed, schemas
+from leakwatch.operators import store
 from leakwatch.plans import packet_queries as batch
 from leakwatch.plans.packet_queries import (
     DEFAULT_SCORED, MONITOR_SELECT, MONITORED, PARSED_RAW, RAW, monitor_output, window_check,
@@ -117,3 +118,30 @@ def alerts_stream(spark, sf):
     return alerts.read_alerts(spark, out).filter(F.col("src_ip") != CLOSING).select(
         "src_ip", "window_start", "rule_score", "severity", F.array_join("triggers", "+").alias("triggers")
     )
+
+
+def bound_model(spark, seconds=60):
+    """A saved model on one feature, loaded as a streaming job does at its start."""
+    path = fresh_dir(spark, "stream-model")
+    parts = {"weights": [1.0], "intercept": -1.2}
+    store.save(store.Saved("linear", ["upload_download_ratio"], window_seconds=seconds, parts=parts), path, spark)
+    return store.load(spark, path)
+
+
+@query("alerts_stream_model", batch.recursive(*MONITORED, DEFAULT_SCORED, """
+SELECT s.src_ip, s.window_start, CASE WHEN s.upload_download_ratio > 1.2 THEN 1 ELSE 0 END AS prediction,
+       CASE WHEN rule_score > 0.7 THEN s.severity ELSE 'MEDIUM' END AS severity,
+       array_to_string(list_filter([CASE WHEN rule_score > 0.7 THEN 'BURST_RULE' END,
+         CASE WHEN s.upload_download_ratio > 1.2 THEN 'OFFLINE_MODEL' END,
+         CASE WHEN online_prediction = 1 THEN 'ONLINE_UNKNOWN_ANOMALY' END], lambda t: t IS NOT NULL), '+') AS triggers
+FROM scored s JOIN monitored m USING (src_ip, window_start)
+WHERE rule_score > 0.7 OR online_prediction = 1 OR s.upload_download_ratio > 1.2"""))
+def alerts_stream_model(spark, sf):
+    """Alerts of a stream with all three triggers: rule, saved model and baseline."""
+    folder, out = run_monitor(spark, sf), fresh_dir(spark, "alerts")
+    stream = spark.readStream.schema(spark.read.parquet(folder).schema).parquet(folder)
+    stream = stream.filter(F.col("src_ip") != CLOSING)
+    run.finish(alerts.alert_sink(stream, out, fresh_dir(spark, "alert-checkpoint"), model=bound_model(spark), window_seconds=60))
+    return alerts.read_alerts(spark, out).select(
+        "src_ip", "window_start", "prediction", "severity", F.array_join("triggers", "+").alias("triggers")
+    )

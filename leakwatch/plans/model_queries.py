@@ -65,12 +65,12 @@ def batch_scores(spark, sf):
 SELECT 'linear' AS kind, 'default' AS rule, flow_id, CASE WHEN model_score > 0.5e0 THEN 1 ELSE 0 END AS prediction FROM linear
 UNION ALL SELECT 'linear', 'given', flow_id, CASE WHEN model_score > 0.25e0 THEN 1 ELSE 0 END FROM linear
 UNION ALL SELECT 'isolation_forest', 'default', flow_id, CASE WHEN model_score < (SELECT median(model_score) FROM forest) THEN 1 ELSE 0 END FROM forest
-UNION ALL SELECT 'isolation_forest', 'given', flow_id, CASE WHEN model_score < 0e0 THEN 1 ELSE 0 END FROM forest"""))
+UNION ALL SELECT 'isolation_forest', 'given', flow_id, CASE WHEN model_score < -0.2e0 THEN 1 ELSE 0 END FROM forest"""))
 def predict_binary(spark, sf):
     """Decisions of saved models by the rule of their kind: median, given threshold, strictly above."""
     rows = flow_rows(spark, sf)
     out = None
-    for kind, given in (("linear", 0.25), ("isolation_forest", 0.0)):
+    for kind, given in (("linear", 0.25), ("isolation_forest", -0.2)):
         model = stored(spark, kind)
         for rule, threshold in (("default", None), ("given", given)):
             part = model.predict(rows, threshold).select(

@@ -89,7 +89,8 @@ def test_constant_column_scales_by_one(spark):
 
 
 def test_hashed_draws_look_uniform_and_normal(spark):
-    row = spark.range(20_000).select(C.unit("id", 3).alias("u"), C.normal("id", 3).alias("z")).agg(
+    keys = C.draw_keys("id", "id")
+    row = spark.range(20_000).select(C.unit_of(keys, 3).alias("u"), C.normal_of(keys, 3).alias("z")).agg(
         F.avg("u"), F.stddev("u"), F.avg("z"), F.stddev("z")).first()
     assert row[0] == pytest.approx(0.5, abs=0.02) and row[1] == pytest.approx(0.2887, abs=0.02)
     assert row[2] == pytest.approx(0.0, abs=0.04) and row[3] == pytest.approx(1.0, abs=0.04)

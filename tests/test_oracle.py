@@ -5,8 +5,8 @@ import pytest
 import __spark_entry__ as entry
 import compare
 
-# These write and read whole folders; the stream and capture tests cover them.
-SLOW = {n for n in entry.queries() if n.startswith("capture_flow") or n.endswith("_stream")}
+# Streams take long; the stream tests cover their parts.
+SLOW = {n for n in entry.queries() if n.endswith("_stream") or n == "alerts_stream_model"}
 
 
 @pytest.fixture(scope="module")

@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from leakwatch.functions import columns as C
 from leakwatch.functions import fixed
 from leakwatch.operators import evaluate, iforest, labels, models, oversample, prep
 from leakwatch.session import cut_lineage, staged

@@ -23,7 +23,7 @@ FOLDS = 5
 TOGETHER = 8  # best segments of a text that are judged together
 # Weight of the prior in texts, standard deviations towards 0, and what is taken off every
 # token so that ordinary text drifts downwards; fitted on texts that were not counted.
-GRID = list(product((10.0, 30.0), (0.5, 1.0), (1.0, 1.5, 2.5)))
+GRID = list(product((10.0, 30.0), (0.5, 1.0), (1.5, 2.5)))
 PREFIXES = (6, 5, 4)
 THRESHOLD = 0.3
 MOST = 60.0  # surprise beyond which a text is as toxic as can be
@@ -49,19 +49,21 @@ def _counts(rows):
 
     def run(batches):
         for batch in batches:
-            full = Counter()
-            for label, fold, text in zip(*[batch.column(i).to_pylist() for i in range(3)]):
-                cell = label * FOLDS + fold
-                full.update((k, cell) for k in {k for w in set(tokens(text)) for k in _keys(w)})
-            keys = sorted({k for k, _ in full})
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.string()), *[pa.array([full[k, c] for k in keys], pa.int64()) for c in range(cells)]],
-                ["key", *[f"c{c}" for c in range(cells)]],
-            )
-
-    ddl = "key string, " + ", ".join(f"c{c} bigint" for c in range(cells))
-    made = rows.select("toxic", "fold", "text").mapInArrow(run, ddl).groupBy("key")
-    summed = made.agg(*[F.sum(f"c{c}").alias(f"c{c}") for c in range(cells)])
+            full = [Counter() for _ in range(cells)]
+            for label, fold, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), T.Texts(batch.column(2))):
+                full[label * FOLDS + fold].update({k for w in set(tokens(text)) for k in _keys(w)})
+            for cell, found in enumerate(full):
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(list(found.keys()), pa.string()),
+                        pa.array([cell] * len(found), pa.int32()),
+                        pa.array(list(found.values()), pa.int64()),
+                    ],
+                    ["key", "cell", "n"],
+                )
+
+    made = rows.select("toxic", "fold", "text").mapInArrow(run, "key string, cell int, n bigint").groupBy("key")
+    summed = made.agg(*[F.sum(F.when(F.col("cell") == c, F.col("n")).otherwise(0)).alias(f"c{c}") for c in range(cells)])
     n0, n1 = (F.array(*[f"c{c}" for c in range(k, k + FOLDS)]) for k in (0, FOLDS))
     return summed.select("key", n0.alias("n0"), n1.alias("n1"))
 

@@ -28,6 +28,8 @@ from leakwatch.sources import capture_format as form
 
 CHUNK_BYTES = 64 * 1024 * 1024
 PATTERNS = "*.pcap,*.pcap.gz,*.pcapng,*.pcapng.gz,*.cap"
+# Many chunks are dealt to about this many tasks, as long as a task reads no more than CHUNK_BYTES.
+TASKS = 256
 # Deflate cannot pack more than this many bytes into one; packet ids leave that room.
 MOST_UNPACKED = 1040
 
@@ -66,8 +68,9 @@ class Pieces(InputPartition):
 
 
 def packed(pieces, size_of, most):
-    """Group consecutive pieces, so that a task reads about `most` bytes of small files."""
+    """Group consecutive pieces, so that a task reads about `most` bytes of small files, or more of many chunks."""
     groups, held = [], 0
+    most = max(most, min(CHUNK_BYTES, sum(map(size_of, pieces)) // TASKS))
     for piece in pieces:
         size = size_of(piece)
         if not groups or held + size > most:

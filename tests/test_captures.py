@@ -173,3 +173,25 @@ def test_written_captures_come_back(spark, kind):
 def test_no_files(spark, folder):
     assert captures.read_captures(spark, folder).count() == 0
     assert captures.Captures(spark, folder).summary().count() == 0
+
+
+def test_chains_of_zeros_are_followed_as_one_read_would():
+    """Every byte may start a record here; the map must not be followed byte by byte in Python."""
+    rng = np.random.default_rng(3)
+    layout = form.layout_of(capture_bytes([])[:24])
+    data = bytearray(3 * form.BLOCK + 77)
+    for at in rng.integers(0, len(data) - 4, 40):
+        data[at : at + 4] = struct.pack("<I", int(rng.choice([3, 500, 70_000, 2**31])))
+    data, begin = bytes(data), 1000
+    end, length = begin + len(data) - 16, begin + len(data) - 16 + int(rng.integers(0, 16))
+    starts = form.possible_starts(data, begin, end, length, layout)
+    ends = form.ends_of(data, begin, starts, end, length, layout)
+    for i in rng.integers(0, len(starts), 60).tolist():
+        _, reached, problem = form.walk(data, begin, int(starts[i]), end, length, layout)
+        assert ends[i] == (reached if problem is None else -1 - 2 * reached - (problem == form.DAMAGED))
+
+
+def test_many_chunks_share_tasks():
+    pieces = [(0, 0, 0, 0, 0, i, 0, 1_000) for i in range(100_000)]
+    tasks = captures.packed(pieces, lambda p: p[7] - p[6], 1_000)
+    assert len(tasks) <= captures.TASKS + 1 and sum((t.pieces for t in tasks), []) == pieces

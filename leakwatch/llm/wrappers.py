@@ -12,9 +12,11 @@ the wrapper of their host in a shuffle by host and a salt, and each text is take
 of the page that match main parts.
 """
 
+import functools
 import hashlib
 import html
 import json
+import math
 import re
 
 import pyarrow as pa
@@ -28,8 +30,8 @@ SALTS = 32
 BUCKETS = 16
 HELD_WRAPPERS = 2_000
 LONGEST_GROUP = 4
-# Sequences with more pairs than this are aligned at their ends only; the rest becomes optional.
-MOST_CELLS = 250_000
+# Labels of a sequence whose places are held as bits while it is aligned.
+HELD_MASKS = 256
 # Distinct page texts a host needs before a text found on all its pages counts as part of the template.
 LEAST_VARIED = 16
 LINK_SHARE = 0.8
@@ -243,6 +245,53 @@ def merge_into(kept, other):
     return kept
 
 
+def common_rows(left, right):
+    """Function from i to the bits of row i of the longest common sequences of left[i:] and right.
+
+    Bit c of a row, from the end of `right`, is 0 where one more label of it lengthens the sequence. Rows are whole numbers
+    of len(right) bits, made one from the next by Hyyro's rule; every sqrt(len(left))-th is kept and the others
+    of one stretch are made again on the way back.
+    """
+    size = len(right)
+    full = (1 << size) - 1
+    places = {}
+    for place, label in enumerate(reversed(right)):
+        places.setdefault(label, []).append(place)
+
+    @functools.lru_cache(HELD_MASKS)
+    def mask(label):
+        bits = bytearray(size // 8 + 1)
+        for place in places.get(label, ()):
+            bits[place >> 3] |= 1 << (place & 7)
+        return int.from_bytes(bits, "little")
+
+    def below(row, label):
+        hit = row & mask(label)
+        return (row + hit | row - hit) & full
+
+    step = math.isqrt(len(left)) + 1
+    row, kept = full, {len(left): full}
+    for i in range(len(left) - 1, -1, -1):
+        row = below(row, left[i])
+        if i % step == 0:
+            kept[i] = row
+    stretch = {}
+
+    def row_of(i):
+        if i in kept:
+            return kept[i]
+        if i not in stretch:
+            stretch.clear()
+            at = min(len(left), (i // step + 1) * step)
+            made = kept[at]
+            while at > i // step * step + 1:
+                at -= 1
+                made = stretch[at] = below(made, left[at])
+        return stretch[i]
+
+    return row_of
+
+
 def matches(left, right):
     """Pairs of places of a longest common sequence of labels."""
     low, most = 0, min(len(left), len(right))
@@ -253,21 +302,22 @@ def matches(left, right):
         tail += 1
     rows, columns = len(left) - low - tail, len(right) - low - tail
     pairs = [(i, i) for i in range(low)]
-    if 0 < rows * columns <= MOST_CELLS:
-        best = [[0] * (columns + 1) for _ in range(rows + 1)]
-        for i in range(rows - 1, -1, -1):
-            line, below, label = best[i], best[i + 1], left[low + i]
-            for j in range(columns - 1, -1, -1):
-                line[j] = below[j + 1] + 1 if label == right[low + j] else max(below[j], line[j + 1])
+    if rows and columns:
+        row_of = common_rows(left[low : len(left) - tail], right[low : len(right) - tail])
+
+        def longest(i, j):
+            """Length of the longest common sequence from row i and column j on."""
+            return columns - j - (row_of(i) & ((1 << (columns - j)) - 1)).bit_count()
+
         i = j = 0
         while i < rows and j < columns:
             if left[low + i] == right[low + j]:
                 pairs.append((low + i, low + j))
                 i, j = i + 1, j + 1
-            elif best[i + 1][j] >= best[i][j + 1]:
-                i += 1
-            else:
-                j += 1
+                continue
+            here, down = longest(i, j), longest(i + 1, j)
+            # Down as long as nothing is lost, else right.
+            i, j = (i + 1, j) if down == here else (i, j + 1)
     return pairs + [(len(left) - t, len(right) - t) for t in range(tail, 0, -1)]
 
 

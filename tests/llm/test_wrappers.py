@@ -144,3 +144,36 @@ def test_query_equals_plain_reading_of_the_article(spark, sf):
         inner = re.search(r"<article>(.*?)(</article>|\Z)", row["html"], re.DOTALL)[1]
         plain = re.sub(r"</?(?:p|h1|br)>", " ", re.sub(r"</?b>", "", inner))
         assert got[row["page_id"]] == " ".join(entities.unescape(plain).split())
+
+
+def plain_matches(left, right):
+    """The table of longest common sequences, whole."""
+    best = [[0] * (len(right) + 1) for _ in range(len(left) + 1)]
+    for i in range(len(left) - 1, -1, -1):
+        for j in range(len(right) - 1, -1, -1):
+            best[i][j] = best[i + 1][j + 1] + 1 if left[i] == right[j] else max(best[i + 1][j], best[i][j + 1])
+    pairs, i, j = [], 0, 0
+    while i < len(left) and j < len(right):
+        if left[i] == right[j]:
+            pairs.append((i, j))
+            i, j = i + 1, j + 1
+        elif best[i + 1][j] >= best[i][j + 1]:
+            i += 1
+        else:
+            j += 1
+    return pairs
+
+
+def test_long_sequences_are_aligned_as_short_ones():
+    rng = random.Random(5)
+    for most, kinds in [(12, 2), (12, 4), (700, 3), (700, 90)]:
+        for _ in range(200 if most == 12 else 1):
+            left, right = (["x", *(rng.randrange(kinds) for _ in range(rng.randint(most // 2 + 200 * (most > 12), most))), y] for y in "yz")
+            assert wrappers.matches(left, right) == plain_matches(left, right)
+
+
+def test_parts_of_long_pages_keep_their_places():
+    """Siblings around a change at both ends of a page with over 500 of them."""
+    same = [f"p.k{'abcdefghij'[i % 10] * (1 + i // 10 % 60)}" for i in range(600)]
+    pairs = wrappers.matches(["a", *same, "b"], ["c", *same, "d"])
+    assert pairs == [(i, i) for i in range(1, 601)]

@@ -9,7 +9,7 @@ from leakwatch.plans.packet_queries import (
     DEFAULT_SCORED, MONITOR_SELECT, MONITORED, PARSED_RAW, RAW, monitor_output, window_check,
 )
 from leakwatch.plans.registry import query, rounded, sql
-from leakwatch.session import fresh_dir
+from leakwatch.session import fresh_dir, staged
 from leakwatch.sources import packets as P
 from leakwatch.sources import views
 from leakwatch.streaming import alerts, monitor, run, windows
@@ -21,7 +21,8 @@ def land_packets(spark, sf, view, parts=3):
     """Packets as files that arrive in order of time, then one far-off packet that
     lets the last windows close. Returns the folder."""
     folder = fresh_dir(spark, "landing")
-    rows = views.load(spark, sf, view).select(*schemas.RAW_PACKET.names)
+    # The view is computed once; its rows are read for the limits and for each part.
+    rows = staged(views.load(spark, sf, view).select(*schemas.RAW_PACKET.names), "landing-rows")
     low, high = rows.agg(F.min("ts_us"), F.max("ts_us")).first()
     step = (high - low) // parts + 1
     for i in range(parts):

@@ -1,5 +1,6 @@
 """The adaptive baseline as keyed streaming state, in order of event time."""
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,8 +11,6 @@ from leakwatch.operators import baseline
 from leakwatch.operators.moments import NAMES, Baselines
 
 STATE = "n bigint, warm boolean, mean array<double>, m2 array<double>"
-# Windows that wait for the watermark, by start and number among windows of equal start.
-WAITING_KEY = "window_start double, copy int"
 
 
 def plain(value):
@@ -23,9 +22,14 @@ def plain(value):
     return value.item() if hasattr(value, "item") else value
 
 
+def millis(event_time):
+    return int(pd.Timestamp(event_time).timestamp() * 1000)
+
+
 class BaselineProcessor(StatefulProcessor):
-    """Windows wait in map state until the watermark passes their end and are then taken in order of their
-    start, whatever trigger they came with. Baselines have a fixed size per source; a waiting window is
+    """Windows wait in list state until the watermark passes their end and are then taken in order of their end and
+    start, whatever trigger they came with. A source that waits has a timer at or before its earliest end; all its windows
+    that are due are taken together. Baselines have a fixed size per source; a waiting window is
     dropped when it is taken. A row whose `reset` is true clears the source and gives no output."""
 
     def __init__(self, fields, threshold, warmup):
@@ -37,39 +41,40 @@ class BaselineProcessor(StatefulProcessor):
     def init(self, handle):
         self.handle = handle
         self.state = handle.getValueState("baseline", STATE)
-        self.waiting = handle.getMapState("waiting", WAITING_KEY, T.StructType(self.fields))
+        self.waiting = handle.getListState("waiting", T.StructType(self.fields))
 
     def handleInputRows(self, key, rows, timerValues):
-        for frame in rows:
-            for values in frame[self.names].itertuples(index=False, name=None):
-                row = [plain(v) for v in values]
-                start, end = (row[self.names.index(n)] for n in ("window_start", "event_time"))
-                copy = 0
-                while self.waiting.containsKey((start, copy)):
-                    copy += 1
-                self.waiting.updateValue((start, copy), tuple(row))
-                self.handle.registerTimer(int(pd.Timestamp(end).timestamp() * 1000))
+        at = self.names.index("event_time")
+        came = [tuple(plain(v) for v in values) for frame in rows for values in frame[self.names].itertuples(index=False, name=None)]
+        if came:
+            self.waiting.appendList(came)
+            self.handle.registerTimer(min(millis(r[at]) for r in came))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        due = expiredTimerInfo.getExpiryTimeInMs()
-        at = self.names.index("event_time")
-        ready = sorted(
-            (k, v) for k, v in ((tuple(k), tuple(v)) for k, v in self.waiting.iterator())
-            if int(pd.Timestamp(v[at]).timestamp() * 1000) <= due
-        )
+        # What the watermark has passed is due, also where its own timer would fire later in this trigger.
+        due = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs() - 1)
+        end, start = (self.names.index(n) for n in ("event_time", "window_start"))
+        held = [(millis(r[end]), tuple(r)) for r in self.waiting.get()]
+        ready = sorted((h for h in held if h[0] <= due), key=lambda h: (h[0], h[1][start]))
         if not ready:
             return
+        later = [h for h in held if h[0] > due]
+        if later:
+            self.waiting.put([r for _, r in later])
+            self.handle.registerTimer(min(h[0] for h in later))
+        else:
+            self.waiting.clear()
+        rows = [r for _, r in ready]
+        places = [self.names.index(n) if n in self.names else None for n in NAMES]
+        cells = [[0.0 if p is None or r[p] is None else float(r[p]) for p in places] for r in rows]
+        reset = self.names.index("reset") if "reset" in self.names else None
         baselines, results, kept = self._restore(), [], []
-        for place, row in ready:
-            self.waiting.removeKey(place)
-            if "reset" in self.names and row[self.names.index("reset")]:
+        for row, x in zip(rows, np.array(cells, dtype=float)):
+            if reset is not None and row[reset]:
                 baselines = Baselines(1)
                 continue
-            cells = dict(zip(self.names, row))
-            x = pd.to_numeric(pd.Series([cells.get(n) for n in NAMES], dtype=object)).astype(float)
-            x = x.where([cells.get(n) is not None for n in NAMES], 0.0)
-            results.append([v[0] for v in baselines.step([0], x.to_numpy()[None, :], self.threshold, self.warmup)])
+            results.append([v[0] for v in baselines.step([0], x[None, :], self.threshold, self.warmup)])
             kept.append(row)
         if baselines.n[0] == 0:
             self.state.clear()

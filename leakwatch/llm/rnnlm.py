@@ -11,6 +11,7 @@ import copy
 import io
 import math
 from collections import Counter
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -68,6 +69,82 @@ def classes(weights, count=CLASSES):
     return np.unique(found, return_inverse=True)[1]
 
 
+def _top(logits, begin=None, width=None):
+    """What to take off logits before exp: the greatest of all where they lie close enough, else that of each row.
+
+    Rows are those of a matrix, or stretches of a flat array.
+    """
+    if not logits.size:
+        return 0
+    high = logits.max()
+    if high - logits.min() < 60:
+        return high
+    if begin is None:
+        return logits.max(axis=1, keepdims=True)
+    return np.repeat(np.maximum.reduceat(logits, begin), width)
+
+
+def _state_step(h, e, against, candidate, gates, rh, c, after):
+    """One step of the units into `gates`, `rh`, `c` and the next state `after`; a column per stream.
+
+    e: inputs of the words; those of the gates, like the weights `against`, come with their sign turned.
+    """
+    u = len(h)
+    np.matmul(against, h, out=gates)
+    gates += e[: 2 * u]
+    np.exp(gates, out=gates)
+    gates += 1
+    np.reciprocal(gates, out=gates)
+    np.multiply(gates[u:], h, out=rh)
+    np.matmul(candidate, rh, out=c)
+    c += e[2 * u :]
+    np.tanh(c, out=c)
+    np.subtract(c, h, out=rh if after is h else after)
+    if after is h:
+        rh *= gates[:u]
+        h += rh
+    else:
+        after *= gates[:u]
+        after += h
+
+
+def _turned(x):
+    """The last two axes swapped, as an array of its own."""
+    return np.ascontiguousarray(x.swapaxes(-1, -2))
+
+
+def _in_one(p):
+    """A copy of all arrays end to end, and the views of it that they are."""
+    flat, views, at = np.concatenate([v.ravel() for v in p.values()]), {}, 0
+    for k, v in p.items():
+        views[k] = flat[at : at + v.size].reshape(v.shape)
+        at += v.size
+    return flat, views
+
+
+def _adam(flat, gradient, first, second, n, speed, turn, block=1 << 14):
+    """Move the weights by the moments of their gradient, a stretch that stays in cache at a time."""
+    scale = math.sqrt(1 - 0.99**turn)
+    speed *= scale / (1 - 0.9**turn)
+    made = np.empty(min(block, len(flat)), flat.dtype)
+    for at in range(0, len(flat), block):
+        g, one, two = gradient[at : at + block], first[at : at + block], second[at : at + block]
+        now = made[: len(g)]
+        g *= 1 / max(n, 1)
+        np.subtract(g, one, out=now)
+        now *= 0.1
+        one += now
+        np.multiply(g, g, out=now)
+        now -= two
+        now *= 0.01
+        two += now
+        np.sqrt(two, out=now)
+        now += 1e-8 * scale
+        np.divide(one, now, out=now)
+        now *= speed
+        flat[at : at + block] -= now
+
+
 class Network:
     """Gated recurrent network over word numbers 0..words-1, sorted by class."""
 
@@ -93,101 +170,145 @@ class Network:
             "bo": np.log(weights / mass[self.cls]).astype(np.float32),
         }
 
-    def step(self, ids, h):
-        """Next state, and what its gradient needs."""
-        p, u = self.p, self.units
-        e = p["e"][ids]
-        gates = 1 / (1 + np.exp(-(e[:, : 2 * u] + h @ p["g"])))
-        z, r = gates[:, :u], gates[:, u:]
-        rh = r * h
-        c = np.tanh(e[:, 2 * u :] + rh @ p["c"])
-        return h + z * (c - h), (gates, rh, c)
+    def _outputs(self, h, targets, p1c, p1o):
+        """Both softmax steps for the states before the targets, with rows in order of the class of their target.
 
-    def log_probs(self, h, targets):
-        """Natural log probability of each target word in the state before it."""
-        p = self.p
-        logits = h @ p["wc"] + p["bc"]
-        top = logits.max(axis=1)
-        cls = self.cls[targets]
-        out = logits[np.arange(len(h)), cls] - top - np.log(np.exp(logits - top[:, None]).sum(axis=1))
+        p1c, p1o: weights of the classes and words, with their bias as the last row. Returns the order, the log
+        probabilities, and what the gradient needs.
+        """
+        cls = self.cls[targets].astype(np.int16)  # 16 bits are sorted by radix
         order = np.argsort(cls, kind="stable")
-        cuts = np.searchsorted(cls[order], np.arange(len(self.start)))
-        for k in np.flatnonzero(np.diff(cuts)):
-            a, b = self.start[k], self.start[k + 1]
-            if b - a == 1:
-                continue
-            rows = order[cuts[k] : cuts[k + 1]]
-            logits = h[rows] @ p["wo"][:, a:b] + p["bo"][a:b]
-            top = logits.max(axis=1)
-            norm = top + np.log(np.exp(logits - top[:, None]).sum(axis=1))
-            out[rows] += logits[np.arange(len(rows)), targets[rows] - a] - norm
+        cls, rows = cls[order], np.arange(len(order))
+        states = np.empty((len(h), self.units + 1), h.dtype)
+        states[:, :-1], states[:, -1] = h[order], 1
+        q = states @ p1c
+        q -= _top(q)
+        found = q[rows, cls]
+        np.exp(q, out=q)
+        sums = q @ np.ones(q.shape[1], q.dtype)
+        # The words of each row's class, in one flat array.
+        width = np.diff(self.start)[cls]
+        begin = np.cumsum(width) - width
+        flat = np.empty(int(width.sum()), h.dtype)
+        spans, start, at = [], self.start.tolist(), 0
+        cuts = np.searchsorted(cls, np.arange(len(start))).tolist()
+        for s, e, a, b in zip(cuts, cuts[1:], start, start[1:]):
+            if e > s:
+                part = flat[at : at + (e - s) * (b - a)].reshape(e - s, b - a)
+                at += part.size
+                spans.append((slice(s, e), slice(a, b), part))
+                np.matmul(states[s:e], p1o[:, a:b], out=part)
+        flat -= _top(flat, begin, width)
+        place = begin + (targets[order] - self.start[cls])
+        found += flat[place]
+        np.exp(flat, out=flat)
+        parts = np.add.reduceat(flat, begin) if len(begin) else np.zeros(0, h.dtype)
+        found -= np.log(sums)
+        found -= np.log(parts)
+        return order, found, (states, rows, cls, q, sums, flat, place, parts, width, spans)
+
+    def _with_bias(self):
+        p = self.p
+        return np.concatenate([p["wc"], p["bc"][None]]), np.concatenate([p["wo"], p["bo"][None]])
+
+    def log_probs(self, h, targets, weights=None):
+        """Natural log probability of each target word in the state before it."""
+        order, found, _ = self._outputs(h, targets, *(weights or self._with_bias()))
+        out = np.empty_like(found)
+        out[order] = found
         return out
 
     def _loss_gradient(self, h, targets, d):
-        """Add output gradients to `d`; returns that of the states."""
-        p, n = self.p, np.arange(len(h))
-        cls = self.cls[targets]
-
-        def soft(logits):
-            e = np.exp(logits - logits.max(axis=1, keepdims=True))
-            return e / e.sum(axis=1, keepdims=True)
-
-        q = soft(h @ p["wc"] + p["bc"])
-        q[n, cls] -= 1
-        d["wc"] += h.T @ q
-        d["bc"] += q.sum(axis=0)
-        dh = q @ p["wc"].T
-        order = np.argsort(cls, kind="stable")
-        cuts = np.searchsorted(cls[order], np.arange(len(self.start)))
-        for k in np.flatnonzero(np.diff(cuts)):
-            a, b = self.start[k], self.start[k + 1]
-            if b - a == 1:
-                continue
-            rows = order[cuts[k] : cuts[k + 1]]
-            q = soft(h[rows] @ p["wo"][:, a:b] + p["bo"][a:b])
-            q[np.arange(len(rows)), targets[rows] - a] -= 1
-            d["wo"][:, a:b] += h[rows].T @ q
-            d["bo"][a:b] += q.sum(axis=0)
-            dh[rows] += q @ p["wo"][:, a:b].T
-        return dh
-
-    def window_gradient(self, ids, h0, fresh):
+        """Put output gradients into `d`; returns that of the states."""
+        p1c, p1o = self._with_bias()
+        order, _, made = self._outputs(h, targets, p1c, p1o)
+        states, rows, cls, q, sums, flat, place, parts, width, spans = made
+        q *= (1 / sums)[:, None]
+        q[rows, cls] -= 1
+        made = states.T @ q
+        d["wc"][...], d["bc"][...] = made[:-1], made[-1]
+        flat *= np.repeat(1 / parts, width)
+        flat[place] -= 1
+        dh, made, back = np.empty((len(h), self.units), h.dtype), np.zeros_like(p1o), p1o[:-1].T
+        for these, words, part in spans:
+            np.matmul(states[these].T, part, out=made[:, words])
+            np.matmul(part, back[words], out=dh[these])
+        d["wo"][...], d["bo"][...] = made[:-1], made[-1]
+        dh += q @ p1c[:-1].T
+        out = np.empty_like(dh)
+        out[order] = dh
+        return out
+
+    def window_gradient(self, ids, h0, fresh, d=None):
         """Gradients over one window of streams; the state comes in, its gradient does not go back.
 
         ids: (steps, streams), -1 for none. fresh: where a text begins, and the state is 0.
-        Returns (gradients, last state, tokens).
+        d: arrays for the gradients. Returns (gradients, last state, tokens).
         """
-        p, u = self.p, self.units
-        d = {k: np.zeros_like(v) for k, v in p.items()}
-        h, trail = h0, []
-        for word, new in zip(ids, fresh):
-            h = np.where(new[:, None], np.float32(0), h)
-            after, made = self.step(np.maximum(word, 0), h)
-            trail.append((h, made))
-            h = np.where((word >= 0)[:, None], after, h)
-        states = np.stack([t[0] for t in trail])
+        p, u, (steps, n) = self.p, self.units, ids.shape
+        d = {k: np.empty_like(v) for k, v in p.items()} if d is None else d
         live = ids >= 0
-        dstates = np.zeros_like(states)
-        dstates[live] = self._loss_gradient(states[live], ids[live], d)
-        dh, inputs = np.zeros_like(h0), np.zeros((*ids.shape, 3 * u), h0.dtype)
-        for t in range(len(ids) - 1, -1, -1):
-            before, (gates, rh, c) = trail[t]
-            on = live[t][:, None]
-            z, r = gates[:, :u], gates[:, u:]
-            dn = dh * on
-            dc = dn * z * (1 - c * c)
-            drh = dc @ p["c"].T
-            dg = np.concatenate([dn * (c - before) * z * (1 - z), drh * before * r * (1 - r)], axis=1)
-            inputs[t, :, : 2 * u], inputs[t, :, 2 * u :] = dg, dc
-            dh = dh * ~on + dn * (1 - z) + drh * r + dg @ p["g"].T + dstates[t]
-            dh = np.where(fresh[t][:, None], np.float32(0), dh)
-        d["g"] += states.reshape(-1, u).T @ inputs[..., : 2 * u].reshape(-1, 2 * u)
-        d["c"] += np.concatenate([t[1][1] for t in trail]).T @ inputs[..., 2 * u :].reshape(-1, u)
-        words, flat = ids[live], inputs[live]
-        order = np.argsort(words, kind="stable")
-        seen, at = np.unique(words[order], return_index=True)
-        d["e"][seen] += np.add.reduceat(flat[order], at, axis=0)
-        return d, h, int(live.sum())
+        ended, begins = (~live.all(axis=1)).tolist(), fresh.any(axis=1).tolist()
+        e = _turned(p["e"][np.maximum(ids, 0)])
+        np.negative(e[:, : 2 * u], out=e[:, : 2 * u])
+        against, candidate = -p["g"].T, _turned(p["c"])
+        # Steps, then units, then streams: what a step works on lies together.
+        states = np.empty((steps + 1, u, n), h0.dtype)
+        gates = np.empty((steps, 2 * u, n), h0.dtype)
+        rh, c = np.empty((steps, u, n), h0.dtype), np.empty((steps, u, n), h0.dtype)
+        states[0] = h0.T
+        for t in range(steps):
+            h, after = states[t], states[t + 1]
+            if begins[t]:
+                h[:, fresh[t]] = 0
+            _state_step(h, e[t], against, candidate, gates[t], rh[t], c[t], after)
+            if ended[t]:
+                after[:, ~live[t]] = h[:, ~live[t]]
+        before, places = states[:-1], np.flatnonzero(live)
+        rows = _turned(before).reshape(-1, u)
+        dstates = np.zeros_like(rows)
+        dstates[places] = self._loss_gradient(rows[places], ids.ravel()[places], d)
+        dstates = _turned(dstates.reshape(steps, n, u))
+        z, r = gates[:, :u], gates[:, u:]
+        stay = 1 - z
+        to_z = c - before
+        to_z *= z
+        to_z *= stay
+        to_c = c * c
+        np.subtract(1, to_c, out=to_c)
+        to_c *= z
+        to_r = 1 - r
+        to_r *= rh
+        if any(ended):
+            for x, value in (to_c, 0), (to_z, 0), (stay, 1):
+                x.swapaxes(1, 2)[~live] = value
+        # Gradients of a word's input: gates, then candidate.
+        inputs = np.empty((steps, 3 * u, n), h0.dtype)
+        dh, drh, dg = np.zeros((u, n), h0.dtype), np.empty((u, n), h0.dtype), np.empty((u, n), h0.dtype)
+        for t in range(steps - 1, -1, -1):
+            made = inputs[t]
+            np.multiply(dh, to_c[t], out=made[2 * u :])
+            np.multiply(dh, to_z[t], out=made[:u])
+            np.matmul(p["c"], made[2 * u :], out=drh)
+            np.multiply(drh, to_r[t], out=made[u : 2 * u])
+            np.matmul(p["g"], made[: 2 * u], out=dg)
+            dh *= stay[t]
+            drh *= r[t]
+            dh += drh
+            dh += dg
+            dh += dstates[t]
+            if begins[t]:
+                dh[:, fresh[t]] = 0
+        flat = _turned(inputs).reshape(-1, 3 * u)
+        np.matmul(rows.T, flat[:, : 2 * u], out=d["g"])
+        np.matmul(_turned(rh).reshape(-1, u).T, flat[:, 2 * u :], out=d["c"])
+        words = ids.ravel().astype(np.int16 if len(p["e"]) < 1 << 15 else np.int64)
+        order = np.argsort(words, kind="stable")[words.size - int(live.sum()) :]
+        words = words[order]
+        at = np.flatnonzero(np.diff(words, prepend=-1))
+        d["e"][...] = 0
+        d["e"][words[at]] = np.add.reduceat(flat[order], at, axis=0)
+        return d, states[-1].T, len(order)
 
     def train(self, texts, epochs=EPOCHS, streams=STREAMS, window=WINDOW, rate=RATE, span=(0.0, 1.0), moments=None):
         """Fit to texts (arrays of word numbers) laid end to end in parallel streams.
@@ -212,28 +333,27 @@ class Network:
                 ids[at : at + len(t), k] = t
                 fresh[at, k] = True
                 at += len(t)
+        flat, self.p = _in_one(self.p)
+        gradient, d = _in_one(self.p)
         moments = {} if moments is None else moments
         if not moments:
-            moments |= {"turn": 0, **{(i, k): np.zeros_like(v) for i in (1, 2) for k, v in self.p.items()}}
+            moments |= {"turn": 0, "first": np.zeros_like(flat), "second": np.zeros_like(flat)}
         turn, turns = 0, epochs * math.ceil(steps / window)
         for _ in range(epochs):
             h = np.zeros((len(lanes), self.units), np.float32)
             for at in range(0, steps, window):
                 on = np.flatnonzero(ids[at] >= 0)  # streams that have not ended
-                d, h[on], n = self.window_gradient(ids[at : at + window, on], h[on], fresh[at : at + window, on])
+                _, h[on], n = self.window_gradient(ids[at : at + window, on], h[on], fresh[at : at + window, on], d)
                 turn += 1
                 moments["turn"] += 1
                 speed = rate * (1 - 0.9 * (span[0] + (span[1] - span[0]) * turn / turns))
-                for k, v in self.p.items():
-                    g, first, second = d[k] / max(n, 1), moments[1, k], moments[2, k]
-                    first += 0.1 * (g - first)
-                    second += 0.01 * (g * g - second)
-                    step = first / (1 - 0.9 ** moments["turn"]) / (np.sqrt(second / (1 - 0.99 ** moments["turn"])) + 1e-8)
-                    v -= (speed * step).astype(np.float32)
+                _adam(flat, gradient, moments["first"], moments["second"], n, speed, moments["turn"])
         return self
 
     def score(self, texts, block=BLOCK, window=WINDOW):
         """Natural log probability of each text, whole, with the state carried over windows."""
+        p, u = self.p, self.units
+        against, candidate, weights = -p["g"].T, _turned(p["c"]), self._with_bias()
         total = np.zeros(len(texts))
         order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
         for at in range(0, len(order), block):
@@ -241,18 +361,24 @@ class Network:
             size = np.array([len(texts[i]) for i in rows])
             flat = np.concatenate([texts[i] for i in rows])
             begin = np.cumsum(size) - size
-            h = np.zeros((len(rows), self.units), np.float32)
+            h = np.zeros((u, len(rows)), against.dtype)
+            gates, rh, c = np.empty((2 * u, len(rows)), h.dtype), np.empty_like(h), np.empty_like(h)
             for t0 in range(0, int(size[0]), window):
-                states, words, owners = [], [], []
-                for t in range(t0, min(t0 + window, int(size[0]))):
-                    n = int(np.searchsorted(-size, -t, "left"))  # texts longer than t come first
-                    ids = flat[begin[:n] + t]
-                    states.append(h[:n])
-                    words.append(ids)
-                    owners.append(n)
-                    h = self.step(ids, h[:n])[0]
-                found = self.log_probs(np.concatenate(states), np.concatenate(words))
-                owner = np.concatenate([np.arange(n) for n in owners])
+                # Texts longer than t come first.
+                owners = np.searchsorted(-size, -np.arange(t0, min(t0 + window, int(size[0]))), "left")
+                ends = np.cumsum(owners)
+                owner = np.arange(ends[-1]) - np.repeat(ends - owners, owners)
+                words = flat[begin[owner] + np.repeat(np.arange(t0, t0 + len(owners)), owners)]
+                states = np.empty((len(words), u), h.dtype)
+                for n, end in zip(owners.tolist(), ends.tolist()):
+                    if n != h.shape[1]:
+                        h = h[:, :n].copy()
+                        gates, rh, c = np.empty((2 * u, n), h.dtype), np.empty((u, n), h.dtype), np.empty((u, n), h.dtype)
+                    states[end - n : end] = h.T
+                    e = _turned(p["e"][words[end - n : end]])
+                    np.negative(e[: 2 * u], out=e[: 2 * u])
+                    _state_step(h, e, against, candidate, gates, rh, c, h)
+                found = self.log_probs(states, words, weights)
                 total[rows[: owners[0]]] += np.bincount(owner, found, minlength=owners[0])
         return total
 
@@ -274,6 +400,11 @@ class Network:
         return self
 
 
+def _keep_memory():
+    """Let the C library keep the memory of arrays that come and go; it learns from the size of one that is freed."""
+    np.empty(31 << 20, np.uint8)
+
+
 def _plus(sums, data):
     """Sums of weights and the network of to_bytes."""
     with np.load(io.BytesIO(data)) as kept:
@@ -298,17 +429,19 @@ class Model:
         self.other_number = number[self.other]
         weights = [self.words[i][1] if i < self.other else rest for i in place]
         self.network = Network(weights)
-        # word -> (number in the network, log10 of its base probability)
-        self.base = {
-            w: (number[i] if i < self.other else self.other_number, self.log_base(c)) for i, (w, c) in enumerate(frequent)
-        }
+        # word -> number in the network, of the words it knows
+        self.known = {w: number[i] for i, (w, _) in enumerate(self.words)}
+        # word -> place in `number_of` and `base_of` (log10 of its base probability), of all frequent words; last: none
+        self.place = {w: i for i, (w, _) in enumerate(frequent)}
+        self.number_of = np.full(len(frequent) + 1, self.other_number, np.int32)
+        self.number_of[: self.other] = [number[i] for i in range(self.other)]
+        self.base_of = np.array([*[self.log_base(c) for _, c in frequent], 0.0])
 
     def log_base(self, count):
         return math.log10((count + SMOOTH) / self.scale)
 
     def numbers(self, found):
-        base, other = self.base, (self.other_number,)
-        return np.fromiter((base.get(w, other)[0] for w in found), np.int64, len(found))
+        return np.fromiter(map(self.known.get, found, repeat(self.other_number)), np.int64, len(found))
 
 
 NET = "part int, tokens bigint, net binary"
@@ -332,6 +465,7 @@ def train_round(docs, model, number, rounds, block_tokens=BLOCK_TOKENS):
     def run(batches):
         from pyspark import TaskContext
 
+        _keep_memory()
         own, network, moments = held.value, None, {}
         texts, size, total = [], 0, 0
 
@@ -412,30 +546,26 @@ def _parts(held):
     network, the network's score, and the words that are not frequent."""
 
     def setup():
+        _keep_memory()
+
         def make(texts):
             model = held.value
-            base, out, numbers = model.base, [], []
+            get, none = model.place.get, len(model.place)
+            out, numbers, outside = [], [], []
             offsets, rare_words, rare_counts = [0], [], []
             for text in texts:
                 found = tokens(text)
-                pairs = [base.get(w) for w in found]
-                number, known, total, other = np.full(len(found), model.other_number, np.int32), 0, 0.0, 0.0
-                rare = Counter()
-                for i, pair in enumerate(pairs):
-                    if pair is None:
-                        rare[found[i]] += 1
-                    else:
-                        number[i] = pair[0]
-                        known += 1
-                        total += pair[1]
-                        if pair[0] == model.other_number:
-                            other += pair[1]
+                place = np.fromiter(map(get, found, repeat(none)), np.int64, len(found))
+                number, base = model.number_of[place], model.base_of[place]
+                other = number == model.other_number
+                unseen = np.flatnonzero(place == none).tolist()
+                rare = Counter([found[i] for i in unseen])
                 numbers.append(number)
-                out.append((len(found), known, total, other))
+                outside.append(int(other.sum()))
+                out.append((len(found), len(found) - len(unseen), float(base.sum()), float(base[other].sum())))
                 rare_words += rare.keys()
                 rare_counts += rare.values()
                 offsets.append(len(rare_words))
-            outside = [int((n == model.other_number).sum()) for n in numbers]
             net = model.network.score(numbers) / math.log(10) - model.rest * np.array(outside)
             pairs = pa.StructArray.from_arrays(
                 [pa.array(rare_words, pa.binary()), pa.array(rare_counts, pa.int32())], ["word", "n"]

@@ -1,4 +1,5 @@
 import math
+import time
 import zlib
 from collections import Counter
 
@@ -111,3 +112,69 @@ def test_moments_carry_over_blocks():
     for k in range(4):
         net.train(texts[5 * k : 5 * k + 5], 1, moments=moments)
     assert moments["turn"] == 8
+
+
+def plain_score(net, texts, window=32):
+    """The same scores, one array after the other and a softmax per class."""
+    p, u = net.p, net.units
+    texts, size = np.stack(texts), len(texts[0])
+    h, total = np.zeros((len(texts), u), np.float32), np.zeros(len(texts))
+    for t0 in range(0, size, window):
+        states, words = [], []
+        for t in range(t0, min(t0 + window, size)):
+            states.append(h)
+            words.append(texts[:, t])
+            e = p["e"][texts[:, t]]
+            gates = 1 / (1 + np.exp(-(e[:, : 2 * u] + h @ p["g"])))
+            c = np.tanh(e[:, 2 * u :] + (gates[:, u:] * h) @ p["c"])
+            h = h + gates[:, :u] * (c - h)
+        states, words = np.concatenate(states), np.concatenate(words)
+
+        def log_soft(logits, at):
+            top = logits.max(axis=1)
+            return logits[np.arange(len(at)), at] - top - np.log(np.exp(logits - top[:, None]).sum(axis=1))
+
+        cls = net.cls[words]
+        found = log_soft(states @ p["wc"] + p["bc"], cls)
+        for k in np.unique(cls):
+            rows, a, b = np.flatnonzero(cls == k), net.start[k], net.start[k + 1]
+            found[rows] += log_soft(states[rows] @ p["wo"][:, a:b] + p["bo"][a:b], words[rows] - a)
+        total += found.reshape(-1, len(texts)).sum(axis=0)
+    return total
+
+
+def test_scores_equal_plain_ones():
+    rng = np.random.default_rng(4)
+    net = R.Network(1e6 / np.arange(1, 1025))
+    texts = [np.minimum(rng.zipf(1.2, 128) - 1, 1023) for _ in range(100)]
+    net.train(texts[:64], 2)
+    assert net.score(texts) == pytest.approx(plain_score(net, texts), rel=1e-5)
+
+
+def test_training_costs_a_few_plain_scores():
+    # 1.4 of them; with arrays made anew in every step 2.7 to 3.1.
+    rng = np.random.default_rng(4)
+    net = R.Network(1e6 / np.arange(1, 1025))
+    texts = [np.minimum(rng.zipf(1.2, 1024) - 1, 1023) for _ in range(64)]
+
+    def seconds(run):
+        begin = time.process_time()
+        run()
+        return time.process_time() - begin
+
+    R._keep_memory()
+    trained = min(seconds(lambda: net.train(texts, 1)) for _ in range(5))
+    plain = min(seconds(lambda: plain_score(net, texts)) for _ in range(5))
+    assert trained < 2 * plain
+
+
+def test_logits_far_apart_stay_finite():
+    net = R.Network(np.arange(30, 0, -1), units=5, count=4)
+    net.p["bc"] *= 1000
+    net.p["bo"] *= 1000
+    texts = [np.arange(30), np.arange(29, -1, -1)]
+    assert np.isfinite(net.score(texts)).all()
+    assert net.score(texts) == pytest.approx(plain_score(net, texts), rel=1e-5)
+    ids, fresh = np.stack(texts, axis=1), np.zeros((30, 2), bool)
+    d, *_ = net.window_gradient(ids, np.zeros((2, 5), np.float32), fresh)
+    assert all(np.isfinite(v).all() for v in d.values())

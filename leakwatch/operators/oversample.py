@@ -6,6 +6,7 @@ from leakwatch.functions import columns as C
 from leakwatch.functions import fixed
 from leakwatch.operators import spread
 from leakwatch.operators.neighbours import nearest_neighbours
+from leakwatch.session import staged
 
 # Copies of one row beyond this many are made by several tasks.
 COPIES_PER_PIECE = 10_000
@@ -24,7 +25,11 @@ def interpolate_minority(rows, names, ratio=0.1, id_col="id", label="label", see
 
     Extra rows are shared out evenly over the minority; which neighbour and how
     far along is drawn from the row's id and copy number, so retries repeat it.
+
+    The rows are written once: they are read in five places, and a filter on a label that is still an expression
+    carries all of it into every scan.
     """
+    rows = staged(rows.select(*[F.col(f"`{n}`") for n in dict.fromkeys([id_col, *names, label])]), "oversample-rows")
     sizes = rows.agg(F.count_if(F.col(label) == 1), F.count_if(F.col(label) == 0)).first()
     target, k = interpolation_target(sizes[0], sizes[1], ratio)
     base = rows.select(id_col, *[F.col(f"`{n}`").cast("double").alias(n) for n in names], label)
@@ -35,7 +40,7 @@ def interpolate_minority(rows, names, ratio=0.1, id_col="id", label="label", see
     minority = rows.filter(F.col(label) == 1)
     point = F.struct(*[F.col(f"`{n}`").cast("double").alias(n) for n in names])
     points = minority.select(F.col(id_col).cast("bigint").alias("id"), point.alias("p"))
-    near = nearest_neighbours(minority, names, k, id_col)
+    near = staged(nearest_neighbours(minority, names, k, id_col), "oversample-neighbours")
     choices = near.groupBy("id").agg(F.max("rank").alias("found"))
     keys = F.col("draw.one"), F.col("draw.two")
     copies = (

@@ -6,7 +6,7 @@ from leakwatch.functions import columns as C
 from leakwatch.functions import fixed, schemas
 from leakwatch.operators import explore, flows, labels, oversample, prep, rules
 from leakwatch.plans.registry import query, rounded, sql
-from leakwatch.session import fresh_dir
+from leakwatch.session import fresh_dir, staged
 from leakwatch.sources import flows as flow_source
 from leakwatch.sources import packets as P
 from leakwatch.sources import views
@@ -498,7 +498,9 @@ knn AS (
 
 
 def minority(spark, sf):
-    return labels.normal_only(labelled(spark, sf).withColumn("other", 1 - F.col("exfil_label")), "other")
+    # Written first: a filter on the label's expression would carry all of it into every scan.
+    rows = staged(labelled(spark, sf).withColumn("other", 1 - F.col("exfil_label")), "labelled")
+    return labels.normal_only(rows, "other")
 
 
 @query("minority_knn", sql(FLOWS, LABELLED, KNN, "SELECT id, neighbour, distance_sq, CAST(rank AS INT) AS rank FROM knn"))

@@ -51,6 +51,20 @@ def test_too_few_minority_rows_are_left_alone(spark, cloud):
     assert oversample.interpolate_minority(few, ["a", "b"]).count() == few.count()
 
 
+def test_interpolation_makes_its_rows_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("int")
+    def label(i):
+        seen.add(1)
+        return int(i % 20 == 0)
+
+    rows = spark.range(400).selectExpr("id", "double(id % 7) AS a", "double(id % 11) AS b").withColumn("label", label("id"))
+    out = oversample.interpolate_minority(rows, ["a", "b"], 0.2)
+    assert out.groupBy("label").count().orderBy("label").collect() == [(0, 380), (1, 76)]
+    assert seen.value == 400
+
+
 def test_jitter_reaches_the_target_and_stays_positive(spark, cloud):
     few = cloud.limit(7)
     out = oversample.jitter(few, ["a", "b"], 50)

@@ -10,11 +10,10 @@ symbol to it, and share that symbol's probability by their smoothed counts.
 import copy
 import io
 import math
-from collections import Counter
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from leakwatch.llm import text as T
@@ -31,6 +30,7 @@ EPOCHS = 2  # rounds, each over all texts
 BLOCK_TOKENS = 1 << 20
 RATE = 0.01
 BLOCK = 1024
+PIECE_BYTES = 8 << 20
 
 
 def tokens(text):
@@ -38,25 +38,58 @@ def tokens(text):
     return [*T.lower_words(text), END]
 
 
-def token_counts(docs, flush=100_000):
-    """word (bytes), c: of all tokens of all rows. Tasks send sums, a bounded number at once."""
+def pieces(column, size=PIECE_BYTES):
+    """An Arrow column of texts in stretches of about `size` bytes; a longer text is one of its own."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(column):
+        before = ends[at - 1] if at else 0
+        stop = max(int(np.searchsorted(ends, before + size, "right")), at + 1)
+        yield column.slice(at, stop - at)
+        at = stop
 
-    def run(batches):
-        found = Counter()
 
-        def part():
-            return pa.RecordBatch.from_arrays(
-                [pa.array(list(found.keys()), pa.binary()), pa.array(list(found.values()), pa.int64())], ["word", "c"]
-            )
+def flat_words(column):
+    """The lower-cased words (bytes) of all texts of an Arrow column end to end, and how many each text has.
+
+    Arrow's ASCII white space is exactly the six characters that no word holds.
+    """
+    trimmed = pc.ascii_trim_whitespace(pc.ascii_lower(pc.fill_null(column, "")))
+    lists = pc.ascii_split_whitespace(trimmed)
+    words, size = lists.flatten().cast(pa.binary()), pc.list_value_length(lists).to_numpy().astype(np.int64)
+    blank = pc.binary_length(trimmed).to_numpy() == 0
+    if blank.any():  # each comes as one empty word
+        words, size = words.filter(pc.not_equal(words, b"")), np.where(blank, 0, size)
+    return words, size
+
+
+def places(words, value_set):
+    """Place of each word in `value_set`, its length for none."""
+    return pc.fill_null(pc.index_in(words, value_set=value_set), len(value_set)).to_numpy()
+
 
+def with_ends(values, size, end):
+    """Values of words end to end, with `end` after each text, and where each text begins and stops."""
+    stop = np.cumsum(size + 1)
+    begin = stop - size - 1
+    out = np.empty(int(stop[-1]) if len(stop) else 0, values.dtype)
+    inside = np.ones(len(out), bool)
+    inside[stop - 1] = False
+    out[inside] = values
+    out[stop - 1] = end
+    return out, begin, stop
+
+
+def token_counts(docs):
+    """word (bytes), c: of all tokens of all rows. Tasks send the sums of a stretch of texts at once."""
+
+    def run(batches):
         for batch in batches:
-            for text in batch.column(0):
-                found.update(tokens(text.as_py()))
-                if len(found) >= flush:
-                    yield part()
-                    found.clear()
-        if found:
-            yield part()
+            for column in pieces(batch.column(0)):
+                found = pc.value_counts(flat_words(column)[0])
+                word = pa.concat_arrays([found.field("values"), pa.array([END], pa.binary())])
+                count = pa.concat_arrays([found.field("counts"), pa.array([len(column)], pa.int64())])
+                yield pa.RecordBatch.from_arrays([word, count], ["word", "c"])
 
     return docs.select("text").mapInArrow(run, "word binary, c bigint").groupBy("word").agg(F.sum("c").alias("c"))
 
@@ -414,9 +447,9 @@ def _plus(sums, data):
 class Model:
     """Network, its words, and the smoothed counts of all frequent words."""
 
-    def __init__(self, frequent, total, distinct, words=WORDS):
-        """frequent: [(word, count)] by falling count; total and distinct: of all words."""
-        self.total, self.distinct = total, distinct
+    def __init__(self, frequent, total, distinct, least=1, words=WORDS):
+        """frequent: [(word, count)] by falling count, all that reach `least`; total and distinct: of all words."""
+        self.total, self.distinct, self.least = total, distinct, least
         self.scale = total + SMOOTH * (distinct + 1)
         self.words = frequent[: words - 1]
         # Number 0.. for known words; the last stands for all others.
@@ -429,19 +462,30 @@ class Model:
         self.other_number = number[self.other]
         weights = [self.words[i][1] if i < self.other else rest for i in place]
         self.network = Network(weights)
-        # word -> number in the network, of the words it knows
-        self.known = {w: number[i] for i, (w, _) in enumerate(self.words)}
-        # word -> place in `number_of` and `base_of` (log10 of its base probability), of all frequent words; last: none
-        self.place = {w: i for i, (w, _) in enumerate(frequent)}
+        # The words that the network knows, and all frequent ones; `number_of` and `base_of` (log10 of the base
+        # probability) of each, last: of none.
+        self.known = pa.array([w for w, _ in self.words], pa.binary())
+        self.frequent = pa.array([w for w, _ in frequent], pa.binary())
         self.number_of = np.full(len(frequent) + 1, self.other_number, np.int32)
         self.number_of[: self.other] = [number[i] for i in range(self.other)]
+        self.known_number = np.append(self.number_of[: self.other], np.int32(self.other_number))
         self.base_of = np.array([*[self.log_base(c) for _, c in frequent], 0.0])
 
+    def learner(self):
+        """Only what training needs."""
+        other = copy.copy(self)
+        other.frequent = other.number_of = other.base_of = None
+        return other
+
     def log_base(self, count):
         return math.log10((count + SMOOTH) / self.scale)
 
-    def numbers(self, found):
-        return np.fromiter(map(self.known.get, found, repeat(self.other_number)), np.int64, len(found))
+    def numbers(self, column):
+        """Of each text of an Arrow column, the numbers of its tokens in the network."""
+        words, size = flat_words(column)
+        end = self.known_number[places(pa.array([END], pa.binary()), self.known)[0]]
+        found, begin, stop = with_ends(self.known_number[places(words, self.known)], size, end)
+        return [found[a:b] for a, b in zip(begin.tolist(), stop.tolist())]
 
 
 NET = "part int, tokens bigint, net binary"
@@ -459,7 +503,7 @@ def train_round(docs, model, number, rounds, block_tokens=BLOCK_TOKENS):
     Whole texts are trained on in blocks of about `block_tokens` tokens, so memory is a
     block; a longer text is a block of its own. The network comes times its tokens.
     """
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    held = docs.sparkSession.sparkContext.broadcast(model.learner())
     span = (number / rounds, (number + 1) / rounds)
 
     def run(batches):
@@ -473,14 +517,15 @@ def train_round(docs, model, number, rounds, block_tokens=BLOCK_TOKENS):
             network.train(texts, 1, span=span, moments=moments)
 
         for batch in batches:
-            for text in batch.column(0):
-                if network is None:
-                    network = own.network.copy()
-                texts.append(own.numbers(tokens(text.as_py())))
-                size += len(texts[-1])
-                if size >= block_tokens:
-                    learn()
-                    texts, size, total = [], 0, total + size
+            if network is None and batch.num_rows:
+                network = own.network.copy()
+            for column in pieces(batch.column(0)):
+                for text in own.numbers(column):
+                    texts.append(text)
+                    size += len(text)
+                    if size >= block_tokens:
+                        learn()
+                        texts, size, total = [], 0, total + size
         if network is not None:
             learn()
             yield _net(TaskContext.get().partitionId(), total + size, network.to_bytes(total + size))
@@ -515,19 +560,38 @@ def average(nets):
     return sums, total
 
 
+def _least_held(counts, total):
+    """The least count that at most FREQUENT words reach.
+
+    No more than that have one part in FREQUENT of all tokens. Below it there are at most
+    total / FREQUENT different counts, which are taken from the most frequent down.
+    """
+    few = F.col("c") * FREQUENT < total
+    sizes = counts.groupBy(F.when(few, F.col("c")).alias("c")).agg(F.count(F.lit(1)).alias("n"))
+    sizes = {r.c: r.n for r in sizes.collect()}
+    held, least = sizes.pop(None, 0), -(-total // FREQUENT)
+    for c in sorted(sizes, reverse=True):
+        held += sizes[c]
+        if held > FREQUENT:
+            break
+        least = c
+    return least
+
+
 def fit(docs, counts, epochs=EPOCHS):
     """Model from all counts, with the network trained on all texts, `epochs` times each.
 
     A round is one pass: every task goes on from the same network with the texts it reads, and the
     average by tokens of what they reach is where the next round begins.
 
-    Words with at least one part in FREQUENT of all tokens are held by the model, so at
-    most FREQUENT are; the others stay in the table `counts`.
+    The model holds the FREQUENT most frequent words, less those that share a count over that
+    number; the others stay in the table `counts`.
     """
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    rows = counts.where(F.col("c") * FREQUENT >= total).collect()
-    frequent = sorted(((bytes(r.word), r.c) for r in rows), key=lambda x: (-x[1], x[0]))
-    model = Model(frequent, total, distinct)
+    least = _least_held(counts, total)
+    rows = counts.select("word", "c").where(F.col("c") >= least).toArrow()
+    frequent = sorted(zip(rows["word"].to_pylist(), rows["c"].to_pylist()), key=lambda x: (-x[1], x[0]))
+    model = Model(frequent, total, distinct, least)
     for number in range(epochs):
         sums, trained = average(T.staged(train_round(docs, model, number, epochs), "lm-nets"))
         if trained:
@@ -541,43 +605,56 @@ PARTS = (
 )
 
 
+def _rare(words, row, rows):
+    """Of the words of each of `rows` rows (`row`: that of each word) the distinct ones with their counts, as a list array."""
+    named = words.dictionary_encode()
+    kinds = max(len(named.dictionary), 1)
+    key, n = np.unique(row * kinds + named.indices.to_numpy(), return_counts=True)
+    pairs = pa.StructArray.from_arrays(
+        [named.dictionary.take(pa.array(key % kinds)), pa.array(n, pa.int32())], ["word", "n"]
+    )
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(key, np.arange(rows + 1) * kinds), pa.int32()), pairs)
+
+
 def _parts(held):
     """Per text: tokens, known frequent ones, their base score, that of those outside the
     network, the network's score, and the words that are not frequent."""
 
     def setup():
         _keep_memory()
+        model = held.value
+        none = len(model.frequent)
+        end = places(pa.array([END], pa.binary()), model.frequent)[0]
+
+        def part(column):
+            words, size = flat_words(column)
+            found = places(words, model.frequent)
+            place, begin, stop = with_ends(found, size, end)
+            number, base = model.number_of[place], model.base_of[place]
+            other = number == model.other_number
+            unseen = np.flatnonzero(found == none)
+            row = np.repeat(np.arange(len(size)), size)[unseen]
+            words = words.take(pa.array(unseen))
+            if end == none:
+                words = pa.concat_arrays([words, pa.array([END] * len(size), pa.binary())])
+                row = np.concatenate([row, np.arange(len(size))])
+            known = size + 1 - np.bincount(row, minlength=len(size))
+            sums = [np.add.reduceat(x, begin) for x in (base, np.where(other, base, 0.0), other.astype(np.int64))]
+            texts = [number[a:b] for a, b in zip(begin.tolist(), stop.tolist())]
+            return texts, (size + 1, known, *sums), _rare(words, row, len(size))
 
         def make(texts):
-            model = held.value
-            get, none = model.place.get, len(model.place)
-            out, numbers, outside = [], [], []
-            offsets, rare_words, rare_counts = [0], [], []
-            for text in texts:
-                found = tokens(text)
-                place = np.fromiter(map(get, found, repeat(none)), np.int64, len(found))
-                number, base = model.number_of[place], model.base_of[place]
-                other = number == model.other_number
-                unseen = np.flatnonzero(place == none).tolist()
-                rare = Counter([found[i] for i in unseen])
-                numbers.append(number)
-                outside.append(int(other.sum()))
-                out.append((len(found), len(found) - len(unseen), float(base.sum()), float(base[other].sum())))
-                rare_words += rare.keys()
-                rare_counts += rare.values()
-                offsets.append(len(rare_words))
-            net = model.network.score(numbers) / math.log(10) - model.rest * np.array(outside)
-            pairs = pa.StructArray.from_arrays(
-                [pa.array(rare_words, pa.binary()), pa.array(rare_counts, pa.int32())], ["word", "n"]
-            )
-            return (
-                [o[0] for o in out],
-                [o[1] for o in out],
-                [o[2] for o in out],
-                [o[3] for o in out],
-                net,
-                pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pairs),
-            )
+            numbers, sums, rare = [], [], []
+            for column in pieces(texts.column):
+                found, made, words = part(column)
+                numbers += found
+                sums.append(made)
+                rare.append(words)
+            if not numbers:
+                return [[] for _ in range(6)]
+            n, known, base, other, outside = map(np.concatenate, zip(*sums))
+            net = model.network.score(numbers) / math.log(10) - model.rest * outside
+            return n, known, base, other, net, pa.concat_arrays(rare)
 
         return make
 
@@ -594,7 +671,7 @@ def score(docs, model, counts, keep=("doc_id",)):
     numbered = docs.select(*keep, "text").withColumn("_row", F.monotonically_increasing_id())
     rows = T.staged(T.map_texts(numbered, [*keep, "_row"], PARTS, _parts(held)), "lm-parts")
     rare = rows.select("_row", F.explode("_rare").alias("r")).select("_row", "r.word", "r.n")
-    known = T.staged(counts.where(F.col("c") * FREQUENT < model.total), "lm-rare")
+    known = T.staged(counts.where(F.col("c") < model.least), "lm-rare")
     count = F.coalesce("c", F.lit(0))
     looked = rare.join(known, "word", "left").groupBy("_row").agg(
         F.sum(F.when(count > 0, F.col("n")).otherwise(0)).alias("_rare_known"),

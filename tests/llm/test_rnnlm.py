@@ -178,3 +178,28 @@ def test_logits_far_apart_stay_finite():
     ids, fresh = np.stack(texts, axis=1), np.zeros((30, 2), bool)
     d, *_ = net.window_gradient(ids, np.zeros((2, 5), np.float32), fresh)
     assert all(np.isfinite(v).all() for v in d.values())
+
+
+def test_words_of_arrow_columns_are_those_of_texts():
+    rng = np.random.default_rng(6)
+    marks = list("aZbÄ \t\n\x0b\x0c\r\x1c\x1f\x85\xa0\u2003\x00") + ["  ", "É"]
+    texts = [None, "", " \n", *["".join(rng.choice(marks, rng.integers(0, 12))) for _ in range(500)]]
+    column = R.pa.array(["left out", *texts], R.pa.string()).slice(1)
+    parts = list(R.pieces(column, 40))
+    assert [t for p in parts for t in p.to_pylist()] == texts and len(parts) > 20
+    assert all(len(p) == 1 or R.pc.sum(R.pc.binary_length(p)).as_py() <= 40 for p in parts)
+    words, size = R.flat_words(column)
+    want = [R.tokens(t)[:-1] for t in texts]
+    assert size.tolist() == [len(w) for w in want] and words.to_pylist() == [w for t in want for w in t]
+
+
+def test_as_many_words_are_held_as_may_be(spark, monkeypatch):
+    monkeypatch.setattr(R, "FREQUENT", 20)
+    rows = [(b"a", 1000)] + [(b"b%d" % i, 5) for i in range(10)] + [(b"c%d" % i, 2) for i in range(15)]
+    counts = spark.createDataFrame(rows, "word binary, c bigint")
+    model = R.fit(cases.frame(spark, []), counts, epochs=0)
+    # Only the first has one part in 20 of all; the fifteen rarest are too many together.
+    assert model.least == 5 and len(model.frequent) == 11
+    assert R._least_held(counts.limit(0), 0) == 0
+    monkeypatch.setattr(R, "FREQUENT", 26)
+    assert R._least_held(counts, 1080) == 2

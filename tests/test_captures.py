@@ -1,4 +1,5 @@
 import gzip
+import os
 import random
 import struct
 
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 from helpers import random_packets, raw_frame
 from leakwatch.plans import capture_queries
-from leakwatch.session import fresh_dir
+from leakwatch.session import fresh_dir, shared_root
 from leakwatch.sources import capture_format as form
 from leakwatch.sources import capture_sink, captures
 
@@ -243,3 +244,24 @@ def test_headers_alone_bring_every_packet_back(spark, kind):
 def test_files_of_the_queries_do_not_grow_with_payloads(spark, sf):
     files = capture_queries.captured(spark, sf, "raw_packets").summary().collect()
     assert sum(r["bytes"] for r in files) < 100 * sum(r["packets"] for r in files)
+
+
+def test_the_summary_leaves_little_in_the_shared_folder(spark, sf):
+    def left():
+        return sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(f"{shared_root(spark)}/leakwatch") for f in names)
+
+    before = left()
+    rows = capture_queries.capture_summary(spark, sf).collect()
+    packets = sum(r["packets"] for r in rows)
+    assert packets == spark.read.parquet(f"{sf}/events.parquet").count() and not any(r["unread_bytes"] or r["problem"] for r in rows)
+    assert left() - before < 150 * packets
+
+
+@pytest.mark.parametrize("chunk", [50, 1000])
+def test_a_file_of_cut_frames_that_ends_early_is_reported(spark, folder, chunk):
+    """What is missing is told from the bytes stored, not from the length of the frames."""
+    frame = capture_bytes(sorted(random_packets(1), key=lambda r: r[1]))[40:][:54]
+    data = struct.pack("<IHHiIII", 0xA1B2C3D4, 2, 4, 0, 0, 54, 1) + (struct.pack("<IIII", 1, 0, 54, 1500) + frame) * 3
+    write(folder, whole__pcap=data, cut__pcap=data[:-1])
+    got = summary(spark, folder, chunk)
+    assert got == {"whole.pcap": ("pcap", len(data), 3, 3, 0, 0, None), "cut.pcap": ("pcap", len(data) - 1, 2, 2, 0, 69, "truncated")}
